@@ -1,4 +1,6 @@
 """Registered queries and their SQL."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from . import documents, operations
+
+QUERIES = documents.QUERIES | operations.QUERIES
+ORACLE_SQL = documents.ORACLE_SQL | operations.ORACLE_SQL
