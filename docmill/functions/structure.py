@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from . import fixed as X
 from .text import NOT_WORD_AFTER, heading, strip
 
-EMPTY = F.lit("")
 
 
 def cut(text: Column, start: Column | int, size: Column | int) -> Column:
@@ -37,7 +36,7 @@ def excerpt(text: Column, doc_type: Column, max_chars: int = X.MAX_CHARS) -> Col
     whole = made(strip(text), F.array(F.lit("completo")), F.lit(False), "full")
     prefix = strip(cut(text, 0, max_chars))
     shape = "struct<text:string,used:array<string>,total:int>"
-    start = F.struct(EMPTY.alias("text"), F.array().cast("array<string>").alias("used"), F.lit(0).alias("total")).cast(shape)
+    start = F.struct(F.lit("").alias("text"), F.array().cast("array<string>").alias("used"), F.lit(0).alias("total")).cast(shape)
 
     def window(name: str, share: float) -> Column:
         at = section_start(text, name)
@@ -139,7 +138,7 @@ def blocks(text: Column, max_chars: int = X.BLOCK_CHARS) -> Column:
     paragraphs = F.regexp_extract_all(whole, F.lit(r"(?s)(.+?(?:\n\s*\n|\z))"), F.lit(1))
     pieces = F.flatten(F.transform(paragraphs, lambda p: F.regexp_extract_all(p, F.lit(rf"(?s)(.{{1,{max_chars}}})"), F.lit(1))))
     shape = "struct<done:array<string>,buf:string>"
-    start = F.struct(F.array().cast("array<string>").alias("done"), EMPTY.alias("buf")).cast(shape)
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("buf")).cast(shape)
     packed = F.aggregate(
         pieces,
         start,
