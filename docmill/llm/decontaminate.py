@@ -90,7 +90,7 @@ class Index:
         w /= np.maximum(w.sum(0), 1e-9)
         self.weight = w
         pad = -len(items) % BLOCK_ITEMS
-        self.block_max = np.pad(w, ((0, 0), (0, pad))).reshape(len(self.term), -1, BLOCK_ITEMS).max(2)
+        self.block_max = np.pad(w, ((0, 0), (0, pad))).reshape(len(self.term), (len(items) + pad) // BLOCK_ITEMS, BLOCK_ITEMS).max(2)
         self.best = w.max(1) if len(items) else np.zeros(0, np.float32)
 
     def search(self, texts: list[str], threshold: float) -> list[tuple[int, int, float, list[str]]]:
@@ -100,8 +100,8 @@ class Index:
         found = [np.fromiter((get(w, -1) for w in x), np.int64, len(x)) for x in words]
         n_half = [max(1, -(-len(x) // half)) for x in words]
         first = np.concatenate([[0], np.cumsum(n_half)])
-        terms = np.concatenate(found)
-        seg = np.concatenate([f + np.arange(len(x)) // half for f, x in zip(first, words)])
+        terms = np.concatenate(found) if found else np.empty(0, np.int64)
+        seg = np.concatenate([f + np.arange(len(x)) // half for f, x in zip(first, words)]) if words else np.empty(0, np.int64)
         last = np.concatenate([np.arange(len(x)) // half == n - 1 for n, x in zip(n_half, words)]) if words else np.empty(0, bool)
         start = np.concatenate([np.arange(len(x)) < half for x in words]) if words else np.empty(0, bool)
         known = terms >= 0
