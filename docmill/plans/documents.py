@@ -13,7 +13,13 @@ from . import derive as D
 
 
 def docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(*(columns or ("*",)))
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(*(columns or ("*",))))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files give fewer partitions than there are; larger tables are not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def sql_list(words) -> str:

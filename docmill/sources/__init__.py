@@ -1,0 +1,14 @@
+"""Readers and writers."""
+
+from .files import (
+    pdf_files,
+    pdf_info,
+    read_control_set,
+    read_summaries,
+    screen_uploads,
+    text_documents,
+    write_json_array,
+    write_records,
+)
+
+__all__ = ["pdf_files", "pdf_info", "read_control_set", "read_summaries", "screen_uploads", "text_documents", "write_json_array", "write_records"]
