@@ -133,3 +133,9 @@ INSTRUCTIONS = {
 }
 LILACS_TYPE = {"articulo": "S", "manual": "M", "divulgacion": "M"}
 LOC_LANG = {"es": "spa", "pt": "por", "en": "eng", "fr": "fre"}
+# Limits of page images, in pixels of the full page, gray levels and degrees.
+INK_BELOW, MASK_SCALE, LEAST_RUN = 200, 0.25, 8
+GUTTER, COLUMN_WIDTH, BLOCK_GAP, REGION_HEIGHT, BOX_MARGIN = 40, 30, 25, 20, 6
+SKEW_STEP, SKEW_FINE, SKEW_APPLIED = 0.5, 0.25, 0.5
+NON_TEXT_MARKER = "[región no textual: posible figura/tabla]"
+NON_TEXT_WORDS, NON_TEXT_CONF, NON_TEXT_INK = 5, 40.0, 0.05

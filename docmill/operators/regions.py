@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MIN_HEIGHT, GUTTER = 20, 40
+from ..functions.fixed import GUTTER, REGION_HEIGHT
 
 
 def zero_runs(cells: DataFrame, key: str, pos: str, value: str, min_run: int = 8) -> DataFrame:
@@ -26,7 +26,7 @@ def valid_regions(regions: DataFrame, key: str, order: str, width: Column, heigh
         (F.col("left") >= 0) & (F.col("left") < F.col("right")) & (F.col("right") <= width) & (F.col("top") >= 0) & (F.col("top") < F.col("bottom")) & (F.col("bottom") <= height)
     )
     w = Window.partitionBy(key, "left", "top", "right", "bottom").orderBy(order)
-    return regions.filter(inside & (F.col("bottom") - F.col("top") >= MIN_HEIGHT)).withColumn("nth", F.row_number().over(w)).filter("nth = 1").drop("nth")
+    return regions.filter(inside & (F.col("bottom") - F.col("top") >= REGION_HEIGHT)).withColumn("nth", F.row_number().over(w)).filter("nth = 1").drop("nth")
 
 
 def project(low: Column, high: Column, size: Column, scaled: Column, margin: int = 0) -> tuple[Column, Column]:

@@ -1,6 +1,6 @@
 """Registered queries and their SQL."""
 
-from . import documents, operations
+from . import documents, images, operations
 
-QUERIES = documents.QUERIES | operations.QUERIES
-ORACLE_SQL = documents.ORACLE_SQL | operations.ORACLE_SQL
+QUERIES = documents.QUERIES | operations.QUERIES | images.QUERIES
+ORACLE_SQL = documents.ORACLE_SQL | operations.ORACLE_SQL | images.ORACLE_SQL
