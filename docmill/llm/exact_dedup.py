@@ -6,9 +6,10 @@ compares the bytes of every member with those of the row that stays, so that a h
 collision can never drop a text. Members whose bytes differ are grouped again by the
 text itself.
 
-Scale: one shuffle of (hash, id) rows, and one of the texts for the comparison; a hot
-group is joined on its hash by an equi-join that adaptive execution can split, and counts
-are combined before they are shuffled. No group is gathered in one place.
+Scale: one shuffle of (hash, id) rows, and one of the texts, from which the members of groups
+are written to a table; only that table is shuffled again for the comparison. A hot group is
+joined on its hash by an equi-join that adaptive execution can split, and counts are combined
+before they are shuffled. No group is gathered in one place.
 
 Defined cases: null text equals empty text; a null id sorts behind all others and stays
 only in a group without any id; rows that repeat both id and text give one output row, and
@@ -47,8 +48,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = (
         hashed.groupBy("hash").agg(F.min("id").alias("keep"), F.sum("rows").alias("n"), F.count("*").alias("ids")).filter("ids > 1")
     )
-    members = (
-        slim.withColumn("hash", content_hash(F.col("norm"))).join(groups.select("hash", "keep"), "hash").select("hash", "keep", "id", "norm")
+    members = materialize(
+        slim.withColumn("hash", content_hash(F.col("norm"))).join(groups.select("hash", "keep"), "hash").select("hash", "keep", "id", "norm"),
+        "exact-members",
     )
     stays = members.filter("id <=> keep").groupBy("hash").agg(F.min("norm").alias("kept_norm"))
     compared = materialize(
