@@ -1 +1,5 @@
 """A PySpark-native engine for document intelligence."""
+
+from .engine import Engine, blank_pages, summary_records
+
+__all__ = ["Engine", "blank_pages", "summary_records"]

@@ -139,3 +139,19 @@ GUTTER, COLUMN_WIDTH, BLOCK_GAP, REGION_HEIGHT, BOX_MARGIN = 40, 30, 25, 20, 6
 SKEW_STEP, SKEW_FINE, SKEW_APPLIED = 0.5, 0.25, 0.5
 NON_TEXT_MARKER = "[región no textual: posible figura/tabla]"
 NON_TEXT_WORDS, NON_TEXT_CONF, NON_TEXT_INK = 5, 40.0, 0.05
+# Required tools, values of an idle throttling flag, metadata versions.
+HARD_TOOLS = ("pdftotext", "pdfinfo", "pdftoppm")
+NOT_THROTTLED = ("0", "0x0000000000000000", "n/a", "not active")
+META_VERSION = "1.0"
+CONTRACT_VERSION = "1.0"
+# Model services, their default models, key variables and addresses.
+DEFAULT_MODELS = {
+    "ollama": "qwen2.5:7b",
+    "openrouter": "qwen/qwen-2.5-7b-instruct",
+    "openai": "gpt-4o-mini",
+    "anthropic": "claude-haiku-4-5",
+}
+KEY_VARIABLES = {"openai": "OPENAI_API_KEY", "openrouter": "OPENROUTER_API_KEY", "anthropic": "ANTHROPIC_API_KEY"}
+CHAT_URLS = {"openai": "https://api.openai.com/v1", "openrouter": "https://openrouter.ai/api/v1"}
+MESSAGES_URL, MESSAGES_VERSION, MESSAGES_TOKENS = "https://api.anthropic.com/v1/messages", "2023-06-01", 4096
+LOCAL_URL, LOCAL_CONTEXT, TEMPERATURE = "http://localhost:11434", 16384, 0.2

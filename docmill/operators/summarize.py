@@ -1,42 +1,66 @@
-"""Model calls: fan-out over blocks or chapters, fan-in by section, and the result record.
+"""Model calls: fan-out over chapters and blocks, fan-in by section, and the merged summary.
 
 A summariser is a callable (text, lang, template) -> {section: content}, built once for each
-Python worker by a factory, so clients and connections stay on the executors. A failed call
-gives an error in its row and never fails the job.
+Python worker by a factory, so clients and connections stay on the executors. The plan is a
+single line (call, merge blocks, call, merge chapters, call): no part is sent twice because a
+result is used twice. A failed call gives an error in its row and never fails the job.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import time
 import urllib.request
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from ..functions import fixed as X
 from ..functions import structure as S
 from ..functions import text as T
-from .sections import consolidate
+from ..functions.text import strip
+from .sections import dedup_lines
 
 Summarizer = Callable[[str, str, str], dict[str, str]]
+#: What call_model adds to a row, or carries through where the row's text is null.
+OUTCOME = {"sections": "map<string,string>", "error": "string", "attempts": "int", "seconds": "double"}
 
 
-def http_summarizer(url: str, body: Callable[[str], dict], answer: Callable[[dict], str], headers: dict[str, str] | None = None, timeout: float = 600.0, retries: int = 2):
-    """Factory of a summariser behind an HTTP endpoint that takes the built prompt."""
+def _labels(template: str, lang: str) -> dict[str, str]:
+    at = X.LABEL_LANGS.index(lang) if lang in X.LABEL_LANGS else 0
+    return {X.LABELS[k][at]: k for k in X.TEMPLATES.get(template, X.TEMPLATES["C"])}
 
-    def factory() -> Callable[[str], str]:
-        def call(prompt: str) -> str:
-            last: Exception | None = None
-            for _ in range(retries + 1):
-                try:
-                    request = urllib.request.Request(url, json.dumps(body(prompt)).encode(), {"Content-Type": "application/json", **(headers or {})})
-                    with urllib.request.urlopen(request, timeout=timeout) as response:
-                        return answer(json.load(response))
-                except OSError as error:
-                    last = error
-            raise RuntimeError(str(last))
+
+def prompt_text(text: str, lang: str, template: str, max_chars: int = X.MAX_CHARS) -> str:
+    """The prompt of sections.prompt for one text, for clients that build it on an executor."""
+    fields = "\n".join(f"## {n}" for n in _labels(template, lang))
+    return "\n\n".join((X.INSTRUCTIONS.get(lang, X.INSTRUCTIONS["pt"]), fields, f'TEXTO:\n"""\n{text[:max_chars]}\n"""'))
+
+
+def answer_sections(markdown: str, lang: str, template: str) -> dict[str, str]:
+    """The sections of sections.parse_sections for one answer, thoughts removed."""
+    known = _labels(template, lang)
+    pieces = re.split(r"(?m)^[^\S\n]*##[^\S\n]+(\S.*?)[^\S\n]*$", re.sub(r"(?s)<think>.*?</think>", "", markdown))
+    found = {}
+    for label, body in zip(pieces[1::2], pieces[2::2]):
+        near = (k for n, k in known.items() if n.lower() in label.lower() or label.lower() in n.lower())
+        found[known.get(label) or next(near, label)] = body.strip()
+    return found
+
+
+def http_summarizer(url: str, body: Callable[[str], dict], answer: Callable[[dict], str], headers: dict[str, str] | None = None, timeout: float = 600.0) -> Callable[[], Summarizer]:
+    """Factory of a summariser behind an HTTP endpoint: ``body`` makes the request of a prompt, ``answer`` takes the text out of the response."""
+
+    def factory() -> Summarizer:
+        def call(text: str, lang: str, template: str) -> dict[str, str]:
+            sent = json.dumps(body(prompt_text(text, lang, template))).encode()
+            request = urllib.request.Request(url, sent, {"Content-Type": "application/json", **(headers or {})})
+            with urllib.request.urlopen(request, timeout=timeout) as response:
+                return answer_sections(answer(json.load(response)), lang, template)
 
         return call
 
@@ -49,56 +73,111 @@ def first_words(text: str, lang: str, template: str) -> dict[str, str]:
     return {k: f"[{lang}] {head}" for k in X.TEMPLATES.get(template, X.TEMPLATES["C"])}
 
 
-def call_model(parts: DataFrame, factory: Callable[[], Summarizer]) -> DataFrame:
-    """(doc_id, ord, sections, error) of parts (doc_id, ord, text, lang, template)."""
+def call_model(rows: DataFrame, factory: Callable[[], Summarizer], retries: int = 0) -> DataFrame:
+    """``rows`` (..., text, lang, template) without text and with OUTCOME: sections, error, attempts, seconds.
+
+    Rows with a null text are not sent; they keep the OUTCOME that they have. attempts and seconds add to
+    those that a row brings; an error comes after retries + 1 failures.
+    """
+    for name, kind in OUTCOME.items():
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(0 if name in ("attempts", "seconds") else None).cast(kind))
+    kept = [f for f in rows.schema if f.name not in ("text", *OUTCOME)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summarize = factory()
         for b in batches:
-            rows = b.to_pydict()
-            found, errors = [], []
-            for text, lang, template in zip(rows["text"], rows["lang"], rows["template"]):
-                try:
-                    found.append(list(summarize(text or "", lang, template).items()))
-                    errors.append(None)
-                except Exception as error:  # a document's failure is data, not the job's failure
-                    found.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(found, pa.map_(pa.string(), pa.string())), pa.array(errors, pa.string())], ["doc_id", "ord", "sections", "error"]
-            )
-
-    kind = parts.schema["doc_id"].dataType.simpleString()
-    return parts.select("doc_id", "ord", "text", "lang", "template").mapInArrow(run, f"doc_id {kind}, ord int, sections map<string,string>, error string")
+            sent = b.select(["text", "lang", "template", *OUTCOME]).to_pylist()
+            for r in sent:
+                if r["text"] is None:
+                    continue
+                began = time.perf_counter()
+                for _ in range(retries + 1):
+                    r["attempts"] += 1
+                    try:
+                        r["sections"], r["error"] = list(summarize(r["text"], r["lang"], r["template"]).items()), None
+                        break
+                    except Exception as error:  # a document's failure is data, not the job's failure
+                        r["sections"], r["error"] = None, f"{type(error).__name__}: {error}"[:2000]
+                r["seconds"] += time.perf_counter() - began
+            types = (pa.map_(pa.string(), pa.string()), pa.string(), pa.int32(), pa.float64())
+            new = [pa.array([r[n] for r in sent], t) for n, t in zip(OUTCOME, types)]
+            yield pa.RecordBatch.from_arrays([b.column(f.name) for f in kept] + new, [f.name for f in kept] + list(OUTCOME))
+
+    added = [T_.StructField(n, T_._parse_datatype_string(k)) for n, k in OUTCOME.items()]
+    return rows.mapInArrow(run, T_.StructType(kept + added))
 
 
 def plan_parts(docs: DataFrame, strategy: str = "excerpt", max_chars: int = X.MAX_CHARS) -> DataFrame:
-    """(doc_id, ord, text, lang, template): what is sent to the model for docs (doc_id, text, pages)."""
+    """(doc_id, chapter, block, chapters, blocks, text, lang, template): what is sent to the model for docs (doc_id, text, pages).
+
+    Only texts over ``max_chars`` follow the strategy: blocks is one chapter of several blocks, hierarchical
+    cuts each detected chapter into blocks; others send one excerpt. Unknown languages count as Portuguese.
+    """
+    typed = described(docs)
     text = F.col("text")
-    typed = docs.withColumn("lang", T.detect_language(text)).withColumn("tipo", T.document_type(text, F.col("pages"))).withColumn("template", T.template_of(F.col("tipo")))
-    one = F.array(S.excerpt(text, F.col("tipo"), max_chars)["text"])
+    one = F.array(F.array(S.excerpt(text, F.col("tipo"), max_chars)["text"]))
+    whole = F.array(S.blocks(text, max_chars))
     if strategy == "blocks":
-        parts = F.when(F.length(text) > max_chars, S.blocks(text, max_chars)).otherwise(one)
+        parts = F.when(F.length(text) > max_chars, whole).otherwise(one)
     elif strategy == "hierarchical":
         found = S.chapters(text)
-        each = F.flatten(F.transform(found, lambda c: S.blocks(c["text"], max_chars)))
-        parts = F.when(F.length(text) <= max_chars, one).when(F.size(found) > 0, each).otherwise(S.blocks(text, max_chars))
-    else:
+        each = F.transform(found, lambda c: S.blocks(c["text"], max_chars))
+        parts = F.when(F.length(text) <= max_chars, one).when(F.size(found) > 0, each).otherwise(whole)
+    elif strategy == "excerpt":
         parts = one
-    return typed.select("doc_id", F.posexplode(parts).alias("ord", "text"), "lang", "template")
-
-
-def summarize(docs: DataFrame, factory: Callable[[], Summarizer], strategy: str = "excerpt", max_chars: int = X.MAX_CHARS) -> DataFrame:
-    """(doc_id, sections, calls, error): parts summarised, merged by section, and merged texts of several parts summarised again."""
-    parts = plan_parts(docs, strategy, max_chars)
-    partial = call_model(parts, factory)
-    rows = partial.select("doc_id", "ord", F.explode("sections").alias("section", "content"))
-    merged = consolidate(rows, "doc_id").groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("section", "content"))).alias("sections"))
-    state = partial.groupBy("doc_id").agg(F.count("*").alias("calls"), F.max("error").alias("error"))
-    info = parts.groupBy("doc_id").agg(F.first("lang").alias("lang"), F.first("template").alias("template"))
-    whole = state.join(merged, "doc_id", "left").join(info, "doc_id")
-    again = whole.filter("calls > 1 and sections is not null").select("doc_id", F.lit(0).alias("ord"), F.array_join(F.map_values("sections"), "\n\n").alias("text"), "lang", "template")
-    final = call_model(again, factory).select("doc_id", F.col("sections").alias("final"), F.col("error").alias("late"))
-    return whole.join(final, "doc_id", "left").select(
-        "doc_id", F.coalesce("final", "sections").alias("sections"), (F.col("calls") + F.col("final").isNotNull().cast("int")).alias("calls"), F.coalesce("late", "error").alias("error")
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    chapters = typed.select("doc_id", "lang", "template", F.size(parts).alias("chapters"), F.posexplode(parts).alias("chapter", "texts"))
+    return chapters.select("doc_id", "chapter", "chapters", F.size("texts").alias("blocks"), F.posexplode("texts").alias("block", "text"), "lang", "template")
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """``docs`` (text, pages) with lang, tipo and template; a null text is empty."""
+    d = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    lang = T.detect_language(F.col("text"))
+    d = d.withColumn("lang", F.when(lang == "unknown", "pt").otherwise(lang)).withColumn("tipo", T.document_type(F.col("text"), F.col("pages")))
+    return d.withColumn("template", T.template_of(F.col("tipo")))
+
+
+def _merged(rows: DataFrame, keys: list[str], order: str, carried: list[str], join: Callable[[Column, Column], Column], *summed: str) -> DataFrame:
+    """Rows of each key as one: section contents in order through ``join``, the first error, sums of attempts and seconds."""
+    grouped = rows.groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(order, "sections")), lambda a, b: a[order] - b[order]), lambda p: p["sections"]).alias("all"),
+        *[F.first(c).alias(c) for c in carried],
+        F.min("error").alias("error"),
+        F.sum("attempts").cast("int").alias("attempts"),
+        F.sum("seconds").alias("seconds"),
+        *[F.sum(c).cast("int").alias(c) for c in summed],
     )
+    names = F.array_distinct(F.flatten(F.transform("all", F.map_keys)))
+    full = lambda k: F.filter(F.transform(F.col("all"), lambda s: F.try_element_at(s, k)), lambda v: strip(F.coalesce(v, F.lit(""))) != "")
+    content = F.map_from_entries(F.transform(names, lambda k: F.struct(k, join(k, full(k)))))
+    # A single part stays as the model gave it.
+    sections = F.when(F.col("error").isNull(), F.when(F.size("all") == 1, F.col("all")[0]).otherwise(content))
+    return grouped.withColumn("sections", sections).drop("all")
+
+
+def _union_text(several: Column) -> Column:
+    """The text of the call over merged sections; null where one part makes that call needless."""
+    lines = F.transform(F.filter(F.map_entries("sections"), lambda e: e["value"] != ""), lambda e: F.concat(e["key"], F.lit(":\n"), e["value"]))
+    return F.when(several & F.col("sections").isNotNull(), F.array_join(lines, "\n\n"))
+
+
+def summarize(docs: DataFrame, factory: Callable[[], Summarizer], strategy: str = "excerpt", max_chars: int = X.MAX_CHARS, retries: int = 0) -> DataFrame:
+    """(doc_id, sections, calls, error, attempts, seconds): one row for each document (doc_id, text, pages).
+
+    Blocks of a chapter are joined by section and summarised together, then chapters likewise. A document
+    with a failed call has its error and no sections. calls counts the parts and the calls over merged texts.
+    """
+    parts = call_model(plan_parts(docs, strategy, max_chars), factory, retries)
+    head = ["chapters", "blocks", "lang", "template"]
+    by_chapter = _merged(parts, ["doc_id", "chapter"], "block", head, lambda _, v: F.array_join(v, "\n"))
+    asked = by_chapter.withColumn("text", _union_text(F.col("blocks") > 1)).withColumn("calls", F.col("blocks") + F.col("text").isNotNull().cast("int"))
+    chapters = call_model(asked, factory, retries)
+    by_doc = _merged(
+        chapters, ["doc_id"], "chapter", ["chapters", "lang", "template"],
+        lambda k, v: F.when(k.isin(*X.DEDUP_KEYS), dedup_lines(v)).otherwise(F.array_join(v, "\n\n")), "calls",
+    )
+    asked = by_doc.withColumn("text", _union_text(F.col("chapters") > 1)).withColumn("calls", F.col("calls") + F.col("text").isNotNull().cast("int"))
+    return call_model(asked, factory, retries).select("doc_id", "sections", "calls", "error", "attempts", F.round("seconds", 6).alias("seconds"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import engine
+from ..functions import fixed as X
 from ..functions.text import route_ocr
-from ..operators import catalog, jobs, ocr, regions, reports
+from ..operators import catalog, environment, jobs, metadata, ocr, regions, reports, summarize
 from . import derive as D
 from .documents import docs
 
@@ -270,3 +272,60 @@ ORACLE_SQL = {
     "gap_islands": GAPS_SQL,
     "bench_delta": BENCH_SQL,
 }
+
+
+def readiness(spark, sf_dir):
+    """Line items as checks of workers (orders): nine names in turn, the first three of them hard."""
+    names = [*X.HARD_TOOLS, "tesseract", "ollama", "model:t", "model:vl", "openai_api_key", "tesseract-por"]
+    li = table(spark, sf_dir, "lineitem")
+    turn = F.col("l_partkey") % 9
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), (turn + 1).cast("int"))
+    return environment.readiness(li.select(F.col("l_orderkey").alias("host"), name.alias("name"), (F.col("l_quantity") > 10).alias("ok"), (turn < 3).alias("hard")), "host")
+
+
+READY_SQL = """WITH c AS (SELECT l_orderkey AS host, l_partkey % 9 AS n, l_quantity > 10 AS ok FROM lineitem),
+ h AS (SELECT host, coalesce(bool_and(ok) FILTER (WHERE n < 3), true) AS environment_ok, list(DISTINCT n) FILTER (WHERE ok) AS have FROM c GROUP BY host),
+ k AS (SELECT host, environment_ok, coalesce(have, []) AS have FROM h)
+ SELECT host, environment_ok, list_has_all(have, [0, 1, 2]) AS extraer_nativo, list_has_all(have, [0, 1, 2, 3]) AS ocr_imagen,
+ list_contains(have, 7) OR list_has_all(have, [4, 5]) AS resumen, list_has_all(have, [4, 6]) AS ocr_vlm FROM k"""
+
+
+def throttling(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    value = F.when(F.col("event_id") % 3 == 0, " Not Active").when(F.col("event_id") % 3 == 1, "0").otherwise("Active")
+    return environment.throttling(e.select(F.col("user_id").alias("gpu"), F.col("event_type").alias("reason"), value.alias("value")), "gpu")
+
+
+THROTTLE_SQL = """SELECT user_id AS gpu, bool_or(event_id % 3 = 2) AS active, coalesce(array_to_string(list_sort(list(DISTINCT event_type) FILTER (WHERE event_id % 3 = 2)), ','), '') AS reasons
+ FROM events GROUP BY user_id"""
+
+
+def ocr_meta(spark, sf_dir):
+    page = _page_details(spark, sf_dir).withColumn("page", F.lit(1))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.sha2(F.col("o_orderkey").cast("string"), 256).alias("pdf_sha256"), F.lit("escaneado").alias("source_kind"))
+    return metadata.ocr_meta(o, page, "por")
+
+
+META_SQL = f"""{OCR_SQL}, n AS (SELECT l_orderkey AS doc_id, CAST(count(*) AS INT) AS pages FROM lineitem GROUP BY 1)
+ SELECT '1.0' AS meta_version, '3' AS pipeline_version, false AS legacy, o_orderkey AS doc_id, sha256(CAST(o_orderkey AS VARCHAR)) AS pdf_sha256, coalesce(pages, 0) AS pages, 'escaneado' AS source_kind,
+ 'por' AS lang_ocr, paginas_vlm, paginas_vacias, paginas_vlm_rechazado, conf_media FROM orders LEFT JOIN q ON q.doc_id = o_orderkey LEFT JOIN n ON n.doc_id = o_orderkey"""
+
+
+def legacy_meta(spark, sf_dir):
+    marked = F.expr("'=== pág 1 ===' || chr(10) || replace(text, chr(10), chr(10) || '=== pág 2 ===' || chr(10))")
+    d = docs(spark, sf_dir, "doc_id", "text").select("doc_id", marked.alias("text"), F.sha2("text", 256).alias("pdf_sha256"))
+    return metadata.legacy_meta(d).select("doc_id", "legacy", "pages", "pdf_sha256", "source_kind")
+
+
+LEGACY_SQL = """SELECT doc_id, true AS legacy, CAST(1 + len(text) - len(replace(text, chr(10), '')) AS INT) AS pages, sha256(text) AS pdf_sha256, 'cached' AS source_kind FROM documents"""
+
+
+def summary_records(spark, sf_dir):
+    """Result records of the dry run over all documents, with the number of failed gates."""
+    d = docs(spark, sf_dir, "doc_id", "text").withColumn("pages", F.expr(D.PAGES))
+    made = engine.summary_records(d, lambda: summarize.first_words, "blocks", 2000)
+    return made.select("doc_id", "idioma_principal", "tipo_documento", "plantilla", "calls", "state", "text_chars", F.size("failures").alias("n_failures"), F.element_at("secciones", F.lit("titulo")).alias("titulo"))
+
+
+QUERIES |= {f.__name__: f for f in (readiness, throttling, ocr_meta, legacy_meta, summary_records)}
+ORACLE_SQL |= {"readiness": READY_SQL, "throttling": THROTTLE_SQL, "ocr_meta": META_SQL, "legacy_meta": LEGACY_SQL}

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from . import schemas
 
 
-def _stem(path: str = "_metadata.file_name"):
+def _stem(path: str):
     return F.regexp_replace(F.regexp_extract(path, r"([^/]+)$", 1), r"\.[^.]*$", "")
 
 
 def text_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, text): one row for each .txt file, named by its stem."""
-    return spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(_stem().alias("doc_id"), F.col("value").alias("text"))
+    """(doc_id, text): one row for each .txt file, named by its stem; bytes that are no UTF-8 become U+FFFD.
+
+    Spark's file listing leaves out files of zero bytes, so they give no row.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    return found.select(_stem("path").alias("doc_id"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def pdf_files(spark: SparkSession, path: str) -> DataFrame:

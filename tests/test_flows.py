@@ -8,11 +8,13 @@ from docmill.operators import summarize
 
 def test_sources(spark, tmp_path):
     (tmp_path / "b.txt").write_text("dos\nlíneas", "utf-8")
+    (tmp_path / "e.txt").write_bytes(b"a\xffb")
+    (tmp_path / "z.txt").write_bytes(b"")
     (tmp_path / "a.pdf").write_bytes(b"%PDF-1.4 x")
     (tmp_path / "c.pdf").write_bytes(b"nothing")
     (tmp_path / "report.json").write_text("{}")
     (tmp_path / "s.json").write_text('{"doc_id": "s", "plantilla": "C", "secciones": {"titulo": "t"}}')
-    assert [tuple(r) for r in sources.text_documents(spark, str(tmp_path)).collect()] == [("b", "dos\nlíneas")]
+    assert sorted(map(tuple, sources.text_documents(spark, str(tmp_path)).collect())) == [("b", "dos\nlíneas"), ("e", "a\ufffdb")]
     screened = {r.doc_id: r.status for r in sources.screen_uploads(sources.pdf_files(spark, str(tmp_path)), 9_000).collect()}
     assert screened == {"a": 202, "c": 415}
     assert [(r.doc_id, r.abstracts_origem) for r in sources.read_summaries(spark, str(tmp_path)).collect()] == [("s", [])]
