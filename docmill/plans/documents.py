@@ -178,6 +178,17 @@ def block_pack(spark, sf_dir):
     return x.select("doc_id", F.size("b").cast("long").alias("n_blocks"), F.coalesce(longest, F.lit(0)).cast("long").alias("longest"), F.sha2(F.regexp_replace(F.array_join("b", ""), r"\s", ""), 256).alias("content"))
 
 
+# RE2 repeats at most 1,000 times, hence two halves.
+PACK_SQL = rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_replace(replace(text, '. ', '.' || {D.NL} || {D.NL}), '^\s+|\s+$', '', 'g') AS w FROM documents),
+ p AS (SELECT doc_id, flatten(list_transform(regexp_extract_all(w, '(?s)(.+?(?:\n\s*\n|\z))', 1), lambda x: regexp_extract_all(x, '(?s)(.{{1,750}}.{{0,750}})', 1))) AS ps FROM d WHERE length(w) > 1500),
+ u AS MATERIALIZED (SELECT doc_id, unnest(ps) AS s, generate_subscripts(ps, 1) AS k FROM p),
+ f AS (SELECT doc_id, k, 0 AS block, length(s) AS n FROM u WHERE k = 1 UNION ALL
+ SELECT u.doc_id, u.k, CASE WHEN n + length(s) <= 1500 THEN block ELSE block + 1 END, CASE WHEN n + length(s) <= 1500 THEN n + length(s) ELSE length(s) END FROM f JOIN u ON u.doc_id = f.doc_id AND u.k = f.k + 1),
+ b AS (SELECT doc_id, block, regexp_replace(string_agg(s, '' ORDER BY k), '^\s+|\s+$', '', 'g') AS t FROM f JOIN u USING (doc_id, k) GROUP BY ALL UNION ALL SELECT doc_id, 0, w FROM d WHERE length(w) <= 1500),
+ g AS (SELECT doc_id, count(*) AS n_blocks, max(length(t)) AS longest FROM b WHERE t <> '' GROUP BY doc_id)
+ SELECT doc_id, coalesce(n_blocks, 0) AS n_blocks, coalesce(longest, 0) AS longest, sha256(regexp_replace(w, '[\s\x0B]', '', 'g')) AS content FROM d LEFT JOIN g USING (doc_id)"""
+
+
 def prompt_build(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "lang", "text", f"{D.TYPE} AS kind")
     p = sections.prompt(F.col("text"), F.col("lang"), T.template_of(F.col("kind")), 1000)
@@ -345,6 +356,7 @@ ORACLE_SQL = {
     "repeated_edges": EDGE_SQL + "SELECT doc_id, form, n FROM rep",
     "clean_text": CLEAN_SQL,
     "chapter_split": CHAPTER_SQL,
+    "block_pack": PACK_SQL,
     "prompt_build": PROMPT_SQL,
     "fake_summary": FAKE_SQL,
     "section_parse": SECTION_SQL,

@@ -224,6 +224,16 @@ def reading_order(spark, sf_dir):
     return r.select("page", F.array_join(F.transform("regions", lambda x: F.concat_ws(":", x["left"], x["top"])), ",").alias("order"))
 
 
+ORDER_SQL = (
+    REGIONS_SQL.replace("WITH b", "WITH RECURSIVE b")
+    + """, s AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY "left", top, "right", bottom) AS k FROM (SELECT DISTINCT page, "left", top, "right", bottom FROM r)),
+ f AS (SELECT page, k, "left", top, "right", bottom, "left" AS anchor, 1 AS col FROM s WHERE k = 1 UNION ALL
+ SELECT s.page, s.k, s."left", s.top, s."right", s.bottom, CASE WHEN s."left" - anchor > 20 THEN s."left" ELSE anchor END, CASE WHEN s."left" - anchor > 20 THEN col + 1 ELSE col END
+ FROM f JOIN s ON s.page = f.page AND s.k = f.k + 1)
+ SELECT page, string_agg("left" || ':' || top, ',' ORDER BY col, top, "left", "right", bottom) AS "order" FROM f GROUP BY page"""
+)
+
+
 def gap_islands(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", (F.col("event_id") % 500).alias("pos"), F.when(F.col("event_type") == "error", 1).otherwise(0).alias("value"))
     cells = e.groupBy("user_id", "pos").agg(F.max("value").alias("value"))
@@ -328,4 +338,4 @@ def summary_records(spark, sf_dir):
 
 
 QUERIES |= {f.__name__: f for f in (readiness, throttling, ocr_meta, legacy_meta, summary_records)}
-ORACLE_SQL |= {"readiness": READY_SQL, "throttling": THROTTLE_SQL, "ocr_meta": META_SQL, "legacy_meta": LEGACY_SQL}
+ORACLE_SQL |= {"reading_order": ORDER_SQL, "readiness": READY_SQL, "throttling": THROTTLE_SQL, "ocr_meta": META_SQL, "legacy_meta": LEGACY_SQL}

@@ -7,7 +7,7 @@ import pytest
 from docmill.plans import ORACLE_SQL, QUERIES
 from oracle import differences
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("ORACLE_SF", "/root/testdata/sf0.001")
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="tables are absent")
