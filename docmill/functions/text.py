@@ -176,9 +176,12 @@ def words(text: Column) -> Column:
 
 
 def lexical_overlap(vlm: Column, base: Column) -> Column:
-    """Share of the distinct base words of four letters or more that the other text has; 1 without any."""
+    """Share of the distinct base words of four letters or more that the other text has; 1 without any.
+
+    The long text is folded as a whole: folding turns letters into letters, so its words stay the same.
+    """
     own = F.array_distinct(F.transform(F.filter(base, lambda w: F.length(w) >= X.MIN_WORD_LEN), fold))
-    seen = F.array_distinct(F.transform(words(vlm), fold))
+    seen = words(fold(vlm))
     return F.when(F.size(own) == 0, F.lit(1.0)).otherwise(F.try_divide(F.size(F.array_intersect(own, seen)).cast("double"), F.size(own)))
 
 
@@ -188,11 +191,11 @@ def first_phrase(text: Column, phrases: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.when(F.contains(low, F.lit(p)), F.lit(p)) for p in phrases])
 
 
-def verify_vlm(vlm: Column, base: Column, pack: Column) -> Column:
-    """Reason to reject a vision model's transcription, null if it is accepted."""
+def verify_vlm(vlm: Column, base: Column, pack: Column, overlap: Column | None = None) -> Column:
+    """Reason to reject a vision model's transcription, null if it is accepted; ``overlap`` is its lexical overlap where a column has it."""
     text = strip(F.coalesce(vlm, F.lit("")))
     useful = F.size(F.filter(base, lambda w: F.length(w) >= X.MIN_WORD_LEN))
-    overlap = lexical_overlap(text, base)
+    overlap = lexical_overlap(text, base) if overlap is None else overlap
     allowed = F.filter(F.transform(F.split(pack, r"\+"), lambda p: pick(X.PACK_LANGS, p)), lambda p: p.isNotNull())
     found = detect_language(text)
     phrase = first_phrase(text, X.CHATTER)

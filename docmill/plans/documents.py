@@ -296,8 +296,9 @@ TRANSCRIPT_SQL = rf"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN re
 
 def vlm_verify(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "CASE WHEN doc_id % 10 = 0 THEN '  ' WHEN doc_id % 10 = 1 THEN 'The image shows ' || text ELSE text END AS vlm", "CASE WHEN doc_id % 10 = 2 THEN 'uno dos tres cuatro cinco seises sietes ochos nueves diez once' ELSE substr(text, 1, 120) END AS base")
-    reason = T.verify_vlm(F.col("vlm"), T.words(F.col("base")), F.lit("por+eng+spa"))
-    return d.select("doc_id", reason.isNull().alias("accepted"), F.coalesce(F.regexp_extract(reason, "^[a-z]+", 0), F.lit("")).alias("reason"), F.round(T.lexical_overlap(F.col("vlm"), T.words(F.col("base"))), 6).alias("overlap"))
+    d = d.withColumn("words", T.words(F.col("base"))).withColumn("overlap", T.lexical_overlap(F.col("vlm"), F.col("words")))
+    d = d.withColumn("reason", T.verify_vlm(F.col("vlm"), F.col("words"), F.lit("por+eng+spa"), F.col("overlap")))
+    return d.select("doc_id", F.col("reason").isNull().alias("accepted"), F.coalesce(F.regexp_extract("reason", "^[a-z]+", 0), F.lit("")).alias("reason"), F.round("overlap", 6).alias("overlap"))
 
 
 FOLD_SQL = "translate(lower(w), 'áàâãäåéèêëíìîïóòôõöúùûüçñýÿ', 'aaaaaaeeeeiiiiooooouuuucnyy')"
