@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_leaks
@@ -16,7 +16,7 @@ from .quality import fit_quality, score_quality
 from .secrets import BASE, joined, scan_secrets
 from .token_count import count_tokens
 from .toxicity import toxicity
-from .url_filter import filter_urls
+from .url_filter import filter_urls, host_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("hash")
 
 
+def shown_document(url: Column) -> Column:
+    """Number that ends the path, before an optional suffix and slash; query and fragment do not count."""
+    _, path = host_path(url)
+    return F.regexp_extract(path, r"/([0-9]{1,18})(?:\.[^/]*|[^/0-9]*)/*$", 1).try_cast("bigint")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity).
 
@@ -74,7 +80,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     that document's quality label is the page's label.
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    shown = F.expr("try_cast(regexp_extract(url, '/([0-9]{1,18})[^/0-9]*$', 1) as bigint)")
+    shown = shown_document(F.col("url"))
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").cast("long").alias("good"))
     marks = pages.select("page_id", shown.alias("doc_id")).join(labels, "doc_id").select(F.col("page_id").alias("id"), "good")
     return filter_urls(pages, marks)

@@ -12,7 +12,7 @@ from docmill.llm.line_dedup import repeated_lines, without_lines
 from docmill.llm.mixing import mix_sources, source_targets, words_taken
 from docmill.llm.near_dup import keep_one_of_each, least_matches, near_duplicates
 from docmill.llm.quality import fit_quality, keep_good, score_quality
-from docmill.llm.queries import ORACLE_SQL, QUERIES
+from docmill.llm.queries import ORACLE_SQL, QUERIES, shown_document
 from docmill.llm.secrets import joined, scan_secrets
 from docmill.llm.token_count import count_tokens
 from docmill.llm.toxicity import toxicity
@@ -214,3 +214,12 @@ def test_base_spans_against_brute_force(spark):
         spans += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
         spans += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
         assert got[k] == ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(spans))
+
+
+def test_shown_document_is_read_from_the_path(spark):
+    forms = {
+        "http://a.test/en/12": 12, "http://a.test/en/12/": 12, "http://a.test/en/12.html": 12, "http://a.test/en/12#top": 12, "http://a.test/en/12?page=2&ref=x": 12,
+        "http://a.test/en/12/?utm_source=feed#t3": 12, "http://a.test/en/x?id=/7": None, "http://77": None, "http://a.test/9/about": None, "": None, None: None,
+    }
+    df = spark.createDataFrame([(u,) for u in forms], "url string")
+    assert {r.url: r.n for r in df.select("url", shown_document(df.url).alias("n")).collect()} == forms
