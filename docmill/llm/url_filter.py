@@ -1,10 +1,11 @@
 """URL filter: explicit rules, then a path-template tree judged by smoothed labelled purity.
 
 Each host has a tree of path segments. Numbers and long hexadecimal segments are
-wildcards from the start. Level by level, a node with more than ``max_children`` different
-children turns them into one wildcard. Then, from the deepest level up, literal siblings whose
+wildcards from the start. From the deepest level up, literal siblings whose
 share of good labels does not differ from their parent's by a two-proportion z-test (or
-that have no labels at all) are merged into a wildcard. A template is blocked when
+that have no labels at all) are merged into a wildcard. Then, from the top down, the
+segments behind each wildcard are tested again over all that was merged with them, and those
+that differ come back. How many siblings there are decides nothing. A template is blocked when
 its purity, smoothed towards its host's and the corpus' share of good labels, is below
 ``min_purity``.
 
@@ -62,7 +63,7 @@ def segments(path: Column, max_depth: int) -> Column:
     return F.when(F.size(general) > max_depth, F.concat(F.slice(general, 1, max_depth), F.array(F.lit("**")))).otherwise(general)
 
 
-def path_templates(pages: DataFrame, labels: DataFrame, max_children: int, max_depth: int, z: float) -> DataFrame:
+def path_templates(pages: DataFrame, labels: DataFrame, max_depth: int, z: float) -> DataFrame:
     """(id, host, template, n, labelled, good) by page; ``labels`` has (id, good)."""
     rows = pages.select("id", "host", segments(F.col("path"), max_depth).alias("seg"))
     marks = labels.groupBy("id").agg(F.max("good").alias("good"))
@@ -74,46 +75,45 @@ def path_templates(pages: DataFrame, labels: DataFrame, max_children: int, max_d
     )
     tree = materialize(per_path, "url-tree")
     depth = min(max_depth + 1, tree.agg(F.coalesce(F.max(F.size("cur")), F.lit(0))).first()[0])
-    at = lambda d: F.get("cur", F.lit(d))
-    for d in range(depth):
-        prefix = F.slice("cur", 1, d) if d else F.array().cast("array<string>")
-        nodes = tree.filter(F.size("cur") > d).groupBy("host", prefix.alias("prefix"), at(d).alias("child")).agg(F.lit(1).alias("one"))
-        wide = nodes.groupBy("host", "prefix").agg(F.count("*").alias("children")).filter(F.col("children") > max_children)
-        tree = (
-            tree.withColumn("prefix", prefix)
-            .join(wide, ["host", "prefix"], "left")
-            .withColumn("cur", F.when(F.col("children").isNotNull() & (F.size("cur") > d), wildcard("cur", d)).otherwise(F.col("cur")))
-            .drop("prefix", "children")
-        )
-    tree = materialize(tree, "url-wide")
     for d in reversed(range(depth)):
         prefix = F.slice("cur", 1, d) if d else F.array().cast("array<string>")
-        key = tree.filter(F.size("cur") > d).select(
-            "host", prefix.alias("prefix"), at(d).alias("child"), F.size("cur").alias("levels"), "labelled", "good"
-        )
-        child = key.groupBy("host", "prefix", "levels", "child").agg(F.sum("labelled").alias("c_n"), F.sum("good").alias("c_good"))
-        parent = child.groupBy("host", "prefix", "levels").agg(F.sum("c_n").alias("p_n"), F.sum("c_good").alias("p_good"))
-        o_n, o_good = F.col("p_n") - F.col("c_n"), F.col("p_good") - F.col("c_good")
-        pooled = F.col("p_good") / F.col("p_n")
-        gap = F.abs(F.col("c_good") / F.col("c_n") - o_good / o_n)
-        differs = F.when(
-            (F.col("c_n") > 0) & (o_n > 0), gap > z * F.sqrt(pooled * (1 - pooled) * (1 / F.col("c_n") + 1 / o_n)) + 1e-12
-        ).otherwise(False)
-        merge = child.join(parent, ["host", "prefix", "levels"]).filter(~differs).select("host", "prefix", "levels", "child", F.lit(True).alias("merge"))
+        parts = tree.withColumn("prefix", prefix).withColumn("levels", F.size("cur")).withColumn("child", F.get("cur", F.lit(d)))
+        merge = siblings(parts.filter(F.size("cur") > d), ["host", "prefix", "levels"], z).filter("not differs").select("host", "prefix", "levels", "child", F.lit(True).alias("merge"))
         tree = (
-            tree.withColumn("prefix", prefix)
-            .withColumn("levels", F.size("cur"))
-            .withColumn("child", at(d))
-            .join(merge, ["host", "prefix", "levels", "child"], "left")
+            parts.join(merge, ["host", "prefix", "levels", "child"], "left")
             .withColumn("cur", F.when(F.col("merge") & (F.size("cur") > d), wildcard("cur", d)).otherwise(F.col("cur")))
             .drop("prefix", "levels", "child", "merge")
         )
-    tree = materialize(tree, "url-merged").withColumn("template", F.concat(F.lit("/"), F.array_join("cur", "/")))
+        tree = materialize(tree, "url-merged")
+    for d in range(depth):
+        merged = F.get("cur", F.lit(d)) == WILD
+        parts = tree.withColumn("all", F.col("cur")).withColumn("child", F.get("seg", F.lit(d)))
+        restore = siblings(parts.filter(merged), ["host", "all"], z).filter(F.col("differs") & (F.col("child") != WILD)).select("host", "all", "child", F.lit(True).alias("restore"))
+        tree = (
+            parts.join(restore, ["host", "all", "child"], "left")
+            .withColumn("cur", F.when(F.col("restore") & merged, F.transform("cur", lambda s, i: F.when(i == d, F.col("child")).otherwise(s))).otherwise(F.col("cur")))
+            .drop("all", "child", "restore")
+        )
+        tree = materialize(tree, "url-restored")
+    tree = tree.withColumn("template", F.concat(F.lit("/"), F.array_join("cur", "/")))
     sums = tree.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("good").alias("good"))
     judged = tree.select("host", "seg", "template").join(sums, ["host", "template"])
     return rows.join(judged, ["host", "seg"]).select("id", "host", "template", "n", "labelled", "good")
 
 
+def siblings(parts: DataFrame, node: list[str], z: float) -> DataFrame:
+    """(*node, child, differs): whether a child's share of good labels differs from that of its siblings' labels."""
+    child = parts.groupBy(*node, "child").agg(F.sum("labelled").alias("c_n"), F.sum("good").alias("c_good"))
+    parent = child.groupBy(*node).agg(F.sum("c_n").alias("p_n"), F.sum("c_good").alias("p_good"))
+    o_n, o_good = F.col("p_n") - F.col("c_n"), F.col("p_good") - F.col("c_good")
+    pooled = F.col("p_good") / F.col("p_n")
+    gap = F.abs(F.col("c_good") / F.col("c_n") - o_good / o_n)
+    differs = F.when(
+        (F.col("c_n") > 0) & (o_n > 0), gap > z * F.sqrt(pooled * (1 - pooled) * (1 / F.col("c_n") + 1 / o_n)) + 1e-12
+    ).otherwise(False)
+    return child.join(parent, node).select(*node, "child", differs.alias("differs"))
+
+
 def wildcard(cur: str, d: int) -> Column:
     """Level ``d`` as a wildcard; a file suffix stays."""
     return F.transform(cur, lambda s, i: F.when(i == d, F.when(s == "**", s).otherwise(WILD)).otherwise(s))
@@ -127,7 +127,6 @@ def filter_urls(
     rules=RULES,
     min_purity: float = 0.5,
     strength: float = 20.0,
-    max_children: int = 32,
     max_depth: int = 8,
     z: float = 2.58,
 ) -> DataFrame:
@@ -140,7 +139,6 @@ def filter_urls(
     by_page = path_templates(
         tagged.select(F.col("u.uid").alias("id"), "host", "path"),
         tagged.select(F.col("u.uid").alias("uid"), "id").join(labels.groupBy("id").agg(F.max("good").alias("good")), "id").select(F.col("uid").alias("id"), "good"),
-        max_children,
         max_depth,
         z,
     )

@@ -223,3 +223,12 @@ def test_shown_document_is_read_from_the_path(spark):
     }
     df = spark.createDataFrame([(u,) for u in forms], "url string")
     assert {r.url: r.n for r in df.select("url", shown_document(df.url).alias("n")).collect()} == forms
+
+
+@pytest.mark.parametrize("sections", [30, 50])
+def test_a_bad_section_is_blocked_among_any_number_of_siblings(spark, sections):
+    rows = [(1000 * s + k, f"http://h.test/s{s}/p{k}", int(s != 7)) for s in range(sections) for k in range(40)]
+    rows += [(100_000 + 10 * u + k, f"http://u.test/u{u}/{('posts', 'about')[k]}", k) for u in range(sections) for k in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, good int")
+    got = {r.page_id: r.verdict for r in filter_urls(df.drop("good"), df.selectExpr("page_id AS id", "good")).collect()}
+    assert got == {i: "allow" if good else "block" for i, _, good in rows}
