@@ -2,16 +2,17 @@
 
 Base spans are found by pattern (``assign``, ``access``, ``hex``) and are always reported.
 Weak candidates (``weak_id``, ``weak_secret``, ``endpoint``) mean little alone: each is
-reported only when its complementary parts lie within ``scope`` code points of it:
+reported only when its complementary parts lie within ``scope`` code points of it, end to start:
 
 * a weak secret needs an identifier nearby, a weak identifier needs a secret nearby;
 * an endpoint needs both an identifier and a secret nearby;
 * base ``access`` spans are identifiers, base ``assign`` and ``hex`` spans are secrets.
 
-The link is an interval join by an equi-join on (document, cell of ``scope`` code points).
-Before it, the parts of a cell are reduced to the smallest and largest start, which
-decide whether any part lies near enough; so a document full of candidates makes rows in
-proportion to their number, never one for each pair.
+Nearness is the gap between two spans, whatever their lengths. The link is an interval join by
+an equi-join on (document, cell of ``scope`` code points). A part is in every cell that it touches, a
+weak candidate in every cell that it touches when widened by ``scope``. Before the join, the parts of a
+cell are reduced to their smallest and largest point, which decide whether any part lies near enough; so
+a document full of candidates makes rows in proportion to their number and length, never one for each pair.
 
 Defined cases: null text is empty; offsets are code points, ends exclusive; a weak
 candidate that overlaps a base span is dropped, the base span covers it; repeated rows give
@@ -102,18 +103,22 @@ def link_parts(arrays: DataFrame, scope: int) -> DataFrame:
     """(uid, linked): the weak candidates whose complementary parts lie within ``scope``."""
     part = F.create_map(*[F.lit(x) for k, v in KINDS.items() for x in (k, v[4])])
     some = arrays.filter(F.size("weak") > 0)
+    cell = lambda x: F.floor(x / scope)
+    cells = lambda lo, hi: F.sequence(cell(lo), cell(hi))
+    start, end = F.col("s.start"), F.col("s.end")
+    # both ends of a part, and where it enters a cell: any range of two cells' length that it meets holds one of them
+    points = F.concat(F.transform(cells(start, end), lambda c: F.greatest(start.cast("long"), c * scope)), F.array(end.cast("long")))
     parts = (
         some.select("uid", F.explode(F.concat("base", "weak")).alias("s"))
-        .select("uid", part[F.col("s.kind")].alias("part"), F.col("s.start").alias("start"))
+        .select("uid", part[F.col("s.kind")].alias("part"), points.alias("points"))
         .filter("part != 'endpoint'")
-        .withColumn("cell", F.floor(F.col("start") / scope))
-        .groupBy("uid", "part", "cell")
-        .agg(F.min("start").alias("first"), F.max("start").alias("last"))
-        .select("uid", "part", "first", "last", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell"))
+        .select("uid", "part", F.explode("points").alias("point"))
+        .groupBy("uid", "part", cell(F.col("point")).alias("cell"))
+        .agg(F.min("point").alias("first"), F.max("point").alias("last"))
     )
-    weak = some.select("uid", F.explode("weak").alias("w")).withColumn("cell", F.floor(F.col("w.start") / scope))
-    start = F.col("w.start")
-    near = (F.abs(start - F.col("first")) <= scope) | (F.abs(start - F.col("last")) <= scope) | start.between(F.col("first"), F.col("last"))
+    lo, hi = F.col("w.start") - scope, F.col("w.end") + scope
+    weak = some.select("uid", F.explode("weak").alias("w")).select("uid", "w", F.explode(cells(lo, hi)).alias("cell"))
+    near = (F.col("first") <= hi) & (F.col("last") >= lo)
     seen = (
         weak.join(parts, ["uid", "cell"])
         .filter(near)

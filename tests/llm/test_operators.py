@@ -232,3 +232,20 @@ def test_a_bad_section_is_blocked_among_any_number_of_siblings(spark, sections):
     df = spark.createDataFrame(rows, "page_id long, url string, good int")
     got = {r.page_id: r.verdict for r in filter_urls(df.drop("good"), df.selectExpr("page_id AS id", "good")).collect()}
     assert got == {i: "allow" if good else "block" for i, _, good in rows}
+
+
+def test_nearness_of_parts_is_the_gap_between_spans(spark):
+    weak, ident = "Zz9/" * 10, "login=bob77"
+    long_url = "https://x.example/" + "y" * 1700
+    texts = [
+        "token=" + "k" * 800 + "\n" + ident, "token=" + "k" * 800 + "\nhttps://x.example/y " + ident, long_url + " " + ident + " " + weak,
+        weak + " " * 400 + ident, weak + " " * 401 + ident, ident + " " * 400 + weak, ident + " " * 401 + weak, "token=" + "k" * 1234 + " " * 401 + ident, "token=" + "k" * 1234 + " " * 400 + ident,
+    ]
+    part = {"assign": "secret", "access": "id", "hex": "secret", "weak_id": "id", "weak_secret": "secret"}
+    need = {"weak_id": {"secret"}, "weak_secret": {"id"}, "endpoint": {"id", "secret"}}
+    got = {r.doc_id: r.spans for r in scan_secrets(table(spark, list(enumerate(texts)))).collect()}
+    everything = {r.doc_id: r.spans for r in scan_secrets(table(spark, list(enumerate(texts))), scope=10_000).collect()}
+    for k in range(len(texts)):
+        near = lambda w: {part.get(s.kind) for s in everything[k] if max(s.start - w.end, w.start - s.end) <= 400}  # noqa: E731, B023
+        assert got[k] == [w for w in everything[k] if not need.get(w.kind, set()) - near(w)], k
+    assert [len(got[k]) for k in range(len(texts))] == [2, 3, 3, 2, 0, 2, 0, 1, 2]
