@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._store import materialize
 from .quality import texts_of
 
 SHARD_WORDS = 40_000
@@ -197,6 +198,10 @@ def _searcher(index, threshold: float, overlap: float):
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that leak an item; all columns stay as they are."""
-    leaks = find_leaks(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col(id_col).alias("__leak")).distinct()
-    return docs.join(leaks, docs[id_col] == F.col("__leak"), "left_anti")
+    """``docs`` without the rows that leak an item; all columns stay as they are.
+
+    Rows are told apart by a key of their own, so a leak goes whatever its ``id_col`` is, null too.
+    """
+    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "leak-rows")
+    leaks = find_leaks(keyed, benchmark, id_col="__row", text_col=text_col).select("__row").distinct()
+    return keyed.join(leaks, "__row", "left_anti").select(*docs.columns)

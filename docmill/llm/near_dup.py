@@ -332,6 +332,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
 
 
 def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class (its smallest id); all columns stay as they are."""
-    gone = near_duplicates(docs, threshold, id_col, text_col).filter(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("__gone"))
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    """``docs`` with one row of each class (its smallest id, null only if it has no other); all columns stay as they are.
+
+    Rows are told apart by a key of their own, so null ids take part like others.
+    """
+    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    ids = keyed.select("__row", F.col(id_col).alias("__id"))
+    rows = near_duplicates(keyed, threshold, "__row", text_col).select("__row", F.col("class_id").alias("__class"))
+    first = rows.join(ids, "__row").groupBy("__class").agg(F.min(F.struct(F.col("__id").isNull(), "__id", "__row")).alias("__first"))
+    return keyed.join(first.select(F.col("__first.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)

@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from docmill.llm.decontaminate import drop_leaks, find_leaks
+from docmill.llm.near_dup import keep_one_of_each
 from docmill.llm.secrets import scan_secrets
 from docmill.llm.token_count import count_tokens
 from docmill.llm.toxicity import toxicity
@@ -119,3 +120,17 @@ def test_row_operators_take_clashing_columns(spark):
     pages = spark.createDataFrame([(1, "http://a.b/c", "h", "p", "r", "v", 1, "i", "t")], "page_id long, url string, host string, path string, rule string, verdict string, good int, id string, template string")
     marks = spark.createDataFrame([(1, None, "http://x"), (None, 1, "y")], "id long, good long, url string")
     assert [(r.host, r.path) for r in filter_urls(pages, marks).select("host", "path").collect()] == [("a.b", "/c")]
+
+
+def test_rows_with_null_ids_are_dropped_like_others(spark):
+    docs = spark.createDataFrame([(1, "clean text of some length here"), (None, QUESTION), (None, "another clean text"), (2, QUESTION)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    kept = drop_leaks(docs, items)
+    assert sorted(r.text for r in kept.collect()) == ["another clean text", "clean text of some length here"]
+    a, b = (" ".join(words(seed, 100)) for seed in (1, 2))
+    copies = [(5, a), (None, a), (None, a + " tail"), (None, b), (None, b), (None, b + " tail"), (9, "solo text"), (8, "Solo  text"), (None, None)]
+    one = keep_one_of_each(spark.createDataFrame(copies, "doc_id long, text string"))
+    assert one.columns == ["doc_id", "text"]
+    got = sorted(((r.doc_id, r.text) for r in one.collect()), key=str)
+    assert len(got) == 4 and [i for i, _ in got if i is not None] == [5, 8]
+    assert {t for i, t in got if i is None} - {b, b + " tail"} == {None}
