@@ -11,6 +11,8 @@ import xxhash
 BITS = 18
 DIM = 1 << BITS
 MEMO = 300_000
+#: Words of more characters are not remembered.
+LONG = 64
 SIGNS = ".,;:!?\"'()[]*#%&$"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -26,7 +28,6 @@ _RUNS = ((re.compile(r"[^\W\d_a-z]+"), lambda m: "".join(dict.fromkeys("A" if c.
 
 def shape(word: str) -> str:
     """The word with letters as a or A, digits as 9, runs shortened, and signs as they are."""
-    word = word[:64]
     if word.isalpha():
         return "a" if word.islower() else "A" if word.isupper() else "Aa" if word[1:].islower() else "aA"
     for run, one in _RUNS:
@@ -44,9 +45,14 @@ class Words:
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        for w in set(words).difference(memo):
+        new = set(words).difference(memo)
+        for w in new:
             memo[w] = xxhash.xxh3_64_intdigest(w.lower()) & ~0xFFFF | zlib.crc32(shape(w).encode()) & 0xFFFF
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        out = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        for w in new:
+            if len(w) > LONG:
+                del memo[w]
+        return out
 
 
 def _bigrams(h: np.ndarray) -> np.ndarray:

@@ -249,3 +249,13 @@ def test_nearness_of_parts_is_the_gap_between_spans(spark):
         near = lambda w: {part.get(s.kind) for s in everything[k] if max(s.start - w.end, w.start - s.end) <= 400}  # noqa: E731, B023
         assert got[k] == [w for w in everything[k] if not need.get(w.kind, set()) - near(w)], k
     assert [len(got[k]) for k in range(len(texts))] == [2, 3, 3, 2, 0, 2, 0, 1, 2]
+
+
+def test_shapes_of_long_words_are_whole():
+    from docmill.llm.linear import Words, shape
+
+    long, other = "a" * 70 + "9-B", "a" * 70 + "B-9"
+    assert shape(long) == "a9-A"
+    w = Words()
+    h = w.hashes([long, other, long, "word"])
+    assert h[0] == h[2] and h[0] & 0xFFFF != h[1] & 0xFFFF and set(w.memo) == {"word"}
