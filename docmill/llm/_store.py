@@ -1,19 +1,29 @@
-"""Shared storage for intermediate tables.
+"""Shared storage for intermediate tables, and joins with small tables.
 
 Intermediates are cut from their lineage by writing them as Parquet below
 ``spark.checkpoint.dir``, a folder that every executor and the driver share. A lost
 executor then costs only the tasks that ran on it. The setting is read from the session;
 only where it is unset (local tests) a temporary folder of this machine is used.
+
+All tables of a session stand in one folder below it. A table whose last reader has
+been written is discarded at once; ``clear`` removes what is left, when the results that read it are
+no longer needed.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows up to which a table of short keys is broadcast (about 100 bytes a row); larger ones are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 _local: dict[str, str] = {}
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,8 +36,43 @@ def shared_dir(spark: SparkSession) -> str:
     return _local.setdefault("dir", tempfile.mkdtemp(prefix="docmill-"))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and return the table as read again."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this session's intermediates."""
+    return f"{shared_dir(spark).rstrip('/')}/docmill-{spark.sparkContext.applicationId}"
+
+
+def materialize(df: DataFrame, name: str, *replaced: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and return the table as read again.
+
+    ``replaced`` are materialized tables that nothing but ``df`` reads; they are discarded.
+    """
+    spark = df.sparkSession
+    path = f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    discard(*replaced)
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove materialized tables that no later job reads."""
+    for table in tables:
+        path = _paths.pop(table, None)
+        if path:
+            _delete(table.sparkSession, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all intermediates of this session; results that still read them can be used no longer."""
+    _delete(spark, run_dir(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A materialized table of short rows, marked for broadcast if it is counted to have at most ``rows`` rows."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table

@@ -4,23 +4,31 @@ A text is the sequence of its non-blank lines. Level 0 ranks every line that occ
 once; level k ranks prefixes of 2^k lines: a suffix's rank at level k + 1 follows from its rank
 at level k and that of the suffix 2^k lines on, so the ranks order the suffixes by
 their first 2^(k+1) lines. Suffixes whose prefix occurs only once leave the array, as
-they can start no longer repeat. All suffixes of one rank form an interval whose longest
-common prefix is at least 2^k lines; for any length m the pair of ranks (level k at i, level
-k at i + m - 2^k, with 2^k <= m) names the interval of common prefixes of m lines.
-
-A repeated run counts from ``min_words`` words. Each line has two least windows that
-reach that size, one that starts and one that ends with it; every maximal repeated run is the
-union of such windows. A window whose interval has an earlier suffix is a later copy, and
-its lines are deleted. The first copy of a run stays.
-
-Scale: lines are reduced to those that repeat before the first level, and windows reach
-``min_words`` words within that many lines, so there are at most log2(min_words) + 1 levels.
-Ranks are grouped counts, a range partitioning of the distinct keys, and joins on the
-keys, which adaptive execution can split where a line is in a third of all texts.
+they can start no longer repeat. The suffixes that share their first m lines are an
+interval of the array; the pair of ranks (level k at i, level k at i + m - 2^k, with 2^k <= m)
+names the interval of depth m that holds suffix i.
+
+What is deleted: a repeated run is a sequence of lines with ``min_words`` words or more that occurs
+at more than one place. Its first occurrence, in the order of ids (null last), rows and lines, stays
+for its sake; a line of a later occurrence goes unless it also stands in the first one, which
+happens where a run overlaps itself. So twenty equal lines of ten words keep five of them, and A B A B A
+with long lines keeps A B, as its third line repeats the first.
+
+Only least intervals need to be formed. Each line has two least windows that reach ``min_words``:
+one that starts and one that ends with it. A later occurrence [i, i + m) of a run whose first one starts
+at f is covered by least windows inside it, and each of those occurs inside [f, f + m) too. A line of the
+former outside the latter lies behind it or in another text, hence outside the first copy of its least
+window as well. So intervals deeper than the least windows delete nothing more, and doubling
+ends at the lines that ``min_words`` words can span.
+
+Scale: lines are reduced to those that repeat before the first level, and there are at most
+log2(min_words) + 1 levels. Ranks are grouped counts, a range partitioning of the distinct keys, and
+joins on the keys, which adaptive execution can split where a line is in a third of all texts.
 
 Defined cases: null and empty texts have no lines; blank lines never count and are never
-deleted; order is that of ids (null last), rows and lines; repeated rows are copies of the first;
-texts of any length are whole; an empty table gives an empty result.
+deleted; repeated rows (same id and text, or null ids) are texts of their own, of which the first stays;
+texts of any length are whole; an empty table gives an empty result; further columns of any name are
+ignored, or passed through by ``cut_repeats``.
 """
 
 from __future__ import annotations
@@ -30,15 +38,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._store import materialize
 from .quality import texts_of
 
+LINES = "lines int, hash array<binary>, place array<int>, ahead array<int>, back array<int>"
 
-def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(uid, id, lines, hash, place, ahead, back): a row for each text, arrays over its non-blank lines.
+
+def line_table(rows: DataFrame, min_words: int) -> DataFrame:
+    """(uid, id, lines, hash, place, ahead, back) of rows (uid, id, text): arrays over the non-blank lines of each.
 
     ahead and back are the numbers of lines of the least windows that start and end with the
     line, 0 if the text ends before ``min_words`` words.
@@ -63,9 +73,8 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
             arrays = [pa.array(cols[0], pa.list_(pa.binary()))] + [pa.array(c, pa.list_(pa.int32())) for c in cols[1:]]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(total, pa.int32()), *arrays], ["uid", "id", "lines", "hash", "place", "ahead", "back"])
 
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    numbered = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return numbered.mapInArrow(run, f"uid long, id {kind}, lines int, hash array<binary>, place array<int>, ahead array<int>, back array<int>")
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("uid", "id", "text").mapInArrow(run, f"uid long, id {kind}, {LINES}")
 
 
 def ranked(keys: DataFrame, by: list[str]) -> DataFrame:
@@ -74,12 +83,12 @@ def ranked(keys: DataFrame, by: list[str]) -> DataFrame:
     return materialize(ordered.withColumn("rank", F.monotonically_increasing_id()), "line-ranks")
 
 
-def repeated_windows(suffixes: DataFrame, windows: DataFrame, levels: int) -> DataFrame:
-    """(uid, pos, m, first) of the windows that occur more than once; first is their earliest place.
+def later_copies(suffixes: DataFrame, windows: DataFrame, levels: int) -> list[DataFrame]:
+    """(uid, pos, m, first_uid, first_pos) of the windows that repeat an earlier one, the first of its interval; a table for each level.
 
     ``suffixes`` has (uid, pos, rank) at level 0, ``windows`` (uid, pos, m, ord).
     """
-    out = None
+    out = []
     for k in range(levels):
         width = 1 << k
         here = windows.filter((F.col("m") >= width) & (F.col("m") < 2 * width)).join(suffixes.withColumnRenamed("rank", "r1"), ["uid", "pos"])
@@ -88,52 +97,71 @@ def repeated_windows(suffixes: DataFrame, windows: DataFrame, levels: int) -> Da
             here = here.withColumn("tail", F.col("pos") + F.col("m") - width).join(tail, ["uid", "tail"])
         else:
             here = here.withColumn("r2", F.col("r1"))
-        spans = here.groupBy("m", "r1", "r2").agg(F.min("ord").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        later = here.join(spans, ["m", "r1", "r2"]).filter(F.col("ord") > F.col("first")).select("uid", "pos", "m")
-        out = later if out is None else out.unionByName(later)
+        interval = here.groupBy("m", "r1", "r2").agg(F.min("ord").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+        later = here.join(interval, ["m", "r1", "r2"]).filter(F.col("ord") > F.col("first"))
+        out.append(materialize(later.select("uid", "pos", "m", F.col("first.uid").alias("first_uid"), F.col("first.pos").alias("first_pos")), "line-later"))
         if k + 1 < levels:
             pairs = suffixes.join(suffixes.select("uid", (F.col("pos") - width).alias("pos"), F.col("rank").alias("next")), ["uid", "pos"])
             keys = pairs.groupBy("rank", "next").agg(F.count("*").alias("n")).filter("n > 1").select("rank", "next")
             order = ranked(keys.withColumnRenamed("rank", "r"), ["r", "next"])
-            suffixes = materialize(
-                pairs.withColumnRenamed("rank", "r").join(order, ["r", "next"]).select("uid", "pos", "rank"), "line-suffixes"
-            )
+            deeper = pairs.withColumnRenamed("rank", "r").join(order, ["r", "next"]).select("uid", "pos", "rank")
+            suffixes = materialize(deeper, "line-suffixes", order, *([suffixes] if k else []))
     return out
 
 
-def repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_lines, n_dropped, dropped) for every row: places of the lines that belong to later copies."""
-    texts = materialize(line_table(docs, min_words, id_col, text_col), "line-texts")
+def repeats(rows: DataFrame, min_words: int) -> DataFrame:
+    """(uid, id, lines, dropped) of rows (uid, id, text), whose uids are unique: places of the lines that go, in order."""
+    texts = materialize(line_table(rows, min_words), "line-texts")
     lines = texts.select("uid", "id", F.posexplode(F.arrays_zip("hash", "ahead", "back")).alias("pos", "x")).select(
         "uid", "id", "pos", "x.hash", "x.ahead", "x.back"
     )
     often = lines.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    active = materialize(lines.join(ranked(often, ["hash"]), "hash").select("uid", "id", "pos", "rank", "ahead", "back"), "line-active")
-    at = lambda pos: F.struct(F.col("id").isNull().alias("none"), "id", "uid", pos.alias("pos"))
+    order = ranked(often, ["hash"])
+    active = materialize(lines.join(order, "hash").select("uid", "id", "pos", "rank", "ahead", "back"), "line-active", order)
+
+    def at(pos: Column) -> Column:
+        return F.struct(F.col("id").isNull().alias("none"), "id", "uid", pos.alias("pos"))
+
+    both = F.array(F.struct("pos", F.col("ahead").alias("m")), F.struct((F.col("pos") - F.col("back") + 1).alias("pos"), F.col("back").alias("m")))
     windows = (
-        active.select("uid", "id", F.explode(F.array(F.struct("pos", F.col("ahead").alias("m")), F.struct((F.col("pos") - F.col("back") + 1).alias("pos"), F.col("back").alias("m")))).alias("w"))
+        active.select("uid", "id", F.explode(both).alias("w"))
         .filter("w.m > 0")
         .select("uid", F.col("w.pos").alias("pos"), F.col("w.m").alias("m"), at(F.col("w.pos")).alias("ord"))
         .distinct()
     )
-    later = repeated_windows(active.select("uid", "pos", "rank"), windows, max(1, int(min_words).bit_length()))
+    levels = later_copies(active.select("uid", "pos", "rank"), windows, max(1, int(min_words).bit_length()))
+    later = levels[0]
+    for level in levels[1:]:
+        later = later.unionByName(level)
+    in_first = (F.col("first_uid") == F.col("uid")) & F.col("at").between(F.col("first_pos"), F.col("first_pos") + F.col("m") - 1)
     gone = (
-        later.select("uid", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("m") - 1)).alias("pos"))
+        later.withColumn("at", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("m") - 1)))
+        .filter(~in_first)
         .groupBy("uid")
-        .agg(F.array_sort(F.collect_set("pos")).alias("gone"))
-    )
-    dropped = F.transform("gone", lambda p: F.get("place", p))
-    return texts.join(gone, "uid", "left").select(
-        F.col("id").alias(id_col),
-        F.col("lines").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).alias("n_dropped"),
-        F.coalesce(dropped, F.array().cast("array<int>")).alias("dropped"),
+        .agg(F.array_sort(F.collect_set("at")).alias("gone"))
     )
+    gone = materialize(gone, "line-gone", active, *levels)
+    dropped = F.coalesce(F.transform("gone", lambda p: F.get("place", p)), F.array().cast("array<int>"))
+    return texts.select("uid", "id", "lines", "place").join(gone, "uid", "left").select("uid", "id", "lines", dropped.alias("dropped"))
+
 
+def repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_lines, n_dropped, dropped) for every row: places of the lines that belong to later copies."""
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = repeats(rows, min_words)
+    return found.select(F.col("id").alias(id_col), F.col("lines").alias("n_lines"), F.size("dropped").alias("n_dropped"), "dropped")
 
-def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the dropped lines cut out of the texts; ids are to be unique."""
-    d = dropped.filter("n_dropped > 0").select(F.col(id_col).alias("__id"), F.col("dropped").alias("__dropped"))
-    kept = F.array_join(F.filter(F.split(text_col, "\n", -1), lambda _, k: ~F.array_contains("__dropped", k)), "\n")
-    joined = docs.join(d, docs[id_col] == F.col("__id"), "left")
-    return joined.withColumn(text_col, F.when(F.col("__dropped").isNull(), F.col(text_col)).otherwise(kept)).drop("__id", "__dropped")
+
+def cut_repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with later copies cut out of the texts; every row stays, in all its columns, and ids need not be unique.
+
+    Rows are told apart by a key of their own, written with them.
+    """
+    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "line-rows")
+    rows = keyed.select(F.col("__row").alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = materialize(repeats(rows, min_words).filter(F.size("dropped") > 0).select(F.col("uid").alias("__row"), F.col("dropped").alias("__dropped")), "line-found")
+    # the lines are a column of their own, so that a text is split once
+    lines = keyed.join(found, "__row", "left").withColumn("__lines", F.when(F.col("__dropped").isNotNull(), F.split(text_col, "\n", -1)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__dropped")
+    cut = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda k: F.get("__lines", k)), "\n"))
+    return lines.withColumn(text_col, cut).select(*docs.columns)

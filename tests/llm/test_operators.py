@@ -8,7 +8,7 @@ import pytest
 
 from docmill.llm.decontaminate import find_leaks
 from docmill.llm.exact_dedup import drop_exact_copies, exact_dedup
-from docmill.llm.line_dedup import repeated_lines, without_lines
+from docmill.llm.line_dedup import cut_repeats, repeated_lines
 from docmill.llm.mixing import mix_sources, source_targets, words_taken
 from docmill.llm.near_dup import keep_one_of_each, least_matches, near_duplicates
 from docmill.llm.quality import fit_quality, keep_good, score_quality
@@ -125,7 +125,7 @@ def test_line_dedup(spark):
     rows = [(1, "\n".join(["head", *run, "tail"])), (2, "\n".join(["other", run[0], run[1], "", "end"])), (3, run[0]), (4, None), (5, ""), (6, "\n".join([run[1], run[2]])), (7, long_text(60)), (8, long_text(60))]
     got = {r.doc_id: (r.n_lines, r.dropped) for r in repeated_lines(table(spark, rows)).collect()}
     assert got == {1: (5, []), 2: (5, [1, 2]), 3: (1, []), 4: (0, []), 5: (0, []), 6: (2, [0, 1]), 7: (1, []), 8: (1, [0])}
-    cut = {r.doc_id: r.text for r in without_lines(table(spark, rows), repeated_lines(table(spark, rows))).collect()}
+    cut = {r.doc_id: r.text for r in cut_repeats(table(spark, rows)).collect()}
     assert cut[2] == "other\n\nend" and cut[6] == "" and cut[4] is None
     assert repeated_lines(table(spark, [])).count() == 0
 
