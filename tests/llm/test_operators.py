@@ -43,13 +43,33 @@ def rows_of(df, key="doc_id"):
 
 def test_exact_dedup(spark):
     got = rows_of(exact_dedup(table(spark, EDGE)))
+    assert len(got[4]) == 2 and got[4][0] == got[4][1] and len(got.pop(4)) == 2
     assert {k: [(r.keep_id, r.group_size, r.kept) for r in v] for k, v in got.items()} == {
-        5: [(3, 2, False)], 3: [(3, 2, True)], 9: [(4, 3, False)], 4: [(4, 3, True)], 7: [(7, 2, True)], 8: [(7, 2, False)], None: [(None, 1, True)], 2: [(2, 1, True)],
+        5: [(3, 2, False)], 3: [(3, 2, True)], 9: [(4, 3, False)], 7: [(7, 2, True)], 8: [(7, 2, False)], None: [(None, 1, True)], 2: [(2, 1, True)],
     }
     assert got[9][0].text_sha256 == hashlib.sha256(b"a b").hexdigest()
     kept = drop_exact_copies(table(spark, EDGE))
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 3, 4, 7] and kept.columns[:2] == ["doc_id", "text"]
-    assert exact_dedup(table(spark, [])).count() == 0
+    assert exact_dedup(table(spark, [])).count() == 0 and drop_exact_copies(table(spark, [])).count() == 0
+
+
+def test_a_hash_collision_joins_no_texts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from docmill.llm import exact_dedup as module
+
+    monkeypatch.setattr(module, "content_hash", lambda norm: F.encode(F.substring(norm, 1, 1), "UTF-8"))
+    rows = [(5, "ab"), (2, "ab"), (1, "ac"), (None, "ac "), (None, "ac "), (7, "b"), (None, None), (None, "")]
+    got = sorted((str(r.doc_id), r.keep_id, r.group_size, r.kept) for r in exact_dedup(table(spark, rows)).collect())
+    assert got == [("1", 1, 1, True), ("2", 2, 2, True), ("5", 2, 2, False), ("7", 7, 1, True)] + [("None", None, 2, True)] * 4
+    kept = [(r.doc_id, r.text or "") for r in drop_exact_copies(table(spark, rows)).collect()]
+    assert sorted(kept, key=str) == [(1, "ac"), (2, "ab"), (7, "b"), (None, ""), (None, "ac ")]
+
+
+def test_exact_dedup_takes_any_id(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "x  y"), (None, "x y"), ("c", "z")], "doc_id string, text string")
+    assert sorted((str(r.doc_id), r.keep_id) for r in exact_dedup(docs).collect()) == [("None", "a"), ("a", "a"), ("b", "a"), ("c", "c")]
+    assert sorted(r.doc_id for r in drop_exact_copies(docs).collect()) == ["a", "c"]
 
 
 def test_near_duplicates_match_brute_force(spark):
