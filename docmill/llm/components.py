@@ -31,8 +31,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _stars(both).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         small = _stars(large)
-        e = small.select("u", F.col("m").alias("v")).unionByName(small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        e = materialize(e, "links")
+        next_links = small.select("u", F.col("m").alias("v")).unionByName(small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+        e = materialize(next_links, "links", e)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -4,8 +4,8 @@ Texts are sets of 5-word shingles (lower case, split at white space; a text of f
 words is one shingle). Two different texts link when the sets' Jaccard similarity is at least
 ``threshold`` (0.8).
 
-1. Texts with the same words collapse into one representative (the smallest id) with
-   a count, so thousands of copies cost one row.
+1. Rows with the same words collapse into one text, named by the 128-bit hash of its words, with
+   a count and its smallest id; so thousands of copies cost one row, and ids need not be unique.
 2. MinHash values (``BANDS`` x ``ROWS``) give buckets; buckets with one member go. At 0.8 a
    pair shares no bucket with probability (1 - 0.8^4)^30 = 1.4e-7.
 3. Inside a bucket, MinHash values (8 bits each) are compared ``STEP`` by ``STEP``; a pair is
@@ -17,15 +17,17 @@ words is one shingle). Two different texts link when the sets' Jaccard similarit
    block pair gives counts by text and a forest, never a list of pairs.
 5. The components of the verified links are the classes.
 
-Scale: large buckets and components are cut into blocks of at most ``BLOCK`` members (and
+Scale: large buckets and components are cut into blocks (``BUCKET`` members; ``BLOCK`` texts and
 ``BLOCK_SHINGLES`` shingles), and block pairs are spread over tasks. No task holds a whole
-group. Texts are never shuffled: shingle sets are made where texts are read, for those
-whose id passes a bitmap of fixed size. The work for a group of m *different* near copies
-stays m^2 intersections (a link count needs them), spread over (m / BLOCK)^2 tasks.
-
-Defined cases: null and empty texts have no words and are copies of each other; a null id
-takes part as the largest id of its copies only; repeated rows are copies of each other;
-very long texts are whole; an empty table gives an empty result.
+group. Only texts that pass step 3 are read again and made into shingle sets: their ids choose the rows,
+by a broadcast where they are counted to be few, else by a shuffle. The work for a group of m *different*
+near copies stays m^2 intersections (a link count needs them), spread over (m / BLOCK)^2 tasks, and
+each of its shingle sets travels m / BLOCK times.
+
+Defined cases: null and empty texts have no words and are copies of each other; rows with null ids take
+part like others, but name a class only if it has no other id; repeated rows are copies of each other; ids
+may be of any type that sorts; very long texts are whole; an empty table gives an empty result; other columns
+are ignored, or passed through by ``keep_one_of_each``, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,10 +38,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from ._store import materialize
+from ._store import materialize, small
 from .components import components
 from .quality import texts_of
 
@@ -47,9 +50,9 @@ N = 5
 BANDS, ROWS = 30, 4
 STEP = 12
 TOLERANCE = 1e-7
-BLOCK = 256
-BLOCK_SHINGLES = 1 << 18
-BITMAP = 1 << 20
+BUCKET = 2048
+BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20
 MEMO = 300_000
 
 
@@ -105,6 +108,11 @@ def least_matches(threshold: float, step: int, total: int, tolerance: float) ->
     return out
 
 
+def word_key(words: list[str]) -> bytes:
+    """128-bit hash that names a text by its words."""
+    return xxhash.xxh3_128_digest(" ".join(words))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, key, n, sketch, bands): words' 128-bit hash, shingles, 8-bit MinHash values, bucket hashes."""
 
@@ -116,7 +124,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 words = t.lower().split()
                 x = s.shingles(words)
                 m = s.minhash(x)
-                keys.append(xxhash.xxh3_128_digest(" ".join(words)))
+                keys.append(word_key(words))
                 sizes.append(len(x))
                 sketches.append(((m * np.uint32(0x85EBCA6B)) >> np.uint32(24)).astype(np.uint8).tobytes())
                 y = np.zeros(BANDS, np.uint64)
@@ -171,20 +179,25 @@ def bucket_forest(bucket: np.ndarray, block: np.ndarray, cross: np.ndarray, sket
     return lab
 
 
-def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): a forest over the representatives whose pruned pairs connect them."""
-    bands = reps.select("id", F.explode("bands").alias("bucket"))
-    size = bands.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = bands.join(size, "bucket")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    placed = (
-        shared.withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
+def paired(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
+    """Each row once for every pair of blocks of its group that holds its own: block, lo, hi."""
+    return (
+        rows.withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("key", group), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("lo", F.least("block", "other"))
         .withColumn("hi", F.greatest("block", "other"))
-        .join(reps.select("id", "sketch"), "id")
-        .select(F.xxhash64("bucket", "lo", "hi").alias("part"), "block", (F.col("lo") != F.col("hi")).alias("crossed"), "id", "sketch")
+    )
+
+
+def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): a forest over the texts whose pruned pairs connect them."""
+    bands = reps.select("key", F.explode("bands").alias("bucket"))
+    size = bands.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    placed = (
+        paired(bands.join(size, "bucket"), "bucket", F.ceil(F.col("members") / BUCKET).cast("int"))
+        .join(reps.select("key", "sketch"), "key")
+        .select(F.xxhash64("bucket", "lo", "hi").alias("part"), "block", (F.col("lo") != F.col("hi")).alias("crossed"), "key", "sketch")
     )
     sorted_rows = placed.repartition("part").sortWithinPartitions("part")
     stays = least_matches(threshold, STEP, BANDS * ROWS, TOLERANCE)
@@ -197,8 +210,8 @@ def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
             sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
             lab = bucket_forest(t.column("part").to_numpy(), t.column("block").to_numpy(), t.column("crossed").to_numpy(zero_copy_only=False), sketch, stays)
             linked = np.flatnonzero(lab != np.arange(len(lab)))
-            ids = t.column("id")
-            return pa.RecordBatch.from_arrays([ids.take(linked).combine_chunks(), ids.take(lab[linked]).combine_chunks()], ["a", "b"])
+            keys = t.column("key")
+            return pa.RecordBatch.from_arrays([keys.take(linked).combine_chunks(), keys.take(lab[linked]).combine_chunks()], ["a", "b"])
 
         for b in batches:
             part = b.column(0).to_numpy()
@@ -213,28 +226,28 @@ def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
         if held:
             yield flush(held)
 
-    kind = reps.schema["id"].dataType.simpleString()
-    return sorted_rows.mapInArrow(run, f"a {kind}, b {kind}")
+    return sorted_rows.mapInArrow(run, "a binary, b binary")
+
 
+def rows_with(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids`` (one column, distinct) or null."""
+    marked = docs.join(ids.toDF("__of"), F.col(id_col) == F.col("__of"), "left")
+    return marked.filter(F.col("__of").isNotNull() | F.col(id_col).isNull()).drop("__of")
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, shingles) of texts whose ids pass a bitmap of the wanted ids (a fixed 128 KB)."""
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP)).cast("int")
-    bits = np.zeros(BITMAP, bool)
-    bits[[r[0] for r in wanted.select(slot("id")).distinct().collect()]] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+def shingle_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, shingles) of texts that may be among the members (key, rep): the rows with their ids, and those without an id."""
+    ids = small(materialize(members.select("rep").filter("rep is not null").distinct(), "near-ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, marked = Shingler(), np.unpackbits(shared.value).astype(bool)
+        s = Shingler()
         for b in batches:
-            some = b.filter(pa.array(marked[b.column(2).to_numpy()]))
-            for at in range(0, some.num_rows, 512):
-                x = some.slice(at, 512)
-                sets = [s.shingles(t.lower().split()).tobytes() for t in texts_of(x, 1)]
-                yield pa.RecordBatch.from_arrays([x.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
+            for at in range(0, b.num_rows, 512):
+                words = [t.lower().split() for t in texts_of(b.slice(at, 512), 0)]
+                yield pa.RecordBatch.from_arrays([pa.array(map(word_key, words), pa.binary()), pa.array([s.shingles(w).tobytes() for w in words], pa.binary())], ["key", "shingles"])
 
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), slot(id_col)).mapInArrow(run, f"id {kind}, shingles binary")
+    some = rows_with(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", ids)
+    return some.select("text").mapInArrow(run, "key binary, shingles binary").dropDuplicates(["key"])
 
 
 def block_links(sets: list[np.ndarray], block: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -248,7 +261,7 @@ def block_links(sets: list[np.ndarray], block: np.ndarray, threshold: float) ->
     value, owner = column[value[often]], owner[often]
     order = np.argsort(value, kind="stable")
     value, owner = value[order], owner[order]
-    common = np.zeros((n, n), np.float32)
+    common = np.zeros((n, n))
     wide = int(value[-1]) + 1 if len(value) else 0
     for at in range(0, wide, 4096):
         lo, hi = np.searchsorted(value, [at, at + 4096])
@@ -267,37 +280,58 @@ def block_links(sets: list[np.ndarray], block: np.ndarray, threshold: float) ->
 
 
 def verified_links(sets: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """(id, links, root): counts of linked documents by text and block pair, and a forest.
+    """(key, links, root): counts of linked rows by text and block pair, and a forest.
 
-    ``members`` has (id, root, n, copies).
+    ``members`` has (key, root, n, copies).
     """
     size = members.groupBy("root").agg(F.count("*").alias("texts"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("texts") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    placed = (
-        members.join(size, "root")
-        .join(sets, "id")
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("lo", F.least("block", "other"))
-        .withColumn("hi", F.greatest("block", "other"))
-        .select("root", "lo", "hi", "block", "id", "copies", "shingles")
-    )
-    kind = members.schema["id"].dataType.simpleString()
+    placed = paired(members.join(size, "root").join(sets, "key"), "root", blocks).select("root", "lo", "hi", "block", "key", "copies", "shingles")
 
     def run(table: pa.Table) -> pa.Table:
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         block = table.column("block").to_numpy()
-        empty = table.slice(0, 0).select(["id"])
+        keys = table.column("key")
         if len(block) < 2 or (lo != hi and len(np.unique(block)) < 2):
-            return pa.table({"id": empty.column(0), "links": pa.array([], pa.int64()), "root": empty.column(0)})
+            return pa.table({"key": keys.slice(0, 0), "links": pa.array([], pa.int64()), "root": keys.slice(0, 0)})
         linked, lab = block_links([np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()], block, threshold)
         some = np.flatnonzero(linked.any(1))
         counts = (linked[some] @ table.column("copies").to_numpy().astype(np.float64)).astype(np.int64)
-        ids = table.column("id")
-        return pa.table({"id": ids.take(some), "links": pa.array(counts), "root": ids.take(lab[some])})
+        return pa.table({"key": keys.take(some), "links": pa.array(counts), "root": keys.take(lab[some])})
+
+    return placed.groupBy("root", "lo", "hi").applyInArrow(run, "key binary, links long, root binary")
 
-    return placed.groupBy("root", "lo", "hi").applyInArrow(run, f"id {kind}, links long, root {kind}")
+
+def classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, key, ...) of every row, and (key, rep, links, class_id, first, rows) of every text.
+
+    rep is the text's smallest id, links the number of other rows that a row of it links to, class_id the
+    smallest id of its class, first (none, id, key) the row of the class that stays, rows the class's rows.
+    """
+    signed = materialize(signatures(docs, id_col, text_col), "near-signed")
+    same = [F.first(c).alias(c) for c in ("n", "sketch", "bands")]  # equal in all rows of a key
+    reps = materialize(signed.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), *same), "near-reps")
+    roots = components(candidate_links(reps, threshold), "a", "b").withColumnRenamed("node", "key")
+    members = materialize(roots.join(reps.select("key", "rep", "n", "copies"), "key"), "near-members")
+    checked = materialize(verified_links(shingle_sets(docs, members, id_col, text_col), members, threshold), "near-checked", members)
+    linked = checked.groupBy("key").agg(F.sum("links").alias("links"))
+    joined = components(checked, "key", "root").toDF("key", "root")
+    named = reps.select("key", "rep", "copies")
+    texts = joined.join(named, "key")
+    whole = texts.groupBy("root").agg(
+        F.min("rep").alias("class_id"), F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), "key")).alias("first"), F.sum("copies").alias("rows")
+    )
+    by_key = named.join(texts.select("key", "root").join(whole, "root"), "key", "left").join(linked, "key", "left")
+    alone = F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), "key")
+    by_key = by_key.select(
+        "key",
+        "rep",
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("links"),
+        F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("first", alone).alias("first"),
+        F.coalesce("rows", "copies").alias("rows"),
+    )
+    return signed.select("id", "key"), materialize(by_key, "near-texts", checked, reps)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -306,38 +340,31 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     class_id is the smallest id of the class; a row without links is its own class. Rows with
     the same words link to each other.
     """
-    signed = materialize(signatures(docs, id_col, text_col), "near-signed")
-    groups = signed.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    named = materialize(signed.select("id", "key").join(groups, "key").select("id", F.coalesce("rep", "id").alias("rep"), "copies"), "near-named")
-    rep_rows = groups.filter("rep is not null").withColumnRenamed("key", "g_key")
-    reps = (
-        signed.join(rep_rows, (signed.key == rep_rows.g_key) & (signed.id == rep_rows.rep))
-        .select("id", "n", "sketch", "bands", "copies")
-        .dropDuplicates(["id"])
-    )
-    reps = materialize(reps, "near-reps")
-    roots = components(candidate_links(reps, threshold), "a", "b").withColumnRenamed("node", "id")
-    members = materialize(roots.join(reps.select("id", "n", "copies"), "id"), "near-members")
-    checked = materialize(verified_links(shingle_sets(docs, members, id_col, text_col).dropDuplicates(["id"]), members, threshold), "near-checked")
-    linked = checked.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = components(checked, "id", "root").select(F.col("node").alias("c_id"), F.col("root").alias("class"))
-    by_rep = linked.join(classes, linked.id == classes.c_id, "left").select(F.col("id").alias("l_rep"), "links", "class")
-    out = named.join(by_rep, F.col("rep") == F.col("l_rep"), "left")
-    return out.select(
-        F.col("id").alias(id_col),
-        F.coalesce("class", "rep").alias("class_id"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
-        F.col("rep").alias("rep_id"),
-    )
+    rows, texts = classes(docs, threshold, id_col, text_col)
+    return rows.join(texts, "key").select(F.col("id").alias(id_col), "class_id", F.col("links").alias("n_links"), F.col("rep").alias("rep_id"))
 
 
 def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class (its smallest id, null only if it has no other); all columns stay as they are.
 
-    Rows are told apart by a key of their own, so null ids take part like others.
+    Rows whose ids no class of several rows holds pass as they are. Only the others, and those without an id,
+    are told apart by their texts, and of equal rows one stays.
     """
-    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
-    ids = keyed.select("__row", F.col(id_col).alias("__id"))
-    rows = near_duplicates(keyed, threshold, "__row", text_col).select("__row", F.col("class_id").alias("__class"))
-    first = rows.join(ids, "__row").groupBy("__class").agg(F.min(F.struct(F.col("__id").isNull(), "__id", "__row")).alias("__first"))
-    return keyed.join(first.select(F.col("__first.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)
+    rows, texts = classes(docs, threshold, id_col, text_col)
+    several = texts.filter("rows > 1").select(F.col("key").alias("__of_key"), F.col("first").alias("__first"))
+    several = small(materialize(several, "near-classes"))
+    ids = small(materialize(rows.join(several, F.col("key") == F.col("__of_key"), "left_semi").filter("id is not null").select("id").distinct().toDF("__of"), "near-touched"))
+    others = docs.join(ids, F.col(id_col) == F.col("__of"), "left_anti").filter(F.col(id_col).isNotNull())
+    at, names = docs.columns.index(text_col), [*docs.columns, "__key"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = pa.array([word_key(t.lower().split()) for t in texts_of(b, at)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, keys], names)
+
+    touched = rows_with(docs, id_col, ids).mapInArrow(run, StructType([*docs.schema, StructField("__key", BinaryType())]))
+    judged = touched.join(several, F.col("__key") == F.col("__of_key"), "left")
+    first = F.col("__first.id").eqNullSafe(F.col(id_col)) & (F.col("__first.key") == F.col("__key"))
+    single = judged.filter("__first is null").select(*docs.columns)
+    chosen = judged.filter(F.col("__first").isNotNull() & first).dropDuplicates(["__key"]).select(*docs.columns)
+    return others.unionByName(single).unionByName(chosen)
