@@ -10,15 +10,17 @@ full blocks for each pass over it (swap-or-not: a bijection for any length); the
 block comes at the end of each pass. Blocks are joined to slots, and documents to blocks,
 by their index.
 
-Scale: stream offsets are prefix sums in two levels (buckets of about ``bucket_docs``
-documents inside a source, then buckets), so a source that holds a third of all rows is
-split into many tasks. Draws look their source up by an equi-join on a grid of cells; slot
-numbers are counts by shard, summed over shards. Windows without a partition run over
-the sources and over the surplus slots only (about the root of the number of slots).
+Scale: stream offsets are prefix sums over buckets of about ``bucket_docs`` documents inside a source,
+and the buckets' own offsets, the shards' offsets and the numbers of surplus slots are prefix sums in
+runs of ``RUN`` (``before``), so no task sees more of a source than a bucket, or than one run, or one row for
+each run. Draws look their source up by an equi-join on a grid of cells; slot numbers are counts by
+shard, summed over shards. Windows without a partition run over the sources only.
 
 Defined cases: null text has size 0; a null source is one more source, last in order; a
-document of size 0 takes 0; repeated rows are documents of their own; an empty table gives
-an empty result; ties in the random order are broken by id and size.
+document of size 0 takes 0; texts of any length are counted whole, and a long one is cut into blocks like
+any other stretch of its source; repeated rows and null ids are documents of their own; an empty table gives
+an empty result; ties in the random order are broken by id and size; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ from ._store import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 ROUNDS = 40
 CELLS = 4096
+RUN = 4096
+#: Rows of one task where rows are small and work on each is not.
+TASK_SLOTS = 20_000
 
 
 def word_count(text: Column) -> Column:
@@ -79,6 +84,29 @@ def permuted(x: Column, n: Column, key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x, swap)
 
 
+def before(rows: DataFrame, by: list[str], at: str, value: str, out: str) -> DataFrame:
+    """``rows`` with ``out``, the sum of ``value`` over the rows of the same ``by`` at smaller ``at`` (a number from 0, once in each).
+
+    Rows are summed in runs of ``RUN`` numbers, and the runs again until few are left.
+    """
+    run = rows.withColumn("__run", F.floor(F.col(at) / RUN).cast("long"))
+    runs = run.groupBy(*by, "__run").agg(F.sum(value).alias("__sum"))
+    over = Window.partitionBy(*by).orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.withColumn("__base", F.coalesce(F.sum("__sum").over(over), F.lit(0))).drop("__sum")
+    inside = Window.partitionBy(*by, "__run").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        run.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .join(offsets, [*by, "__run"])
+        .withColumn(out, F.col(out) + F.col("__base"))
+        .drop("__run", "__base")
+    )
+
+
+def in_tasks(rows: DataFrame, n: int, *by: str) -> DataFrame:
+    """Small rows dealt out by ``by`` to as many tasks as costly work on ``n`` of them needs."""
+    return rows.repartition(max(1, n // TASK_SLOTS), *by)
+
+
 @dataclass
 class Mixture:
     """spans: the documents' places in their sources' streams; slots: the mixture itself."""
@@ -116,7 +144,9 @@ def mix_sources(
         .filter("quota > 0")
     )
     plan = materialize(plan, "mix-plan")
-    slots = drawn_slots(plan, slots_per_shard, seed)
+    drawn = drawn_slots(plan, slots_per_shard, seed)
+    total = plan.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
+    slots = in_tasks(drawn, total, "slot")  # the permutation is the costly part
     k, n, full = F.col("k"), F.col("blocks"), F.col("full")
     inner, turn = F.pmod(k, n), F.floor(k / n).cast("long")
     block = F.when(inner >= full, full).otherwise(permuted(inner, full, F.xxhash64(F.lit(seed), "src", turn)))
@@ -139,8 +169,7 @@ def stream_spans(sized: DataFrame, targets: DataFrame, bucket_docs: int, seed: i
     )
     inside = Window.partitionBy("src", "bucket").orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     sums = x.groupBy("src", "bucket").agg(F.sum("size").alias("bucket_size"))
-    over = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.withColumn("base", F.coalesce(F.sum("bucket_size").over(over), F.lit(0))).drop("bucket_size")
+    base = before(sums, ["src"], "bucket", "bucket_size", "base").drop("bucket_size")
     return (
         x.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(base, ["src", "bucket"])
@@ -174,9 +203,9 @@ def drawn_slots(plan: DataFrame, slots_per_shard: int, seed: int) -> DataFrame:
     )
     draws = materialize(draws, "mix-draws")
     within = Window.partitionBy("shard", "src").orderBy("slot")
-    earlier = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = draws.groupBy("shard", "src").agg(F.count("*").alias("n"))
-    starts = counts.withColumn("begin", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    counts = materialize(counts, "mix-counts")
+    starts = before(counts, ["src"], "shard", "n", "begin").drop("n")
     numbered = (
         draws.withColumn("r", F.row_number().over(within) - 1)
         .join(starts, ["shard", "src"])
@@ -184,17 +213,14 @@ def drawn_slots(plan: DataFrame, slots_per_shard: int, seed: int) -> DataFrame:
         .join(plan.select("src", "quota"), "src")
         .select("shard", "slot", "src", "k", "quota")
     )
-    numbered = materialize(numbered, "mix-numbered")
-    surplus = numbered.filter("k >= quota").select("shard", "slot", (F.row_number().over(Window.orderBy("slot")) - 1).alias("free"))
+    numbered = materialize(numbered, "mix-numbered", draws)
+    one = numbered.filter("k >= quota").select("shard", "slot", F.lit(0).alias("all"), F.lit(1).alias("one"))
+    surplus = before(one, ["all"], "slot", "one", "free").select("shard", "slot", "free")
     drawn = counts.groupBy("src").agg(F.sum("n").alias("n"))
-    missing = (
-        plan.select("src", "quota")
-        .join(drawn, "src", "left")
-        .withColumn("n", F.coalesce("n", F.lit(0)))
-        .filter("n < quota")
-        .select("src", F.explode(F.sequence(F.col("n"), F.col("quota") - 1)).alias("k"))
-        .select("src", "k", (F.row_number().over(Window.orderBy("src", "k")) - 1).alias("free"))
-    )
+    lacks = plan.select("src", "quota").join(drawn, "src", "left").withColumn("n", F.coalesce("n", F.lit(0))).filter("n < quota")
+    earlier = F.coalesce(F.sum(F.col("quota") - F.col("n")).over(Window.orderBy("src").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    missing = lacks.withColumn("earlier", earlier).select("src", "n", "earlier", F.explode(F.sequence(F.col("n"), F.col("quota") - 1)).alias("k"))
+    missing = missing.select("src", "k", (F.col("earlier") + F.col("k") - F.col("n")).alias("free"))
     handed = surplus.join(missing, "free").select("shard", "slot", "src", "k")
     return numbered.filter("k < quota").select("shard", "slot", "src", "k").unionByName(handed)
 
