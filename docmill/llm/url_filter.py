@@ -1,24 +1,29 @@
 """URL filter: explicit rules, then a path-template tree judged by smoothed labelled purity.
 
 Each host has a tree of path segments. Numbers and long hexadecimal segments are
-wildcards from the start. From the deepest level up, literal siblings whose
-share of good labels does not differ from their parent's by a two-proportion z-test (or
-that have no labels at all) are merged into a wildcard. Then, from the top down, the
-segments behind each wildcard are tested again over all that was merged with them, and those
-that differ come back. How many siblings there are decides nothing. A template is blocked when
-its purity, smoothed towards its host's and the corpus' share of good labels, is below
-``min_purity``.
+wildcards from the start. Literal siblings whose share of good labels does not differ from that of their
+siblings' labels by a two-proportion z-test (or that have no labels at all) are merged into a
+wildcard. Then, from the top down, the segments behind each wildcard are tested again over all that was
+merged with them, and those that differ come back. How many siblings there are, or how deep a path
+is, decides nothing. A template is blocked when its purity, smoothed towards its host's and the corpus'
+share of good labels, is below ``min_purity``.
 
 Rules come first: a rule (host, path, verdict) fits its host and all subdomains if the
 url's path starts with the rule's path; the longest fitting rule decides.
 
-Scale: everything is grouped counts by (host, prefix, segment) with partial aggregation,
-joined back on the same key; a host with a third of all pages is split by its prefixes and,
-where one prefix is hot, by the adaptive skew join. Rules are a short literal list.
+Scale: a segment can only differ from its siblings where two labelled paths of one host and length part, so only
+those levels are tested, and all other levels are wildcards at once. Tests are grouped counts over labelled
+paths, with partial aggregation: all levels in one pass for the first test, one pass for each level for the second,
+left out where nothing comes back. Distinct paths are joined with the segments that stay by equi-joins on
+(host, prefix, segment); a host with a third of all pages is split by its prefixes and, where one prefix is hot, by
+the adaptive skew join. Nothing is broadcast but what adaptive execution measures to be small. Rules are a
+short literal list.
 
 Defined cases: a null url or one without ``://`` has empty host and path and one template
-of its own; levels beyond ``max_depth`` are one wildcard tail; labels may be absent (all
-templates then carry the prior and are allowed); repeated rows are judged alike.
+of its own; paths of any length are whole; labels may be absent (all templates then carry the prior and are
+allowed), several labels of one id count as their largest, null ids have none; pages that share an id share its
+label, and repeated rows are judged alike; on a tie no share differs; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialize
+from ._store import discard, materialize
 
 RULES = (
     ("net", "/", "block"),
@@ -56,51 +61,69 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return name, verdict
 
 
-def segments(path: Column, max_depth: int) -> Column:
+def segments(path: Column) -> Column:
     """Path segments with numbers and long hexadecimal strings as wildcards, suffix kept."""
     parts = F.split(F.regexp_replace(path, "^/", ""), "/", -1)
-    general = F.transform(parts, lambda s: F.regexp_replace(s, r"^(?:[0-9]+|[0-9a-fA-F-]{16,})(?=$|\.)", WILD))
-    return F.when(F.size(general) > max_depth, F.concat(F.slice(general, 1, max_depth), F.array(F.lit("**")))).otherwise(general)
+    return F.transform(parts, lambda s: F.regexp_replace(s, r"^(?:[0-9]+|[0-9a-fA-F-]{16,})(?=$|\.)", WILD))
 
 
-def path_templates(pages: DataFrame, labels: DataFrame, max_depth: int, z: float) -> DataFrame:
+def prefix(seg: Column, level: Column) -> Column:
+    """128-bit hash of the segments above a level; no segment holds a slash."""
+    return F.md5(F.array_join(F.slice(seg, F.lit(1), level), "/"))
+
+
+def parting_levels(marked: DataFrame) -> list[int]:
+    """Levels at which labelled paths of one host and length have different segments; at most as many as the deepest path has."""
+    at = marked.select("host", F.size("seg").alias("levels"), F.posexplode("seg").alias("level", "child"))
+    parts = at.groupBy("host", "levels", "level").agg(F.min("child").alias("lo"), F.max("child").alias("hi")).filter("lo != hi")
+    return sorted(r[0] for r in parts.select("level").distinct().collect())
+
+
+def path_templates(pages: DataFrame, labels: DataFrame, z: float) -> DataFrame:
     """(id, host, template, n, labelled, good) by page; ``labels`` has (id, good)."""
-    rows = pages.select("id", "host", segments(F.col("path"), max_depth).alias("seg"))
+    rows = pages.select("id", "host", segments(F.col("path")).alias("seg"))
     marks = labels.groupBy("id").agg(F.max("good").alias("good"))
-    per_path = (
+    paths = (
         rows.join(marks, "id", "left")
         .groupBy("host", "seg")
         .agg(F.count("*").alias("n"), F.count("good").alias("labelled"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-        .withColumn("cur", F.col("seg"))
     )
-    tree = materialize(per_path, "url-tree")
-    depth = min(max_depth + 1, tree.agg(F.coalesce(F.max(F.size("cur")), F.lit(0))).first()[0])
-    for d in reversed(range(depth)):
-        prefix = F.slice("cur", 1, d) if d else F.array().cast("array<string>")
-        parts = tree.withColumn("prefix", prefix).withColumn("levels", F.size("cur")).withColumn("child", F.get("cur", F.lit(d)))
-        merge = siblings(parts.filter(F.size("cur") > d), ["host", "prefix", "levels"], z).filter("not differs").select("host", "prefix", "levels", "child", F.lit(True).alias("merge"))
-        tree = (
-            parts.join(merge, ["host", "prefix", "levels", "child"], "left")
-            .withColumn("cur", F.when(F.col("merge") & (F.size("cur") > d), wildcard("cur", d)).otherwise(F.col("cur")))
-            .drop("prefix", "levels", "child", "merge")
-        )
-        tree = materialize(tree, "url-merged")
-    for d in range(depth):
-        merged = F.get("cur", F.lit(d)) == WILD
-        parts = tree.withColumn("all", F.col("cur")).withColumn("child", F.get("seg", F.lit(d)))
-        restore = siblings(parts.filter(merged), ["host", "all"], z).filter(F.col("differs") & (F.col("child") != WILD)).select("host", "all", "child", F.lit(True).alias("restore"))
-        tree = (
-            parts.join(restore, ["host", "all", "child"], "left")
-            .withColumn("cur", F.when(F.col("restore") & merged, F.transform("cur", lambda s, i: F.when(i == d, F.col("child")).otherwise(s))).otherwise(F.col("cur")))
-            .drop("all", "child", "restore")
-        )
-        tree = materialize(tree, "url-restored")
+    paths = materialize(paths, "url-paths")
+    levels = parting_levels(paths.filter("labelled > 0"))
+    wild = paths.withColumn("cur", F.transform("seg", lambda _: F.lit(WILD)))
+    if not levels:
+        tree = wild
+    else:
+        tested = F.filter(F.array(*[F.lit(d) for d in levels]), lambda d: d < F.size("seg"))
+        place = [F.size("seg").alias("levels"), F.explode(tested).alias("level")]
+        at = paths.select("*", *place).withColumn("prefix", prefix(F.col("seg"), F.col("level"))).withColumn("child", F.get("seg", F.col("level")))
+        node = ["host", "levels", "level", "prefix"]
+        stay = siblings(at.filter("labelled > 0"), node, z).filter("differs").select(*node, "child")
+        kept = at.join(stay, [*node, "child"], "left_semi").groupBy("host", "seg").agg(F.collect_set("level").alias("kept"))
+        literal = F.transform("seg", lambda s, i: F.when(F.array_contains("kept", i), s).otherwise(WILD))
+        first = paths.join(kept, ["host", "seg"], "left").withColumn("cur", F.when(F.col("kept").isNull(), F.transform("seg", lambda _: F.lit(WILD))).otherwise(literal))
+        tree = materialize(first.drop("kept"), "url-merged")
+        for d in levels:
+            tree = restored(tree, d, z)
     tree = tree.withColumn("template", F.concat(F.lit("/"), F.array_join("cur", "/")))
     sums = tree.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("good").alias("good"))
     judged = tree.select("host", "seg", "template").join(sums, ["host", "template"])
     return rows.join(judged, ["host", "seg"]).select("id", "host", "template", "n", "labelled", "good")
 
 
+def restored(tree: DataFrame, d: int, z: float) -> DataFrame:
+    """``tree`` with those segments of level ``d`` back that differ from what their template merges with them."""
+    parts = tree.filter(F.get("cur", F.lit(d)) == WILD).withColumn("all", F.col("cur")).withColumn("child", F.get("seg", F.lit(d)))
+    back = siblings(parts.filter("labelled > 0"), ["host", "all"], z).filter(F.col("differs") & (F.col("child") != WILD))
+    back = materialize(back.select("host", F.col("all").alias("cur"), F.col("child").alias("__back")), "url-back")
+    if back.isEmpty():
+        discard(back)
+        return tree
+    joined = tree.withColumn("__child", F.get("seg", F.lit(d))).join(back, (tree.host == back.host) & (tree.cur == back.cur) & (F.col("__child") == F.col("__back")), "left")
+    cur = F.when(F.col("__back").isNull(), tree.cur).otherwise(F.transform(tree.cur, lambda s, i: F.when(i == d, F.col("__back")).otherwise(s)))
+    return materialize(joined.select(tree.host, "seg", "n", "labelled", "good", cur.alias("cur")), "url-restored", tree, back)
+
+
 def siblings(parts: DataFrame, node: list[str], z: float) -> DataFrame:
     """(*node, child, differs): whether a child's share of good labels differs from that of its siblings' labels."""
     child = parts.groupBy(*node, "child").agg(F.sum("labelled").alias("c_n"), F.sum("good").alias("c_good"))
@@ -114,11 +137,6 @@ def siblings(parts: DataFrame, node: list[str], z: float) -> DataFrame:
     return child.join(parent, node).select(*node, "child", differs.alias("differs"))
 
 
-def wildcard(cur: str, d: int) -> Column:
-    """Level ``d`` as a wildcard; a file suffix stays."""
-    return F.transform(cur, lambda s, i: F.when(i == d, F.when(s == "**", s).otherwise(WILD)).otherwise(s))
-
-
 def filter_urls(
     pages: DataFrame,
     labels: DataFrame,
@@ -127,7 +145,6 @@ def filter_urls(
     rules=RULES,
     min_purity: float = 0.5,
     strength: float = 20.0,
-    max_depth: int = 8,
     z: float = 2.58,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, template, purity) for every page; ``labels``: (id, good 0/1)."""
@@ -139,7 +156,6 @@ def filter_urls(
     by_page = path_templates(
         tagged.select(F.col("u.uid").alias("id"), "host", "path"),
         tagged.select(F.col("u.uid").alias("uid"), "id").join(labels.groupBy("id").agg(F.max("good").alias("good")), "id").select(F.col("uid").alias("id"), "good"),
-        max_depth,
         z,
     )
     by_page = materialize(by_page, "url-templates")
