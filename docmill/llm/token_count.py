@@ -2,16 +2,17 @@
 
 For a vocabulary without a piece that holds a space mark behind another character, no merge
 crosses from a word into the space before the next word. Counting is then a sum over
-pre-tokens (a run of space marks with the word behind it). Offline, once per process,
-every vocabulary string of that form is encoded alone; those that give exactly one token
+pre-tokens (a run of space marks with the word behind it). Offline, once per model and Python worker
+(workers are reused by later tasks), every vocabulary string of that form is encoded alone; those that give exactly one token
 are proved whole, and a pre-token among them counts 1 without merging. Only the rest is
 merged by the library, each distinct pre-token once per batch of texts (a bounded memo).
 
 Scale: a map over Arrow batches without a shuffle; memory is the vocabulary, the memo
 (``MEMO`` entries at most, then emptied) and one slice of texts.
 
-Defined cases: null and empty texts have 0 tokens; texts of any length are counted whole;
-repeated rows give repeated results; an empty table gives an empty result.
+Defined cases: null and empty texts have 0 tokens; texts of any length are counted whole; null ids and
+repeated rows give results of their own, row by row; other columns are ignored, whatever their names; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -77,11 +78,21 @@ class PieceCounter:
         return out
 
 
+_counters: dict[str, PieceCounter] = {}
+
+
+def counter_of(model_file: str) -> PieceCounter:
+    """The counter of a model, made once in each process."""
+    if model_file not in _counters:
+        _counters[model_file] = PieceCounter(model_file)
+    return _counters[model_file]
+
+
 def count_tokens(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) for every row; ``model_file`` is readable on every executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(model_file)
+        counter = counter_of(model_file)
         for batch in batches:
             texts, n = batch.column(1), []
             for at in range(0, batch.num_rows, SLICE):
