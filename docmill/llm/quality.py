@@ -1,15 +1,17 @@
 """Quality classifier: hashed word n-gram logistic regression, follow-the-regularised-leader.
 
-The model is fitted on at most ``sample`` labelled rows (a documented bound: the rows
-whose ids hash smallest), in the order of those hashes, in one task whose input that
-bound limits. Scores of all texts are sparse dot products in a map over Arrow batches; the
-weights (1 MB) are broadcast. Labels, language, source and id are never inputs of a score.
+The model is fitted on a bounded sample of labelled ids (documented bounds): the ``sample`` ids that hash
+smallest, as far as their texts have ``chars`` characters in all and ``chars`` / 64 each. One row of each id
+counts, so repeated rows do not weigh more. The fit runs in the order of those hashes, in one task whose
+input the bounds limit. Scores of all texts are sparse dot products in a map over Arrow batches; the
+weights (1 MB) are broadcast. Labels, language, source and id are never inputs of a score. Beside word and
+word-shape n-grams there is one more feature, the share of words that equal their neighbour.
 
 Defined cases: null and empty texts have no features and score by the intercept; several
-labels of one id count as their largest; without any label all scores are 0.5; null ids
-have no label and are not held out; repeated rows give repeated results; very long
-texts are read whole; an empty table gives an empty result; other columns are ignored, or
-passed through by ``keep_good``.
+labels of one id count as their largest, of several texts of one id the smallest is learned; without any label
+all scores are 0.5; null ids have no label and are not held out; equal hashes of ids are ordered by the id;
+repeated rows give repeated results; very long texts are scored whole; an empty table gives an empty result;
+other columns are ignored, or passed through by ``keep_good``, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._store import materialize
 from .linear import DIM, Ftrl, QualityFeatures, dot, probability, summed
 
 SAMPLE = 12_000
+SAMPLE_CHARS = 64_000_000
 PASSES = 2
 
 
@@ -32,8 +36,8 @@ def fold(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
-    """(id, text, *columns) of at most ``sample`` training rows, in one partition, in the order of their ids' hashes."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, chars: int, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
+    """(id, text, *columns) of at most ``sample`` training ids and ``chars`` characters, in one partition, in the order of their ids' hashes."""
     chosen = (
         labels.filter(fold(id_col) != 1)
         .groupBy(F.col(id_col).alias("l_id"))
@@ -42,16 +46,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, id_col: str
         .orderBy(F.xxhash64("l_id"), "l_id")
         .limit(sample)
     )
-    return (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .join(F.broadcast(chosen), F.col("id") == F.col("l_id"))
-        .select("id", "text", *columns)
-        .repartition(1)
-        .sortWithinPartitions(F.xxhash64("id"), "id")
-    )
-
-
-def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
+    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("l_id"))
+    texts = joined.groupBy("id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), *[F.first(c).alias(c) for c in columns])
+    found = materialize(texts.withColumn("n", F.length("text")).filter(F.col("n") <= chars // 64), "fit-sample")
+    # at most ``sample`` rows of numbers, hence one task
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    kept = found.select("id", upto.alias("upto")).filter(F.col("upto") <= chars).select("id")
+    return found.join(F.broadcast(kept), "id").select("id", "text", *columns).repartition(1).sortWithinPartitions(F.xxhash64("id"), "id")
+
+
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", chars: int = SAMPLE_CHARS
+) -> np.ndarray:
     """Weights, the intercept last."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,7 +70,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col
                 model.learn(idx.astype(np.int32), x, y)
         yield pa.RecordBatch.from_arrays([pa.array([model.weights().tobytes()], pa.binary())], ["w"])
 
-    rows = labelled_sample(docs, labels, sample, id_col, text_col, ["quality"]).mapInArrow(train, "w binary").collect()
+    rows = labelled_sample(docs, labels, sample, chars, id_col, text_col, ["quality"]).mapInArrow(train, "w binary").collect()
     return np.frombuffer(rows[0]["w"], np.float32) if rows else np.zeros(DIM + 1, np.float32)
 
 

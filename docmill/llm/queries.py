@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
 from .line_dedup import repeated_lines
@@ -53,13 +54,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, p_low_quality, p_toxic, toxic)."""
-    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    """(doc_id, p_low_quality, p_toxic, low_quality, toxic)."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    return toxicity(table(spark, sf_dir, "documents"), labels, ["low_quality", "toxic"])
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, dropped)."""
-    return repeated_lines(table(spark, sf_dir, "documents"))
+    """(doc_id, n_lines, n_dropped, dropped): the places of the dropped lines, comma-joined."""
+    return repeated_lines(table(spark, sf_dir, "documents")).withColumn("dropped", F.array_join("dropped", ","))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,10 +112,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op8_exact_dedup": r"""
-        WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
-        SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-               doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
-        FROM d WINDOW g AS (PARTITION BY norm)
-    """,
+    "op1_decontaminate": oracles.LEAKS,
+    "op4_near_duplicates": oracles.NEAR,
+    "op7_line_dedup": oracles.LINES,
+    "op8_exact_dedup": oracles.EXACT,
+    "op9_url_filter": oracles.URLS,
+    "op10_secrets": oracles.SECRETS,
 }

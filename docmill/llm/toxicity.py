@@ -4,16 +4,18 @@ The categories are predicted in a fixed order by linear models over the terms of
 Each later model also gets the probabilities that the earlier ones give. In training
 these are out-of-fold predictions (``FOLDS`` folds by a hash of the id), so that a later model
 sees what it will see on new texts; the earlier models used for scoring are fitted on all
-training rows. All models are trained with follow-the-regularised-leader updates on at
-most ``sample`` labelled rows (a documented bound) in one task.
+training rows. All models are trained with follow-the-regularised-leader updates in one task, on a sample
+with the documented bounds of ``quality.labelled_sample``: ``sample`` ids, ``chars`` characters.
 
-``labels`` marks two categories: ``low_quality`` (1 - quality) and ``toxic``. The chain
-predicts them in this order; other category columns can be named.
+The categories are columns of ``labels`` with 0 or 1, in the order of ``categories``. The given tables mark one
+category of toxicity, ``toxic``; the registered query puts ``low_quality`` (1 - quality) before it, which is
+no category of toxicity but the only other mark that a chain can learn from there.
 
 Defined cases: null and empty texts have no terms; several labels of one id count as
-their largest; without any label all probabilities are 0 and nothing is flagged; repeated
-rows give repeated results; very long texts are read whole; an empty table gives an empty
-result.
+their largest, rows with a null label in any category are not learned, of several texts of one id the smallest is
+learned; without any label all probabilities are 0 and nothing is flagged; null ids have no label;
+repeated rows give repeated results; very long texts are read whole; an empty table gives an empty
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,9 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linear import DIM, Ftrl, TermFeatures, dot, probability
-from .quality import labelled_sample, texts_of
+from .quality import SAMPLE, SAMPLE_CHARS, labelled_sample, texts_of
 
-SAMPLE = 12_000
 FOLDS = 3
 PASSES = 3
 
@@ -53,16 +54,23 @@ def _fit(rows: list[tuple[np.ndarray, np.ndarray]], y: list[int], links: int) ->
 
 
 def fit_chain(
-    docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    categories: list[str],
+    sample: int = SAMPLE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chars: int = SAMPLE_CHARS,
 ) -> list[np.ndarray]:
     """Weights of each category's model: terms, links to earlier categories, intercept."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, terms, marks = TermFeatures(), [], []
+        features, terms, marks, fold = TermFeatures(), [], [], []
         for b in batches:
             terms += [features(t) for t in texts_of(b, 1)]
-            marks += list(zip(*[b.column(2 + k).to_pylist() for k in range(len(categories))]))
-        folds = np.arange(len(terms)) % FOLDS
+            fold += b.column(2).to_pylist()
+            marks += list(zip(*[b.column(3 + k).to_pylist() for k in range(len(categories))]))
+        folds = np.array(fold)
         earlier: list[list[float]] = [[] for _ in terms]
         for k in range(len(categories)):
             rows, y = [_linked(*t, e) for t, e in zip(terms, earlier)], [m[k] for m in marks]
@@ -74,7 +82,9 @@ def fit_chain(
                         earlier[i] = [*earlier[i], probability(dot(fitted, *rows[i]))]
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_fit(rows, y, k).weights().tobytes()], pa.binary())], ["k", "w"])
 
-    rows = labelled_sample(docs, labels, sample, id_col, text_col, categories).mapInArrow(train, "k int, w binary").collect()
+    learned = labelled_sample(docs, labels, sample, chars, id_col, text_col, categories)
+    folded = learned.select("id", "text", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)), *categories)
+    rows = folded.mapInArrow(train, "k int, w binary").collect()
     return [np.frombuffer(r["w"], np.float32) for r in sorted(rows, key=lambda r: r["k"])]
 
 
@@ -102,10 +112,15 @@ def score_chain(
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    categories: list[str],
+    sample: int = SAMPLE,
+    threshold: float = 0.5,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
-    """(id, p_low_quality, p_toxic, toxic) for every row."""
-    marks = labels.select(id_col, (1 - F.col("quality")).alias("low_quality"), "toxic")
-    categories = ["low_quality", "toxic"]
-    scored = score_chain(docs, fit_chain(docs, marks, categories, sample, id_col, text_col), categories, id_col, text_col)
-    return scored.withColumn("toxic", (F.col("p_toxic") >= threshold).cast("int"))
+    """(id, p_<category>..., <category>...) for every row: probabilities, and 1 where one reaches ``threshold``."""
+    chain = fit_chain(docs, labels, categories, sample, id_col, text_col)
+    flags = [(F.col(f"p_{c}") >= threshold).cast("int").alias(c) for c in categories]
+    return score_chain(docs, chain, categories, id_col, text_col).select("*", *flags)

@@ -195,11 +195,12 @@ def test_classifiers(spark):
     assert all(got[i].predicted == 1 for i, _ in good) and not any(got[i].predicted for i, _ in bad) and got[2003].predicted == 0
     assert got[2000].score == got[2001].score and 0 <= got[2000].score <= 1
     assert keep_good(docs, w).filter("doc_id < 120").count() == 120
-    tox = {r.doc_id: r for r in toxicity(docs, labels).collect()}
+    marks = labels.select("doc_id", (1 - labels.quality).alias("low_quality"), "toxic")
+    tox = {r.doc_id: r for r in toxicity(docs, marks, ["low_quality", "toxic"]).collect()}
     assert all(tox[i].toxic == 1 for i, _ in bad) and not any(tox[i].toxic for i, _ in good)
     empty = fit_quality(docs, labels.limit(0).select("doc_id", "quality"))
     assert {r.score for r in score_quality(docs, empty).collect()} == {0.5}
-    assert {r.toxic for r in toxicity(docs, labels.limit(0)).collect()} == {0}
+    assert {r.toxic for r in toxicity(docs, marks.limit(0), ["low_quality", "toxic"]).collect()} == {0}
     assert score_quality(table(spark, []), w).count() == 0
 
 

@@ -105,7 +105,7 @@ def test_leaks_are_dropped_with_clashing_columns(spark):
     items = spark.createDataFrame([(1, QUESTION, 7, 0.0), (None, QUESTION, 7, 0.0), (3, "", 7, 0.0)], "item_id long, text string, doc_id long, score double")
     assert {r.doc_id for r in find_leaks(docs, items).filter("doc_id is not null").collect()} == {1}
     kept = drop_leaks(docs, items)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {2, 3} and 1 not in {r.doc_id for r in kept.collect()}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {2, 3}
 
 
 def test_row_operators_take_clashing_columns(spark):
@@ -114,7 +114,7 @@ def test_row_operators_take_clashing_columns(spark):
     found = scan_secrets(docs).select("doc_id", "base").collect()
     assert sorted(len(r.base) for r in found) == [0, 1]
     labels = spark.createDataFrame([(1, 1, None, "t"), (1, None, 1, "t")], "doc_id long, quality int, toxic int, text string")
-    assert toxicity(docs, labels).count() == 2
+    assert toxicity(docs, labels, ["quality", "toxic"]).count() == 2
     P = pytest.importorskip("public_tokenizers")
     assert count_tokens(docs, str(P.path("piece_bpe_32k.model"))).count() == 2
     pages = spark.createDataFrame([(1, "http://a.b/c", "h", "p", "r", "v", 1, "i", "t")], "page_id long, url string, host string, path string, rule string, verdict string, good int, id string, template string")
