@@ -7,8 +7,11 @@ nothing else has to be kept in step, and a repeated run or micro-batch skips wha
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,7 @@ TRANSCRIPTS = (
     "meta_version string, pipeline_version string, legacy boolean, doc_id string, pdf_sha256 string, pages int, source_kind string, lang_ocr string, paginas_vlm bigint, "
     f"paginas_vacias bigint, paginas_vlm_rechazado bigint, conf_media double, text string, failures {FAILURES}, at timestamp"
 )
+EVENTS = "timestamp timestamp, run_id string, event string, doc_id string, phase string, seconds double"
 #: Takes PDFs (doc_id, content), gives pages (doc_id, page, source, text, conf, words, chars, vlm_rejected).
 Transcriber = Callable[[DataFrame], DataFrame]
 
@@ -66,7 +70,7 @@ class Engine:
     def __init__(self, spark: SparkSession, out_dir: str, factory: Callable[[], Summarizer], strategy: str = "excerpt", max_chars: int = X.MAX_CHARS, max_retries: int = 2):
         self.spark, self.out, self.factory = spark, out_dir.rstrip("/"), factory
         self.strategy, self.max_chars, self.max_retries = strategy, max_chars, max_retries
-        for name, schema in (("log", LOG), ("transcripts", TRANSCRIPTS)):
+        for name, schema in (("log", LOG), ("transcripts", TRANSCRIPTS), ("events", EVENTS)):
             spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.out}/{name}")
 
     # Runs
@@ -74,6 +78,11 @@ class Engine:
     def run(self, docs: DataFrame) -> str:
         """Process docs (doc_id, text, pages, and source_kind, transcript_failures where known) whose job is neither done nor exhausted; the run's id."""
         run_id = str(uuid.uuid4())
+        with self._phase(run_id, "resumen"):
+            self._summarize(docs, run_id)
+        return run_id
+
+    def _summarize(self, docs: DataFrame, run_id: str) -> None:
         for name, kind in (("source_kind", "string"), ("transcript_failures", FAILURES)):
             if name not in docs.columns:
                 docs = docs.withColumn(name, F.lit(None).cast(kind))
@@ -83,7 +92,22 @@ class Engine:
         made = summary_records(todo, self.factory, self.strategy, self.max_chars, self.max_retries).withColumn("run_id", F.lit(run_id)).withColumn("finished_at", F.current_timestamp())
         schema = self.spark.createDataFrame([], LOG).schema
         made.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.mode("append").parquet(f"{self.out}/log")
-        return run_id
+
+    def _mark(self, run_id: str, event: str, phase: str | None = None, seconds: float | None = None) -> None:
+        self.spark.createDataFrame([(datetime.now(timezone.utc), run_id, event, None, phase, seconds)], EVENTS).write.mode("append").parquet(f"{self.out}/events")
+
+    @contextmanager
+    def _phase(self, run_id: str, phase: str) -> Iterator[None]:
+        """Events of a run's phase: run_started, then phase and run_completed with its seconds, or run_interrupted."""
+        self._mark(run_id, "run_started", phase)
+        began = time.monotonic()
+        try:
+            yield
+        except BaseException:
+            self._mark(run_id, "run_interrupted", phase, time.monotonic() - began)
+            raise
+        self._mark(run_id, "phase", phase, time.monotonic() - began)
+        self._mark(run_id, "run_completed", phase)
 
     def texts(self, in_dir: str) -> str:
         """One run over the .txt files of a folder."""
@@ -91,12 +115,16 @@ class Engine:
 
     def pdfs(self, found: DataFrame, transcribe: Transcriber, lang: str = "por+eng+spa", again: bool = False) -> str:
         """One run over PDFs (doc_id, content, pdf_sha256): cached transcripts are reused while they are valid."""
+        return self.run(self.transcribed(found, transcribe, lang, again).select("doc_id", "text", "pages", "source_kind", F.col("failures").alias("transcript_failures")))
+
+    def transcribed(self, found: DataFrame, transcribe: Transcriber, lang: str = "por+eng+spa", again: bool = False) -> DataFrame:
+        """The transcripts of PDFs (doc_id, content, pdf_sha256), made where no valid one is cached."""
         keys = found.select("doc_id", F.col("pdf_sha256").alias("sha"), F.lit(again).alias("retranscribe"))
         meta = self.transcripts().select("doc_id", F.lit(True).alias("cached"), F.lit(True).alias("readable"), "legacy", "pipeline_version", "pdf_sha256")
         fresh = jobs.cache_decision(keys, meta, "doc_id").filter("decision in ('transcribe', 'forced', 'stale')").select("doc_id")
-        self._transcribe(found.join(fresh, "doc_id", "left_semi"), transcribe, lang)
-        ready = self.transcripts().join(found.select("doc_id"), "doc_id", "left_semi")
-        return self.run(ready.select("doc_id", "text", "pages", "source_kind", F.col("failures").alias("transcript_failures")))
+        with self._phase(str(uuid.uuid4()), "transcripcion"):
+            self._transcribe(found.join(fresh, "doc_id", "left_semi"), transcribe, lang)
+        return self.transcripts().join(found.select("doc_id"), "doc_id", "left_semi")
 
     def _transcribe(self, pdfs: DataFrame, transcribe: Transcriber, lang: str) -> None:
         # The engines run once: their pages are a table before quality, text and gates are taken from it.
@@ -174,9 +202,14 @@ class Engine:
         return reports.failed_gates(self._items())
 
     def events(self) -> DataFrame:
-        """(timestamp, run_id, event, doc_id, seconds): what happened to each document."""
+        """(timestamp, run_id, event, doc_id, phase, seconds): what happened to each run, its phases and each document."""
         name = F.when(F.col("state") == "done", "document_completed").otherwise("document_failed")
-        return self.log().select(F.col("finished_at").alias("timestamp"), "run_id", name.alias("event"), "doc_id", "seconds")
+        runs = self.spark.read.schema(EVENTS).parquet(f"{self.out}/events")
+        return runs.unionByName(self.log().select(F.col("finished_at").alias("timestamp"), "run_id", name.alias("event"), "doc_id", F.lit("resumen").alias("phase"), "seconds"))
+
+    def phase_times(self) -> DataFrame:
+        """(phase, tiempo_total, tiempo_medio) of the documents: seconds of the model's calls."""
+        return reports.phase_times(self.events().filter("doc_id is not null"), F.count("*"))
 
     # Exports
 
@@ -185,12 +218,16 @@ class Engine:
             "doc_id", F.col("idioma_principal").alias("idioma"), F.col("tipo_documento").alias("tipo"), "plantilla", F.col("secciones").alias("sections"), F.col("abstracts_origem").alias("abstracts"), "pages"
         )
 
-    def export_records(self, path: str) -> None:
-        """One JSON line for each summary, its gates under _qa."""
+    def records(self) -> DataFrame:
+        """The latest summary of each document, its gates under _qa."""
         qa = F.struct(F.col("qa_ok").alias("ok"), "failures")
         meta = F.struct("pages", "text_chars")
         kept = ["doc_id", "idioma_principal", "tipo_documento", "plantilla", "secciones", "idiomas_resumo_origem", "abstracts_origem"]
-        files.write_records(self.summaries().select(F.lit(X.CONTRACT_VERSION).alias("contract_version"), *kept, meta.alias("meta"), qa.alias("_qa")), path)
+        return self.summaries().select(F.lit(X.CONTRACT_VERSION).alias("contract_version"), *kept, meta.alias("meta"), qa.alias("_qa"))
+
+    def export_records(self, path: str) -> None:
+        """One JSON line for each summary."""
+        files.write_records(self.records(), path)
 
     def export_lilacs(self, path: str) -> None:
         files.write_records(catalog.lilacs(self._results()).select("record.*"), path)

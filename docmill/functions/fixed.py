@@ -155,3 +155,19 @@ KEY_VARIABLES = {"openai": "OPENAI_API_KEY", "openrouter": "OPENROUTER_API_KEY",
 CHAT_URLS = {"openai": "https://api.openai.com/v1", "openrouter": "https://openrouter.ai/api/v1"}
 MESSAGES_URL, MESSAGES_VERSION, MESSAGES_TOKENS = "https://api.anthropic.com/v1/messages", "2023-06-01", 4096
 LOCAL_URL, LOCAL_CONTEXT, TEMPERATURE = "http://localhost:11434", 16384, 0.2
+# Vision model and its instructions by language pack.
+DEFAULT_VISION = "qwen3-vl:8b-instruct"
+VISION_PROMPTS = {
+    "por": "Transcreva EXATAMENTE o texto desta imagem, palavra por palavra, em português. Não resuma, não invente.",
+    "spa": "Transcribe EXACTAMENTE el texto de esta imagen, palabra por palabra, en español. No resumas, no inventes.",
+    "eng": "Transcribe the text in this image verbatim, word for word. Do not summarize, do not invent.",
+}
+# Notes on exported drafts.
+LILACS_NOTE = (
+    "Borrador para revisión humana. Los descriptores son CANDIDATOS y deben validarse con el vocabulario DeCS/MeSH. "
+    "El tipo de documento LILACS es aproximado."
+)
+BIB_NOTE = (
+    "Borrador para revisión humana. Campos mapeados desde la metadata embebida del PDF y/o el resumen generado (ver sources); "
+    "no validados contra autoridades (VIAF/DeCS/MeSH)."
+)

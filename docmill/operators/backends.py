@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import os
+import re
+import struct
+import urllib.request
+import zlib
 from collections.abc import Callable
 from pathlib import Path
 
@@ -61,3 +66,35 @@ def summarizer(backend: str, model: str, dry_run: bool = False, url: str | None
         lambda r: r["choices"][0]["message"]["content"],
         {"Authorization": f"Bearer {secret}"},
     )
+
+
+def choose_vision(model: str | None = None, config: dict | None = None) -> str:
+    """The vision model: argument, then settings, then the default."""
+    return model or (settings() if config is None else config).get("vlm_model") or X.DEFAULT_VISION
+
+
+def png(page) -> bytes:
+    """A gray page (rows of bytes) as a PNG file."""
+    height, width = page.shape
+    chunk = lambda name, body: struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body))
+    rows = b"".join(b"\0" + row.tobytes() for row in page)
+    head = struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+
+def vision(model: str, lang: str = "por+eng+spa", url: str | None = None, timeout: float = 240.0) -> Callable[[], Callable]:
+    """Factory of a vision model behind the local model host: a gray page in, its text out; thoughts are left out."""
+    base = (url or os.environ.get("OLLAMA_HOST") or X.LOCAL_URL).rstrip("/")
+    prompt = X.VISION_PROMPTS.get(lang, X.VISION_PROMPTS["por"])
+
+    def factory() -> Callable:
+        def look(page) -> str:
+            body = {"model": model, "prompt": prompt, "stream": False, "images": [base64.b64encode(png(page)).decode()]}
+            request = urllib.request.Request(f"{base}/api/generate", json.dumps(body).encode(), {"Content-Type": "application/json"})
+            with urllib.request.urlopen(request, timeout=timeout) as answer:
+                said = json.load(answer).get("response", "")
+            return re.sub(r"</?think>", "", re.sub(r"(?s)<think>.*?</think>", "", said)).strip()
+
+        return look
+
+    return factory

@@ -8,15 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed as X
 from ..functions.text import bullet_terms, candidate_terms, pick, split_names, strip, year
 
-LILACS_NOTE = (
-    "Borrador para revisión humana. Los descriptores son CANDIDATOS y deben validarse con el vocabulario DeCS/MeSH. "
-    "El tipo de documento LILACS es aproximado."
-)
-BIB_NOTE = (
-    "Borrador para revisión humana. Campos mapeados desde la metadata embebida del PDF y/o el resumen generado (ver sources); "
-    "no validados contra autoridades (VIAF/DeCS/MeSH)."
-)
-
 
 def section(key: Column | str) -> Column:
     k = F.lit(key) if isinstance(key, str) else key
@@ -31,7 +22,7 @@ def lilacs(results: DataFrame) -> DataFrame:
     origin = F.transform("abstracts", lambda a: F.struct(a["lang"].alias("lang"), a["text"].alias("text"), F.lit("origin").alias("source")))
     record = F.struct(
         F.lit("draft").alias("status"),
-        F.lit(LILACS_NOTE).alias("_note"),
+        F.lit(X.LILACS_NOTE).alias("_note"),
         F.struct(
             pick(X.LILACS_TYPE, F.col("tipo"), "M").alias("05_tipo_documento"),
             section("titulo").alias("titulo"),
@@ -92,6 +83,6 @@ def bibframe(bib: DataFrame) -> DataFrame:
         full("date").alias("bf:date"),
         F.when(F.col("pages") > 0, F.concat(F.col("pages").cast("string"), F.lit(" p."))).alias("bf:extent"),
     )
-    record = F.to_json(F.struct(F.lit("draft").alias("status"), F.lit(BIB_NOTE).alias("_note"), F.array(work).alias("work"), F.array(instance).alias("instance")))
+    record = F.to_json(F.struct(F.lit("draft").alias("status"), F.lit(X.BIB_NOTE).alias("_note"), F.array(work).alias("work"), F.array(instance).alias("instance")))
     ok = strip(F.col("title")) != ""
     return bib.select("doc_id", F.when(ok, record).alias("record"), F.when(~ok, "sin título").alias("motivo"))

@@ -1,13 +1,46 @@
-"""Readiness rules over the checks of workers, and throttling of their devices."""
+"""Checks of workers, readiness rules over them, and throttling of their devices."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+import os
+import shutil
+import socket
+import urllib.request
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 
 
+def probe(spark: SparkSession, tasks: int | None = None, url: str | None = None) -> DataFrame:
+    """(host, name, ok, hard): what each worker that runs one of ``tasks`` tasks finds; a worker that runs several says it once.
+
+    Tools in the search path, the local model host and its models, and the API keys of the driver's environment.
+    """
+    base = (url or os.environ.get("OLLAMA_HOST") or X.LOCAL_URL).rstrip("/")
+    secrets = [(v.lower(), bool(os.environ.get(v))) for v in X.KEY_VARIABLES.values()]
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            found = [(t, shutil.which(t) is not None, True) for t in X.HARD_TOOLS]
+            found += [("tesseract", shutil.which("tesseract") is not None, False)] + [(n, ok, False) for n, ok in secrets]
+            try:
+                with urllib.request.urlopen(f"{base}/api/tags", timeout=3) as answer:
+                    models = [m.get("name", "") for m in json.load(answer).get("models", [])]
+                found += [("ollama", True, False)] + [(f"model:{m}", True, False) for m in models]
+            except (OSError, ValueError):
+                found.append(("ollama", False, False))
+            names, oks, hards = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array([socket.gethostname()] * len(found)), pa.array(names), pa.array(oks), pa.array(hards)], ["host", "name", "ok", "hard"])
+
+    n = tasks or spark.sparkContext.defaultParallelism
+    return spark.range(n, numPartitions=n).mapInArrow(check, "host string, name string, ok boolean, hard boolean").distinct()
+
+
 def readiness(checks: DataFrame, key: str) -> DataFrame:
     """(key, environment_ok, extraer_nativo, ocr_imagen, resumen, ocr_vlm) of checks (key, name, ok, hard).
 

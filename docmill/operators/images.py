@@ -7,10 +7,10 @@ array. A row without pixels gives null measures and no boxes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -114,14 +114,15 @@ def _second_opinion(rows: DataFrame, factory: Callable[[], Callable]) -> DataFra
 
 
 def transcribe(
-    read: DataFrame, *keys: str, vision: Callable[[], Callable] | None = None, pack: str = "por+eng+spa", attempts: int = 2
+    read: DataFrame, *keys: str, vision: Callable[[], Callable] | None = None, pack: str = "por+eng+spa", attempts: int = 2, store: str | None = None
 ) -> DataFrame:
     """(keys, text, conf, words, regions, non_text, vlm, vlm_rejected, reason) of pages read by ``read_regions``.
 
     Blocks of low confidence go to the vision model, whose transcriptions are verified against the
     engine's words and asked for again once; rejected twice, the engine's lines stay. Without such a model,
-    blocks with ink but hardly a word are marked as figures. Confidence is weighted by words. The
-    model's answers are kept on disk, so that no call is made twice.
+    blocks with ink but hardly a word are marked as figures. Confidence is weighted by words. With a vision
+    model, its answers are written to tables below ``store``, a folder that all executors share, so no call
+    is made twice, even if an executor is lost.
     """
     read = read.withColumn("rid", F.struct(*keys, "ord"))
     found = tsv_words(read, "rid", "tsv")
@@ -141,9 +142,13 @@ def transcribe(
             *keys, "ord", "conf", "words", "figure", F.when(figure, X.NON_TEXT_MARKER).otherwise(F.col("plain")).alias("out"), F.lit(False).alias("vlm"), F.lit(None).cast("string").alias("reason")
         )
     else:
+        if store is None:
+            raise ValueError("a vision model needs a folder for its answers")
         asked, tries = rows.filter("weak"), None
         for _ in range(attempts):
-            answers = _second_opinion(asked, vision).persist(StorageLevel.DISK_ONLY)
+            path = f"{store.rstrip('/')}/answers-{uuid.uuid4().hex}"
+            _second_opinion(asked, vision).write.parquet(path)
+            answers = read.sparkSession.read.parquet(path)
             judged = asked.drop("candidate", "reason").join(answers, "rid").withColumn("reason", T.verify_vlm(F.col("candidate"), F.col("base"), F.lit(pack)))
             accepted, asked = judged.filter("reason is null"), judged.filter("reason is not null")
             tries = accepted if tries is None else tries.unionByName(accepted)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
@@ -21,45 +21,53 @@ def split_pages(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("kind", kind).withColumn("pages", F.when(F.col("kind") == "formfeed", F.split(t, "\f", -1)).when(F.col("kind") == "marker", marked))
 
 
-def edge_lines(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, kind, page, n_pages, pos, line, edge, form): every line, and whether it stands at its page's edge."""
-    lines = (
-        split_pages(df, text)
-        .filter("kind is not null")
-        .select(key, "kind", F.size("pages").alias("n_pages"), F.posexplode("pages").alias("page", "body"))
-        .select(key, "kind", "n_pages", "page", F.posexplode(F.split("body", "\n", -1)).alias("pos", "line"))
-    )
-    page = Window.partitionBy(key, "page")
-    full = strip(F.col("line")) != ""
-    ranked = lines.withColumn("full", full).withColumn("nth", F.sum(F.col("full").cast("int")).over(page.orderBy("pos")))
-    skipped = F.max(F.when((F.col("nth") == 1) & F.col("full") & (F.col("kind") == "marker") & F.col("line").rlike(MARKER), 1).otherwise(0)).over(page)
-    total = F.sum(F.col("full").cast("int")).over(page)
-    ranked = ranked.withColumn("skipped", skipped).withColumn("total", total)
-    first = F.col("nth") - F.col("skipped")
-    edge = F.col("full") & (first >= 1) & ((first <= X.EDGE_LINES) | (F.col("nth") > F.col("total") - X.EDGE_LINES))
-    return ranked.withColumn("edge", edge).withColumn("form", F.when(edge, edge_form(F.col("line")))).select(key, "kind", "page", "n_pages", "pos", "line", "edge", "form")
-
-
-def repeated_edges(edges: DataFrame, key: str) -> DataFrame:
-    """(key, form, n): edge forms on enough pages of a document of three pages or more."""
-    least = F.greatest(F.lit(X.MIN_PAGES), F.floor(F.col("n_pages") * X.REPEAT_RATIO))
-    seen = edges.filter("edge and form != ''").select(key, "n_pages", "page", "form").distinct()
-    return seen.groupBy(key, "n_pages", "form").agg(F.count("*").alias("n")).filter((F.col("n_pages") >= X.MIN_PAGES) & (F.col("n") >= least)).drop("n_pages")
+def page_edges(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with kind, n_pages, lines, edges and forms: lines of each page, places of its edge lines, and their forms.
+
+    A row is worked on by itself; rows without page borders have nulls.
+    """
+    lines = F.transform("pages", lambda p: F.split(p, "\n", -1))
+
+    def places(of: Column) -> Column:
+        full = F.filter(F.transform(of, lambda x, k: F.struct(k.alias("k"), x.alias("x"))), lambda s: strip(s["x"]) != "")
+        marked = (F.col("kind") == "marker") & F.coalesce(F.get(full, F.lit(0))["x"].rlike(MARKER), F.lit(False))
+        first = F.when(marked, 1).otherwise(0)
+        near = F.filter(full, lambda s, i: (i >= first) & ((i < first + X.EDGE_LINES) | (i >= F.size(full) - X.EDGE_LINES)))
+        return F.transform(near, lambda s: s["k"])
+
+    split = split_pages(df, text).withColumn("n_pages", F.size("pages")).withColumn("lines", lines).drop("pages")
+    placed = split.withColumn("edges", F.transform("lines", places))
+    return placed.withColumn("forms", F.zip_with("lines", "edges", lambda of, at: F.transform(at, lambda k: edge_form(F.get(of, k)))))
+
+
+def repeated_forms(n_pages: Column, ordered: Column) -> Column:
+    """Edge forms on enough pages of a document of three pages or more; ``ordered`` has each page's distinct forms, sorted over all pages."""
+    least = F.greatest(F.lit(X.MIN_PAGES), F.floor(n_pages * X.REPEAT_RATIO).cast("int"))
+    often = F.filter(ordered, lambda form, i: F.get(ordered, i + least - 1) == form)
+    return F.when(n_pages >= X.MIN_PAGES, F.array_distinct(often)).otherwise(F.array().cast("array<string>"))
+
+
+def with_repeated(df: DataFrame, text: str = "text") -> DataFrame:
+    """``page_edges`` with ordered (every page's distinct edge forms, sorted) and repeated (those on enough pages)."""
+    each = F.transform("forms", lambda of: F.array_distinct(F.filter(of, lambda form: form != "")))
+    return page_edges(df, text).withColumn("ordered", F.array_sort(F.flatten(each))).withColumn("repeated", repeated_forms(F.col("n_pages"), F.col("ordered")))
+
+
+def repeated_edges(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, form, n): edge forms on enough pages of a document, and the number of pages."""
+    counted = F.transform("repeated", lambda form: F.struct(form.alias("form"), F.size(F.filter("ordered", lambda x: x == form)).cast("long").alias("n")))
+    return with_repeated(df, text).select(key, F.inline(counted))
 
 
 def clean_text(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, cleaned): texts without repeated headers, footers and page numbers, words joined at line ends."""
-    edges = edge_lines(df, key, text)
-    repeated = repeated_edges(edges, key).select(key, "form", F.lit(True).alias("repeated"))
-    kept = edges.join(repeated, [key, "form"], "left").filter(
-        ~F.col("edge") | (F.col("repeated").isNull() & ~F.col("line").rlike(ROMAN_OR_NUMBER))
-    )
-    line = F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"])
-    pages = kept.groupBy(key, "page").agg(F.array_join(line, "\n").alias("body"))
-    everything = edges.select(key, "kind", "page").distinct().join(pages, [key, "page"], "left")
-    body = F.transform(F.array_sort(F.collect_list(F.struct("page", F.coalesce("body", F.lit("")).alias("body")))), lambda x: x["body"])
-    joined = everything.groupBy(key).agg(F.when(F.max("kind") == "formfeed", F.array_join(body, "\f")).otherwise(F.array_join(body, "\n")).alias("joined"))
-    return df.join(joined, key, "left").select(key, dehyphenate(F.coalesce("joined", text)).alias("cleaned"))
+
+    def body(of: Column, at: Column) -> Column:
+        drop = lambda x, k: F.when(F.array_contains(at, k), F.array_contains("repeated", edge_form(x)) | x.rlike(ROMAN_OR_NUMBER)).otherwise(False)
+        return F.array_join(F.filter(of, lambda x, k: ~drop(x, k)), "\n")
+
+    kept = with_repeated(df, text).withColumn("kept", F.zip_with("lines", "edges", body))
+    return kept.withColumn("joined", F.when(F.col("kind") == "formfeed", F.array_join("kept", "\f")).otherwise(F.array_join("kept", "\n"))).select(key, dehyphenate(F.coalesce("joined", text)).alias("cleaned"))
 
 
 def assemble_pages(pages: DataFrame, key: str, marked: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
@@ -46,28 +46,28 @@ def parse_sections(df: DataFrame, key: str, markdown: str, template: str, lang:
     A heading names the section whose label it equals, else the first whose label contains
     it or is contained in it, else itself.
     """
-    lines = df.select(key, template, lang, F.posexplode(F.split(F.col(markdown), r"\r\n|\n|\r", -1)).alias("pos", "line"))
-    head = r"(?U)^\s*##\s+(.*?)\s*$"
-    order = Window.partitionBy(key).orderBy("pos")
-    marked = lines.withColumn("is_head", F.col("line").rlike(head)).withColumn("block", F.sum(F.col("is_head").cast("int")).over(order))
-    text = F.transform(F.array_sort(F.collect_list(F.when(~F.col("is_head"), F.struct("pos", "line")))), lambda x: x["line"])
-    blocks = (
-        marked.filter("block > 0")
-        .groupBy(key, "block")
-        .agg(
-            F.max(F.when(F.col("is_head"), strip(F.regexp_extract("line", head, 1)))).alias("label"),
-            F.first(template).alias("template"),
-            F.first(lang).alias("lang"),
-            strip(F.array_join(text, "\n")).alias("content"),
-        )
+    head = r"(?dmU)^[^\S\n]*##[^\S\n]+(.*?)[^\S\n]*$"
+    names, ks = labels(F.col(template), F.col(lang)), keys(F.col(template))
+    found = df.withColumn("__md", F.regexp_replace(F.col(markdown), r"\r\n|\r", "\n")).select(
+        key,
+        F.arrays_zip(names.alias("n"), ks.alias("k")).alias("known"),
+        F.regexp_extract_all("__md", F.lit(head), F.lit(1)).alias("heads"),
+        F.slice(F.split("__md", head, -1), 2, 1 << 30).alias("bodies"),
     )
-    names, ks = labels(F.col("template"), F.col("lang")), keys(F.col("template"))
-    pairs = F.arrays_zip(names.alias("n"), ks.alias("k"))
-    low = F.lower("label")
-    equal = F.filter(pairs, lambda p: p["n"] == F.col("label"))
-    close = F.filter(pairs, lambda p: F.contains(low, F.lower(p["n"])) | F.contains(F.lower(p["n"]), low))
-    section = F.coalesce(F.try_element_at(equal, F.lit(1))["k"], F.try_element_at(close, F.lit(1))["k"], F.col("label"))
-    return blocks.withColumn("section", section).groupBy(key, "section").agg(F.max_by("content", "block").alias("content"))
+
+    def named(head: Column, body: Column) -> Column:
+        label = strip(head)
+        low = F.lower(label)
+        equal = F.filter("known", lambda p: p["n"] == label)
+        close = F.filter("known", lambda p: F.contains(low, F.lower(p["n"])) | F.contains(F.lower(p["n"]), low))
+        section = F.coalesce(F.get(equal, F.lit(0))["k"], F.get(close, F.lit(0))["k"], label)
+        return F.struct(section.alias("section"), strip(body).alias("content"))
+
+    blocks = F.transform(F.zip_with("heads", "bodies", named), lambda x, k: F.struct(x["section"].alias("section"), k.alias("k"), x["content"].alias("content")))
+    # sorted by section and place, the last block of a section is the one before another section
+    ordered = found.withColumn("ordered", F.array_sort(blocks))
+    last = F.filter("ordered", lambda x, k: ~F.get("ordered", k + 1)["section"].eqNullSafe(x["section"]))
+    return ordered.select(key, F.inline(last)).select(key, "section", "content")
 
 
 def dedup_lines(values: Column) -> Column:

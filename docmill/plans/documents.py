@@ -128,7 +128,7 @@ EDGE_SQL = rf"""WITH d AS (SELECT doc_id, {D.PAGED} AS text FROM documents), k A
 
 def repeated_edges(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", f"{D.PAGED} AS text")
-    return pages.repeated_edges(pages.edge_lines(d, "doc_id"), "doc_id")
+    return pages.repeated_edges(d, "doc_id")
 
 
 def clean_text(spark, sf_dir):
@@ -154,6 +154,24 @@ def excerpt_plan(spark, sf_dir):
     return x.select("doc_id", "x.strategy", "x.truncated", F.array_join("x.parts", ",").alias("parts"), F.length("x.text").cast("long").alias("n_chars"), F.sha2("x.text", 256).alias("digest"))
 
 
+TRIM = r"'^\s+|\s+$', '', 'g'"
+#: What the headings that STRUCTURED adds give; the texts have none of their own.
+EXCERPT_SQL = rf"""WITH d AS (SELECT doc_id, doc_id % 5 AS m, {D.STRUCTURED} AS text, {D.TYPE} AS kind,
+   length('RESUMO' || {D.NL} || substr(text, 1, 600) || {D.NL} || 'Palavras-chave: a; b' || {D.NL} || 'ABSTRACT' || {D.NL} || substr(text, 601, 600) || {D.NL} || 'Keywords: c' || {D.NL}) AS ends,
+   length('SUMÁRIO' || {D.NL} || substr(text, 1, 400) || {D.NL}) AS preface FROM documents),
+ c AS (SELECT *, length(text) <= 4000 AS fits, [regexp_replace(substr(text, 1, 1600), {TRIM}), regexp_replace(substr(text, ends + 1, 1200), {TRIM})] AS art,
+   [regexp_replace(substr(text, 1, 1000), {TRIM}), regexp_replace(substr(text, preface + 1, 1000), {TRIM}), regexp_replace(substr(text, 1, 1000), {TRIM})] AS man FROM d),
+ x AS (SELECT doc_id, CASE WHEN fits THEN 'full' WHEN kind = 'articulo' THEN 'articulo' WHEN kind = 'manual' THEN 'manual' ELSE 'divulgacion' END AS strategy, NOT fits AS truncated,
+  CASE WHEN fits THEN 'completo' WHEN kind = 'articulo' AND m = 0 THEN 'abstract,conclusao' WHEN kind = 'manual' AND m = 1 THEN 'portada,apresentacao,sumario' WHEN kind = 'manual' THEN 'portada' ELSE 'prefijo' END AS parts,
+  CASE WHEN fits THEN regexp_replace(text, {TRIM}) WHEN kind = 'articulo' AND m = 0 THEN art[1] || {D.NL} || {D.NL} || art[2]
+   WHEN kind = 'manual' AND m = 1 THEN array_to_string(man, {D.NL} || {D.NL}) WHEN kind = 'manual' THEN man[1] ELSE regexp_replace(substr(text, 1, 4000), {TRIM}) END AS t FROM c)
+ SELECT doc_id, strategy, truncated, parts, length(t) AS n_chars, sha256(t) AS digest FROM x"""
+ABSTRACT_SQL = rf"""WITH c AS (SELECT doc_id, 0 AS o, 'pt' AS lang, 'RESUMO' AS header, substr(text, 1, 600) AS chunk, 'a; b' AS keywords FROM documents WHERE doc_id % 5 = 0 UNION ALL
+  SELECT doc_id, 1, 'en', 'ABSTRACT', substr(text, 601, 600), regexp_replace(regexp_extract('c' || {D.NL} || 'Conclusiones' || {D.NL} || substr(text, 1201), '(?s)^(.*?)(\n\s*\n|\z)', 1), {TRIM}) FROM documents WHERE doc_id % 5 = 0),
+ b AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(chunk, '^\s*[:.\-]?\s*', ''), {TRIM}), '\s+', ' ', 'g') AS body FROM c)
+ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY o) - 1 AS INT) AS ord, lang, header, length(body) AS n_chars, keywords FROM b WHERE length(body) >= 40"""
+
+
 def abstract_blocks(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", f"{D.STRUCTURED} AS text")
     return d.select("doc_id", F.posexplode(S.abstracts(F.col("text"))).alias("ord", "a")).select("doc_id", "ord", "a.lang", "a.header", F.length("a.text").cast("long").alias("n_chars"), "a.keywords")
@@ -191,7 +209,7 @@ PACK_SQL = rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_replace(replace(text,
 
 def prompt_build(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "lang", "text", f"{D.TYPE} AS kind")
-    p = sections.prompt(F.col("text"), F.col("lang"), T.template_of(F.col("kind")), 1000)
+    p = sections.prompt(F.col("text"), F.col("lang"), T.template_of(F.col("kind")))
     return d.select("doc_id", p.alias("p")).select("doc_id", F.length("p").cast("long").alias("n_chars"), F.sha2("p", 256).alias("digest"))
 
 
@@ -204,7 +222,7 @@ def _labels_case(lang: str) -> str:
 PROMPT_SQL = f"""WITH d AS (SELECT doc_id, lang, text, CASE {D.TYPE} WHEN 'articulo' THEN 'A' WHEN 'manual' THEN 'B' ELSE 'C' END AS template FROM documents),
  p AS (SELECT doc_id, CASE lang WHEN 'es' THEN '{X.INSTRUCTIONS["es"].replace("'", "''")}' WHEN 'en' THEN '{X.INSTRUCTIONS["en"].replace("'", "''")}' ELSE '{X.INSTRUCTIONS["pt"].replace("'", "''")}' END
   || chr(10) || chr(10) || CASE lang WHEN 'es' THEN {_labels_case("es")} WHEN 'en' THEN {_labels_case("en")} ELSE {_labels_case("pt")} END
-  || chr(10) || chr(10) || 'TEXTO:' || chr(10) || '\"\"\"' || chr(10) || substr(text, 1, 1000) || chr(10) || '\"\"\"' AS p FROM d)
+  || chr(10) || chr(10) || 'TEXTO:' || chr(10) || '\"\"\"' || chr(10) || substr(text, 1, {X.MAX_CHARS}) || chr(10) || '\"\"\"' AS p FROM d)
  SELECT doc_id, length(p) AS n_chars, sha256(p) AS digest FROM p"""
 
 
@@ -223,7 +241,7 @@ FAKE_SQL = rf"""WITH d AS (SELECT doc_id, lang, CASE {D.TYPE} WHEN 'articulo' TH
  l AS (SELECT *, {_keys_case(lambda ks: [X.LABELS[k][0] for k in ks])} AS names FROM d)
  SELECT doc_id, unnest(range(len(names)))::INT AS ord, unnest(names) AS label, '[fake:' || lang || '] ' || unnest(names) || ': ' || head AS content FROM l"""
 
-MARKDOWN = f"'skipped' || {D.NL} || '## ' || CASE WHEN lang = 'en' THEN 'Title' ELSE 'Título' END || {D.NL} || substr(text, 1, 40) || {D.NL} || '##  The Público' || {D.NL} || 'all' || {D.NL} || '## Other' || {D.NL} || source || {D.NL} || '## Other' || {D.NL} || lang"
+MARKDOWN = f"'skipped' || {D.NL} || '## ' || CASE WHEN lang = 'en' THEN 'Title' ELSE 'Título' END || {D.NL} || text || {D.NL} || '##  The Público' || {D.NL} || 'all' || {D.NL} || '## Other' || {D.NL} || source || {D.NL} || '## Other' || {D.NL} || lang"
 
 
 def section_parse(spark, sf_dir):
@@ -231,29 +249,32 @@ def section_parse(spark, sf_dir):
     return sections.parse_sections(d, "doc_id", "md", "template", "lang")
 
 
-SECTION_SQL = r"""SELECT doc_id, 'titulo' AS section, regexp_replace(substr(text, 1, 40), '^\s+|\s+$', '', 'g') AS content FROM documents
+SECTION_SQL = r"""SELECT doc_id, 'titulo' AS section, regexp_replace(text, '^\s+|\s+$', '', 'g') AS content FROM documents
  UNION ALL SELECT doc_id, CASE WHEN lang = 'en' THEN 'The Público' ELSE 'The Público' END, 'all' FROM documents
  UNION ALL SELECT doc_id, 'Other', lang FROM documents"""
 
 
 def consolidate(spark, sf_dir):
-    d = docs(spark, sf_dir, "source", "doc_id AS ord", f"'- ' || lang || {D.NL} || 'all ' || {D.NL} || '• ' || source AS publico", "CASE WHEN doc_id % 7 = 0 THEN ' ' ELSE substr(text, 1, 20) END AS titulo")
-    parts = d.select("source", "ord", F.explode(F.create_map(F.lit("publico"), "publico", F.lit("titulo"), "titulo")).alias("section", "content"))
-    out = sections.consolidate(parts, "source")
-    return out.select("source", "section", F.when(F.col("section") == "publico", F.col("content")).alias("content"), F.sha2("content", 256).alias("digest"))
+    """Partial summaries of a document, one for each of its lines; some have a blank section."""
+    d = docs(spark, sf_dir, "doc_id", f"'- ' || lang || {D.NL} || 'all ' || {D.NL} || '• ' || source AS publico", "text")
+    lines = d.select("doc_id", "publico", F.posexplode(F.split("text", "\n", -1)).alias("ord", "line"))
+    titulo = F.when(F.col("ord") % 7 == 3, F.lit(" ")).otherwise(F.col("line"))
+    parts = lines.select("doc_id", "ord", F.explode(F.create_map(F.lit("publico"), "publico", F.lit("titulo"), titulo)).alias("section", "content"))
+    out = sections.consolidate(parts, "doc_id")
+    return out.select("doc_id", "section", F.when(F.col("section") == "publico", F.col("content")).alias("content"), F.sha2("content", 256).alias("digest"))
 
 
-CONSOLIDATE_SQL = r"""WITH i AS (SELECT source, unnest(['all', lang, source]) AS item FROM documents), u AS (SELECT DISTINCT source, item FROM i),
- p AS (SELECT source, 'publico' AS section, string_agg('- ' || item, chr(10) ORDER BY item) AS content FROM u GROUP BY ALL),
- t AS (SELECT source, 'titulo' AS section, string_agg(substr(text, 1, 20), chr(10) || chr(10) ORDER BY doc_id) FILTER (WHERE doc_id % 7 <> 0 AND regexp_matches(substr(text, 1, 20), '[^\s]')) AS content FROM documents GROUP BY ALL)
- SELECT source, section, content, sha256(content) AS digest FROM p UNION ALL SELECT source, section, NULL, sha256(coalesce(content, '')) FROM t"""
+CONSOLIDATE_SQL = rf"""WITH p AS (SELECT doc_id, array_to_string(list_transform(list_sort(list_distinct(['all', lang, source])), lambda x: '- ' || x), {D.NL}) AS content FROM documents),
+ l AS (SELECT doc_id, unnest(string_split(text, {D.NL})) AS line, generate_subscripts(string_split(text, {D.NL}), 1) - 1 AS k FROM documents),
+ t AS (SELECT doc_id, string_agg(line, {D.NL} || {D.NL} ORDER BY k) FILTER (WHERE k % 7 <> 3 AND regexp_matches(line, '[^\s]')) AS content FROM l GROUP BY doc_id)
+ SELECT doc_id, 'publico' AS section, content, sha256(content) AS digest FROM p UNION ALL SELECT doc_id, 'titulo', NULL, sha256(coalesce(content, '')) FROM t"""
 
 
 def _results(spark, sf_dir):
     """Results with sections by key: some blank, some with a refusal, abstracts declared by language."""
     d = docs(spark, sf_dir, "doc_id", "lang", "text", f"{D.TYPE} AS kind")
     t = T.template_of(F.col("kind"))
-    value = F.when(F.col("doc_id") % 11 == 0, F.lit(" ")).when(F.col("doc_id") % 13 == 0, F.lit("I'm sorry, your question")).otherwise(F.substring("text", 1, 200))
+    value = F.when(F.col("doc_id") % 11 == 0, F.lit(" ")).when(F.col("doc_id") % 13 == 0, F.lit("I'm sorry, your question")).otherwise(F.col("text"))
     return d.select("doc_id", "lang", t.alias("template"), F.map_from_arrays(sections.keys(t), F.transform(sections.keys(t), lambda k: F.when(k == "titulo", F.lit("T")).otherwise(value))).alias("sections"))
 
 
@@ -265,7 +286,7 @@ def result_gates(spark, sf_dir):
 
 
 RESULT_GATES_SQL = rf"""WITH d AS (SELECT doc_id, lang AS own, CASE {D.TYPE} WHEN 'articulo' THEN 'A' WHEN 'manual' THEN 'B' ELSE 'C' END AS template,
-   CASE WHEN doc_id % 11 = 0 THEN ' ' WHEN doc_id % 13 = 0 THEN 'I''m sorry, your question' ELSE substr(text, 1, 200) END AS v FROM documents),
+   CASE WHEN doc_id % 11 = 0 THEN ' ' WHEN doc_id % 13 = 0 THEN 'I''m sorry, your question' ELSE text END AS v FROM documents),
  k AS (SELECT *, {_keys_case(lambda ks: ks)} AS keys, {_keys_case(lambda ks: [k for k in ks if k not in X.OPTIONAL_KEYS])} AS req FROM d),
  s AS (SELECT *, array_to_string(list_transform(keys, lambda x: CASE WHEN x = 'titulo' THEN 'T' ELSE v END), ' ') AS text FROM k),
  t AS (SELECT *, {TOKENS} AS toks FROM s), h AS (SELECT *, {HITS} FROM t), b AS (SELECT *, {BEST} AS det FROM h),
@@ -295,7 +316,7 @@ TRANSCRIPT_SQL = rf"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN re
 
 
 def vlm_verify(spark, sf_dir):
-    d = docs(spark, sf_dir, "doc_id", "CASE WHEN doc_id % 10 = 0 THEN '  ' WHEN doc_id % 10 = 1 THEN 'The image shows ' || text ELSE text END AS vlm", "CASE WHEN doc_id % 10 = 2 THEN 'uno dos tres cuatro cinco seises sietes ochos nueves diez once' ELSE substr(text, 1, 120) END AS base")
+    d = docs(spark, sf_dir, "doc_id", "CASE WHEN doc_id % 10 = 0 THEN '  ' WHEN doc_id % 10 = 1 THEN 'The image shows ' || text ELSE text END AS vlm", "CASE WHEN doc_id % 10 = 2 THEN 'uno dos tres cuatro cinco seises sietes ochos nueves diez once' WHEN doc_id % 10 = 3 THEN replace(text, 'a', 'e') ELSE text END AS base")
     d = d.withColumn("words", T.words(F.col("base"))).withColumn("overlap", T.lexical_overlap(F.col("vlm"), F.col("words")))
     d = d.withColumn("reason", T.verify_vlm(F.col("vlm"), F.col("words"), F.lit("por+eng+spa"), F.col("overlap")))
     return d.select("doc_id", F.col("reason").isNull().alias("accepted"), F.coalesce(F.regexp_extract("reason", "^[a-z]+", 0), F.lit("")).alias("reason"), F.round("overlap", 6).alias("overlap"))
@@ -303,7 +324,7 @@ def vlm_verify(spark, sf_dir):
 
 FOLD_SQL = "translate(lower(w), 'áàâãäåéèêëíìîïóòôõöúùûüçñýÿ', 'aaaaaaeeeeiiiiooooouuuucnyy')"
 VLM_SQL = rf"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '  ' WHEN doc_id % 10 = 1 THEN 'The image shows ' || text ELSE text END AS text,
-   CASE WHEN doc_id % 10 = 2 THEN 'uno dos tres cuatro cinco seises sietes ochos nueves diez once' ELSE substr(text, 1, 120) END AS base FROM documents),
+   CASE WHEN doc_id % 10 = 2 THEN 'uno dos tres cuatro cinco seises sietes ochos nueves diez once' WHEN doc_id % 10 = 3 THEN replace(text, 'a', 'e') ELSE text END AS base FROM documents),
  w AS (SELECT *, regexp_extract_all(base, '[\p{{L}}\p{{N}}_]+') AS bw, regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+') AS vw, {TOKENS} AS toks FROM d), h AS (SELECT *, {HITS} FROM w),
  o AS (SELECT *, {BEST} AS det, len(list_filter(bw, lambda w: length(w) >= 4)) AS useful, list_distinct(list_transform(list_filter(bw, lambda w: length(w) >= 4), lambda w: {FOLD_SQL})) AS own, list_distinct(list_transform(vw, lambda w: {FOLD_SQL})) AS seen FROM h),
  v AS (SELECT *, CASE WHEN len(own) = 0 THEN 1.0 ELSE len(list_intersect(own, seen)) * 1.0 / len(own) END AS overlap FROM o),
@@ -314,13 +335,13 @@ VLM_SQL = rf"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '  ' WHE
 
 def control_suite(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "lang", "text")
-    cases = d.filter("doc_id % 4 = 0").select("doc_id", F.col("lang").alias("expected_lang"), F.lit("divulgacion").alias("expected_type"), F.array(F.lit("THE"), F.lit("de "), F.lit("xyz")).alias("terms"))
+    cases = d.select("doc_id", F.col("lang").alias("expected_lang"), F.lit("divulgacion").alias("expected_type"), F.array(F.lit("THE"), F.lit("de "), F.lit("xyz")).alias("terms"))
     results = d.filter("doc_id % 12 <> 0").select("doc_id", T.detect_language(F.col("text")).alias("lang"), F.lit("divulgacion").alias("type"), "text")
     return reports.control_report(reports.judge_cases(cases, results, "doc_id"))
 
 
 CONTROL_SQL = hits_sql(
-    """, c AS (SELECT b.doc_id, own, detected, text FROM b JOIN documents USING (doc_id) WHERE b.doc_id % 4 = 0),
+    """, c AS (SELECT b.doc_id, own, detected, text FROM b JOIN documents USING (doc_id)),
  v AS (SELECT doc_id % 12 <> 0 AS there, (CAST(contains(lower(text), 'the') AS INT) + CAST(contains(lower(text), 'de ') AS INT) + CAST(contains(lower(text), 'xyz') AS INT)) / 3.0 AS cov, detected = own AS lang_ok FROM c),
  s AS (SELECT count(*) AS total, count(*) FILTER (WHERE there AND lang_ok AND cov = 1) AS passed, round(coalesce(sum(cov) FILTER (WHERE there), 0) / count(*), 3) AS coverage_media,
   count(*) FILTER (WHERE there AND lang_ok) AS lang_aciertos, count(*) FILTER (WHERE there) AS type_aciertos FROM v) SELECT * FROM s"""
@@ -356,6 +377,8 @@ ORACLE_SQL = {
     "page_split": PAGE_SPLIT_SQL,
     "repeated_edges": EDGE_SQL + "SELECT doc_id, form, n FROM rep",
     "clean_text": CLEAN_SQL,
+    "excerpt_plan": EXCERPT_SQL,
+    "abstract_blocks": ABSTRACT_SQL,
     "chapter_split": CHAPTER_SQL,
     "block_pack": PACK_SQL,
     "prompt_build": PROMPT_SQL,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import engine
 from ..functions import fixed as X
 from ..functions.text import route_ocr
-from ..operators import catalog, environment, jobs, metadata, ocr, regions, reports, summarize
+from ..operators import catalog, environment, jobs, metadata, monitor, ocr, regions, reports, summarize
 from . import derive as D
 from .documents import docs
 
@@ -164,20 +164,20 @@ ASOF_SQL = """WITH c AS (SELECT user_id, ts, max(event_id) AS context FROM event
 
 def lilacs(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "lang AS idioma", "text", f"{D.TYPE} AS tipo").withColumn("plantilla", F.when(F.col("tipo") == "articulo", "A").when(F.col("tipo") == "manual", "B").otherwise("C"))
-    sections = F.create_map(F.lit("titulo"), F.substring("text", 1, 30), F.lit("objetivo"), F.lit(" obj "), F.lit("terminos"), F.concat(F.lit("a; b.,, "), "idioma"))
+    sections = F.create_map(F.lit("titulo"), F.col("text"), F.lit("objetivo"), F.lit(" obj "), F.lit("terminos"), F.concat(F.lit("a; b.,, "), "idioma"))
     r = d.withColumn("sections", sections).withColumn("abstracts", F.array(F.struct(F.col("idioma").alias("lang"), F.lit("x").alias("text")), F.struct(F.lit("en").alias("lang"), F.lit("y").alias("text"))))
     lil = catalog.lilacs(r).select("doc_id", "record.lilacs")
     return lil.select("doc_id", F.col("lilacs.05_tipo_documento").alias("doctype"), "lilacs.titulo", F.array_join("lilacs.descritores_candidatos", "|").alias("terms"), F.array_join("lilacs.idiomas_resumo_origem", ",").alias("langs"), F.array_join(F.transform("lilacs.resumos", lambda a: F.concat_ws(":", a["lang"], a["source"], a["text"])), "|").alias("resumos"))
 
 
-LILACS_SQL = rf"""WITH d AS (SELECT *, {D.TYPE} AS tipo FROM documents) SELECT doc_id, CASE tipo WHEN 'articulo' THEN 'S' ELSE 'M' END AS doctype, regexp_replace(substr(text, 1, 30), '^\s+|\s+$', '', 'g') AS titulo,
+LILACS_SQL = rf"""WITH d AS (SELECT *, {D.TYPE} AS tipo FROM documents) SELECT doc_id, CASE tipo WHEN 'articulo' THEN 'S' ELSE 'M' END AS doctype, regexp_replace(text, '^\s+|\s+$', '', 'g') AS titulo,
  CASE tipo WHEN 'articulo' THEN '' ELSE 'a|b|' || lang END AS terms, CASE lang WHEN 'en' THEN 'en' ELSE lang || ',en' END AS langs,
  lang || ':generated:' || CASE tipo WHEN 'articulo' THEN 'obj' ELSE '' END || '|' || lang || ':origin:x|en:origin:y' AS resumos FROM d"""
 
 
 def _bib(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "lang AS idioma", "text", "'C' AS plantilla", "CAST(doc_id % 9 AS INT) AS pages")
-    sections = F.create_map(F.lit("titulo"), F.when(F.col("doc_id") % 6 == 0, F.lit(" ")).otherwise(F.substring("text", 1, 30)), F.lit("autores"), F.lit("Ana e Luis; Eva"), F.lit("entidad"), F.when(F.col("doc_id") % 2 == 0, "No se especifica").otherwise("OPS"), F.lit("terminos"), F.lit("- uno\n• dos\n"))
+    sections = F.create_map(F.lit("titulo"), F.when(F.col("doc_id") % 6 == 0, F.lit(" ")).otherwise(F.col("text")), F.lit("autores"), F.lit("Ana e Luis; Eva"), F.lit("entidad"), F.when(F.col("doc_id") % 2 == 0, "No se especifica").otherwise("OPS"), F.lit("terminos"), F.lit("- uno\n• dos\n"))
     pdf = d.filter("doc_id % 3 = 0").select("doc_id", F.when(F.col("doc_id") % 12 != 0, F.concat(F.lit("Libro "), F.col("doc_id").cast("string"))).alias("title"), F.lit("Parte").alias("subject"), F.lit("Ivo and Bia").alias("author"), F.lit("x; z").alias("keywords"), F.lit("Tue Mar 6 2012").alias("creation_date"), F.lit(7).alias("pdf_pages"))
     return catalog.merge_sources(d.withColumn("sections", sections), pdf)
 
@@ -187,7 +187,7 @@ def bib_merge(spark, sf_dir):
     return b.select("doc_id", "title", "src_title", "section_title", "src_section_title", F.array_join("authors", "|").alias("authors"), "src_authors", "publisher", "date", "pages", F.array_join("subjects", "|").alias("subjects"), "src_subjects")
 
 
-BIB_SQL = r"""WITH d AS (SELECT doc_id, doc_id % 3 = 0 AS pdf, doc_id % 3 = 0 AND doc_id % 12 <> 0 AS pt, CASE WHEN doc_id % 6 = 0 THEN '' ELSE regexp_replace(substr(text, 1, 30), '^\s+|\s+$', '', 'g') END AS own FROM documents)
+BIB_SQL = r"""WITH d AS (SELECT doc_id, doc_id % 3 = 0 AS pdf, doc_id % 3 = 0 AND doc_id % 12 <> 0 AS pt, CASE WHEN doc_id % 6 = 0 THEN '' ELSE regexp_replace(text, '^\s+|\s+$', '', 'g') END AS own FROM documents)
  SELECT doc_id, CASE WHEN pt THEN 'Libro ' || doc_id ELSE own END AS title, CASE WHEN pt THEN 'pdf_metadata' WHEN own <> '' THEN 'summary' END AS src_title, CASE WHEN pdf THEN 'Parte' ELSE '' END AS section_title, CASE WHEN pdf THEN 'pdf_metadata' END AS src_section_title,
  CASE WHEN pdf THEN 'Ivo|Bia' ELSE 'Ana|Luis|Eva' END AS authors, CASE WHEN pdf THEN 'pdf_metadata' ELSE 'summary' END AS src_authors, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'OPS' END AS publisher, CASE WHEN pdf THEN '2012' ELSE '' END AS date,
  CASE WHEN pdf THEN 7 ELSE CAST(doc_id % 9 AS INT) END AS pages, CASE WHEN pdf THEN 'x|z' ELSE 'uno|dos' END AS subjects, CASE WHEN pdf THEN 'pdf_metadata' ELSE 'summary' END AS src_subjects FROM d"""
@@ -199,7 +199,7 @@ def bibframe(spark, sf_dir):
     return b.select("doc_id", "motivo", title.alias("title"), F.get_json_object("record", "$.instance[0]['bf:publisher']").alias("publisher"), F.get_json_object("record", "$.work[0]['bf:language']").alias("language"))
 
 
-BIBFRAME_SQL = r"""WITH d AS (SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 AND doc_id % 12 <> 0 THEN 'Libro ' || doc_id WHEN doc_id % 6 = 0 THEN '' ELSE regexp_replace(substr(text, 1, 30), '^\s+|\s+$', '', 'g') END AS t FROM documents)
+BIBFRAME_SQL = r"""WITH d AS (SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 AND doc_id % 12 <> 0 THEN 'Libro ' || doc_id WHEN doc_id % 6 = 0 THEN '' ELSE regexp_replace(text, '^\s+|\s+$', '', 'g') END AS t FROM documents)
  SELECT doc_id, CASE WHEN t = '' THEN 'sin título' END AS motivo, nullif(t, '') AS title, CASE WHEN t <> '' AND doc_id % 2 = 1 THEN 'OPS' END AS publisher, CASE WHEN t <> '' THEN CASE lang WHEN 'es' THEN 'spa' WHEN 'en' THEN 'eng' WHEN 'fr' THEN 'fre' END END AS language FROM d"""
 
 
@@ -337,5 +337,49 @@ def summary_records(spark, sf_dir):
     return made.select("doc_id", "idioma_principal", "tipo_documento", "plantilla", "calls", "state", "text_chars", F.size("failures").alias("n_failures"), F.element_at("secciones", F.lit("titulo")).alias("titulo"))
 
 
+def _samples(spark, sf_dir):
+    """Events as samples of runs (users): one value in every series, shifted; every third with a device, every fourth with a loaded model."""
+    v, n = F.col("value"), F.col("event_id")
+    none = F.lit(None)
+    process = F.struct(v * 10, F.when(n % 2 == 1, v), n.cast("double"))
+    host = F.struct(v + 1, v + 2, v + 3, v + 4, v + 5, F.when(n % 2 == 0, v + 6), v + 7)
+    gpu = F.struct((n % 2).cast("int"), none, F.lit("g"), v, v + 1, v + 100, v + 2, v + 3, none, v + 4, none, none, F.lit("P0"), n % 5 == 0, F.when(n % 5 == 0, F.array(F.col("event_type"))))
+    model = F.struct(F.col("event_type"), v, n, none, none)
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("run_id"), F.lit("w").alias("worker"), "ts", process.alias("process"), host.alias("host"),
+        F.when(n % 3 == 0, F.array(gpu)).alias("gpus"), F.when(n % 4 == 0, F.struct(F.lit(True), F.lit(False), none, none, F.array(model, model))).alias("ollama"),
+    ).select(*[F.col(f.name).cast(f.dataType) for f in spark.createDataFrame([], monitor.SAMPLE).schema])
+
+
+def monitor_summary(spark, sf_dir):
+    return monitor.run_summary(_samples(spark, sf_dir))
+
+
+def device_summary(spark, sf_dir):
+    found = monitor.device_summary(_samples(spark, sf_dir))
+    return found.select("run_id", "id", "index", "throttling_detected", F.array_join("throttling_reasons_seen", ",").alias("reasons"), "utilization_max_percent", "memory_peak_mb", "temperature_max_c", "power_draw_max_w", "fan_speed_max_percent")
+
+
+def model_summary(spark, sf_dir):
+    return monitor.model_summary(_samples(spark, sf_dir)).select("run_id", "model", "vram_peak_mb", "context_length_max")
+
+
+MONITOR_SQL = """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS run_id, value AS v, event_id AS n FROM events),
+ h AS (SELECT run_id, count(*) AS sample_count, round(max(v * 10), 3) AS process_rss_peak_mb, round(avg(v) FILTER (WHERE n % 2 = 1), 3) AS process_cpu_percent_avg, round(max(v) FILTER (WHERE n % 2 = 1), 3) AS process_cpu_percent_max,
+  CASE WHEN count(*) >= 2 THEN CAST(max(n) - min(n) AS DOUBLE) END AS process_cpu_seconds, round(avg(v + 1), 3) AS memory_available_avg_mb, round(min(v + 1), 3) AS memory_available_min_mb, round(min(v + 2), 3) AS swap_free_min_mb,
+  round(min(v + 3), 3) AS disk_free_min_gb, round(max(v + 4), 3) AS disk_used_percent_max, round(avg(v + 5), 3) AS load_1m_avg, round(max(v + 5), 3) AS load_1m_max, round(avg(v + 6) FILTER (WHERE n % 2 = 0), 3) AS host_cpu_percent_avg,
+  round(max(v + 6) FILTER (WHERE n % 2 = 0), 3) AS host_cpu_percent_max, round(avg(v + 7), 3) AS host_temperature_avg_c, round(quantile_disc(v + 7, 0.95), 3) AS host_temperature_p95_c, round(max(v + 7), 3) AS host_temperature_max_c,
+  bool_or(n % 4 = 0) AS ollama_api_available, round(max(v + v) FILTER (WHERE n % 4 = 0), 3) AS ollama_vram_loaded_peak_mb FROM e GROUP BY run_id),
+ g AS (SELECT run_id, round(avg(v), 3) AS gpu_utilization_avg_percent, round(quantile_disc(v, 0.95), 3) AS gpu_utilization_p95_percent, round(max(v), 3) AS gpu_utilization_max_percent, round(max(v + 1), 3) AS gpu_memory_peak_mb,
+  round(avg(v + 2), 3) AS gpu_temperature_avg_c, round(max(v + 2), 3) AS gpu_temperature_max_c, round(avg(v + 3), 3) AS gpu_power_draw_avg_w, round(max(v + 3), 3) AS gpu_power_draw_max_w, round(max(v + 4), 3) AS gpu_fan_speed_max_percent,
+  bool_or(n % 5 = 0) AS throttling_detected FROM e WHERE n % 3 = 0 GROUP BY run_id)
+ SELECT * FROM h LEFT JOIN g USING (run_id)"""
+DEVICE_SQL = """SELECT CAST(user_id AS VARCHAR) AS run_id, CAST(event_id % 2 AS VARCHAR) AS id, CAST(event_id % 2 AS INT) AS "index", bool_or(event_id % 5 = 0) AS throttling_detected,
+ coalesce(array_to_string(list_sort(list(DISTINCT event_type) FILTER (WHERE event_id % 5 = 0)), ','), '') AS reasons, round(max(value), 3) AS utilization_max_percent, round(max(value + 1), 3) AS memory_peak_mb,
+ round(max(value + 2), 3) AS temperature_max_c, round(max(value + 3), 3) AS power_draw_max_w, round(max(value + 4), 3) AS fan_speed_max_percent FROM events WHERE event_id % 3 = 0 GROUP BY ALL"""
+MODEL_SQL = "SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS model, round(max(value), 3) AS vram_peak_mb, max(event_id) AS context_length_max FROM events WHERE event_id % 4 = 0 GROUP BY ALL"
+
+QUERIES |= {f.__name__: f for f in (monitor_summary, device_summary, model_summary)}
+ORACLE_SQL |= {"monitor_summary": MONITOR_SQL, "device_summary": DEVICE_SQL, "model_summary": MODEL_SQL}
 QUERIES |= {f.__name__: f for f in (readiness, throttling, ocr_meta, legacy_meta, summary_records)}
 ORACLE_SQL |= {"reading_order": ORDER_SQL, "readiness": READY_SQL, "throttling": THROTTLE_SQL, "ocr_meta": META_SQL, "legacy_meta": LEGACY_SQL}

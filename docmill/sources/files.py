@@ -38,6 +38,20 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_ocr_meta(spark: SparkSession, path: str) -> DataFrame:
+    """OCR metadata of a folder, one ``.meta.json`` file each, with ``readable``: false for a file that is no JSON object."""
+    rows = spark.read.schema(f"{schemas.OCR_META}, _corrupt_record string").option("pathGlobFilter", "*.meta.json").option("multiLine", True).json(path)
+    named = rows.withColumn("file", F.regexp_replace(F.col("_metadata.file_name"), r"\.meta\.json$", ""))
+    kept = named.withColumn("doc_id", F.coalesce("doc_id", "file")).withColumn("readable", F.col("_corrupt_record").isNull()).withColumn("legacy", F.coalesce("legacy", F.lit(False)))
+    return kept.withColumnRenamed("ocr_pipeline_version", "pipeline_version").drop("_corrupt_record", "file")
+
+
+def write_ocr_meta(meta: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The metadata of documents as one JSON file each, below a folder for each document."""
+    named = meta.withColumnRenamed("pipeline_version", "ocr_pipeline_version")
+    named.withColumn("doc", F.col("doc_id")).repartition("doc").write.mode(mode).partitionBy("doc").json(path)
+
+
 def read_control_set(spark: SparkSession, path: str) -> DataFrame:
     """Control cases from a JSON array; absent expectations are empty."""
     rows = spark.read.schema(schemas.CONTROL_CASE).option("multiLine", True).json(path)

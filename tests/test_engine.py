@@ -176,4 +176,4 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["report", out], spark) == 0 and main(["export", out, str(tmp_path / "l")], spark) == 0
     (tmp_path / "cases.json").write_text('[{"doc_id": "a", "expected_lang": "pt", "expected_terms": ["estudo"]}]')
     assert main(["verify", out, str(tmp_path / "cases.json")], spark) == 0
-    assert main(["run", str(tmp_path / "in"), out, "--backend", "ollama"], spark) == 2
+

@@ -109,7 +109,7 @@ def word_table(conf, words):
     return "\n".join([head, *[f"5\t1\t1\t1\t{k // 8 + 1}\t{k + 1}\t0\t0\t9\t9\t{conf}\t{w}" for k, w in enumerate(words)]])
 
 
-def test_transcription_of_blocks(spark):
+def test_transcription_of_blocks(spark, tmp_path):
     strong, weak = "la salud de los niños es una cuestión que no se puede dejar para más tarde".split(), "salud niños cuestión dejar tarde madre".split()
 
     answers = [(word_table(90, strong), "plain"), (word_table(30, weak), None), (word_table(10, ["x"]), None)]
@@ -135,7 +135,7 @@ def test_transcription_of_blocks(spark):
 
         return look
 
-    seen = {r.id: r for r in images.transcribe(read, "id", vision=vision).collect()}
+    seen = {r.id: r for r in images.transcribe(read, "id", vision=vision, store=str(tmp_path)).collect()}
     assert (seen[0].vlm, seen[0].text) == (False, "plain")
     assert (seen[1].vlm, seen[1].vlm_rejected, seen[1].text) == (True, False, "salud de los niños, cuestión que dejar tarde")
     assert (seen[2].vlm, seen[2].vlm_rejected, seen[2].reason, seen[2].text) == (False, True, "vacio", "x")
