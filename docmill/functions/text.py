@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ def pick(table: dict, key: Column, default=None) -> Column:
     return F.coalesce(F.try_element_at(m, key), F.lit(default)) if default is not None else F.try_element_at(m, key)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(X.TOKEN), F.lit(0))
 
@@ -44,7 +51,12 @@ def best_language(hits: dict[str, Column]) -> Column:
 
 
 def detect_language(text: Column) -> Column:
-    return best_language(language_hits(tokens(text)))
+    """The language whose function words are most among the tokens; the text is split once, and counted once for each language."""
+
+    def best(counted: Column) -> Column:
+        return best_language({k: counted[k] for k in X.STOPWORDS})
+
+    return let(tokens(text), lambda toks: let(F.struct(*[n.alias(k) for k, n in language_hits(toks).items()]), best))
 
 
 def heading(names: str) -> str:
@@ -187,25 +199,24 @@ def lexical_overlap(vlm: Column, base: Column) -> Column:
 
 def first_phrase(text: Column, phrases: tuple[str, ...]) -> Column:
     """First of the phrases, in their order, that the lower-cased text contains."""
-    low = F.lower(text)
-    return F.coalesce(*[F.when(F.contains(low, F.lit(p)), F.lit(p)) for p in phrases])
+    return let(F.lower(text), lambda low: F.coalesce(*[F.when(F.contains(low, F.lit(p)), F.lit(p)) for p in phrases]))
 
 
 def verify_vlm(vlm: Column, base: Column, pack: Column, overlap: Column | None = None) -> Column:
     """Reason to reject a vision model's transcription, null if it is accepted; ``overlap`` is its lexical overlap where a column has it."""
-    text = strip(F.coalesce(vlm, F.lit("")))
     useful = F.size(F.filter(base, lambda w: F.length(w) >= X.MIN_WORD_LEN))
-    overlap = lexical_overlap(text, base) if overlap is None else overlap
     allowed = F.filter(F.transform(F.split(pack, r"\+"), lambda p: pick(X.PACK_LANGS, p)), lambda p: p.isNotNull())
-    found = detect_language(text)
-    phrase = first_phrase(text, X.CHATTER)
-    return (
-        F.when(text == "", F.lit("vacio"))
-        .when(phrase.isNotNull(), F.concat(F.lit("chachara: '"), phrase, F.lit("'")))
-        .when((useful >= X.MIN_BASE_WORDS) & (overlap < X.OVERLAP_MIN), F.format_string("solape lexico %.2f < 0.3", overlap))
-        .when(
-            (F.size(words(text)) >= X.LANG_MIN_TOKENS) & (F.size(allowed) > 0) & ~F.array_contains(allowed, found) & (found != "unknown"),
-            F.concat(F.lit("idioma '"), found, F.lit("' fuera del pack")),
-        )
-        .when((F.length(text) > X.EXPLOSION_CHARS) & (useful < X.EXPLOSION_MAX_BASE), F.lit("explosion de longitud sin base"))
-    )
+
+    def alien(text: Column) -> Column:
+        outside = lambda found: F.when((found != "unknown") & ~F.array_contains(allowed, found), F.concat(F.lit("idioma '"), found, F.lit("' fuera del pack")))
+        return F.when((F.size(allowed) > 0) & (F.size(words(text)) >= X.LANG_MIN_TOKENS), let(detect_language(text), outside))
+
+    def judged(text: Column) -> Column:
+        share = lexical_overlap(text, base) if overlap is None else overlap
+        said = let(first_phrase(text, X.CHATTER), lambda phrase: F.when(phrase.isNotNull(), F.concat(F.lit("chachara: '"), phrase, F.lit("'"))))
+        little = let(share, lambda x: F.when((useful >= X.MIN_BASE_WORDS) & (x < X.OVERLAP_MIN), F.format_string("solape lexico %.2f < 0.3", x)))
+        grown = F.when((F.length(text) > X.EXPLOSION_CHARS) & (useful < X.EXPLOSION_MAX_BASE), F.lit("explosion de longitud sin base"))
+        # each test is made only where those before it found nothing
+        return F.when(text == "", F.lit("vacio")).otherwise(F.coalesce(said, little, alien(text), grown))
+
+    return let(strip(F.coalesce(vlm, F.lit(""))), judged)

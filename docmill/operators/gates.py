@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
-from ..functions.text import detect_language, first_phrase, garbage_ratio, language_hits, strip, tokens
+from ..functions.text import detect_language, first_phrase, garbage_ratio, language_hits, let, strip, tokens
 from .sections import keys
 
 
@@ -31,16 +31,17 @@ def word_count(text: Column) -> Column:
 def transcript_gates(text: Column, meta: Column | None = None) -> Column:
     """Gates of a transcript; ``meta`` is struct<pages_detail, conf_media, vlm_rejected, legacy> or null."""
     enough = word_count(text) >= X.MIN_TOKENS
-    ratio = garbage_ratio(text)
-    toks = tokens(text)
-    best = F.coalesce(F.try_divide(F.greatest(*language_hits(toks).values()) * 100.0, F.size(toks)), F.lit(0.0))
-    gates = [
-        F.when(enough & (ratio > X.GARBAGE_MAX), failure("garbage", F.format_string("ratio de caracteres basura %.3f > 0.15", ratio))),
-        F.when(
-            enough & (best < X.STOPWORD_MIN),
-            failure("stopword_ratio", F.format_string("señal de idioma %.2f < 2.0 (texto posiblemente ilegible)", best), "warning"),
-        ),
-    ]
+
+    def garbage(ratio: Column) -> Column:
+        return F.when(ratio > X.GARBAGE_MAX, failure("garbage", F.format_string("ratio de caracteres basura %.3f > 0.15", ratio)))
+
+    def signal(toks: Column) -> Column:
+        return F.coalesce(F.try_divide(F.greatest(*language_hits(toks).values()) * 100.0, F.size(toks)), F.lit(0.0))
+
+    def odd(best: Column) -> Column:
+        return F.when(best < X.STOPWORD_MIN, failure("stopword_ratio", F.format_string("señal de idioma %.2f < 2.0 (texto posiblemente ilegible)", best), "warning"))
+
+    gates = [F.when(enough, let(garbage_ratio(text), garbage)), F.when(enough, let(let(tokens(text), signal), odd))]
     if meta is not None:
         pages = F.filter(meta["pages_detail"], lambda p: p["chars"].isNotNull())
         empty = F.transform(F.filter(pages, lambda p: p["chars"] == 0), lambda p: p["page"])
@@ -79,21 +80,23 @@ def result_gates(sections: Column, template: Column, lang: Column, declared: Col
     required = F.filter(keys(template), lambda k: ~k.isin(*X.OPTIONAL_KEYS))
     missing = F.filter(required, lambda k: strip(F.coalesce(F.try_element_at(sections, k), F.lit(""))) == "")
     schema = F.transform(missing, lambda k: failure("schema", F.concat(F.lit("sección obligatoria vacía o ausente: "), k)))
-    phrase = first_phrase(F.array_join(values, "\n"), X.REFUSALS)
     blob = F.array_join(values, " ")
-    found = detect_language(blob)
-    near = found.isin("pt", "es") & lang.isin("pt", "es")
     said, got = F.array_sort(F.array_distinct(declared)), F.array_sort(F.array_distinct(present))
 
     def quoted(x: Column) -> Column:
         return F.concat(F.lit("["), F.array_join(F.transform(x, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "), F.lit("]"))
 
+    def other(found: Column) -> Column:
+        near = found.isin("pt", "es") & lang.isin("pt", "es")
+        detail = F.concat(F.lit("idioma del resumen '"), found, F.lit("' != principal '"), lang, F.lit("'"))
+        return F.when((found != "unknown") & (found != lang) & ~near, failure("lang", detail, "warning"))
+
+    def refusal(phrase: Column) -> Column:
+        return F.when(phrase.isNotNull(), failure("refusal", F.concat(F.lit("marca de refusal/dirigido al usuario: '"), phrase, F.lit("'"))))
+
     rest = all_of(
-        F.when(phrase.isNotNull(), failure("refusal", F.concat(F.lit("marca de refusal/dirigido al usuario: '"), phrase, F.lit("'")))),
-        F.when(
-            (word_count(blob) >= 8) & (found != "unknown") & (found != lang) & ~near,
-            failure("lang", F.concat(F.lit("idioma del resumen '"), found, F.lit("' != principal '"), lang, F.lit("'")), "warning"),
-        ),
+        let(first_phrase(F.array_join(values, "\n"), X.REFUSALS), refusal),
+        let(blob, lambda text: F.when(word_count(text) >= 8, let(detect_language(text), other))),
         F.when((F.size(said) > 0) & (said != got), failure("abstracts", F.concat(F.lit("abstracts declarados "), quoted(said), F.lit(" != preservados "), quoted(got)))),
     )
     return F.concat(schema, rest)

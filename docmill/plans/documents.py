@@ -174,7 +174,7 @@ ABSTRACT_SQL = rf"""WITH c AS (SELECT doc_id, 0 AS o, 'pt' AS lang, 'RESUMO' AS
 
 def abstract_blocks(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", f"{D.STRUCTURED} AS text")
-    return d.select("doc_id", F.posexplode(S.abstracts(F.col("text"))).alias("ord", "a")).select("doc_id", "ord", "a.lang", "a.header", F.length("a.text").cast("long").alias("n_chars"), "a.keywords")
+    return d.select("doc_id", F.posexplode_outer(S.abstracts(F.col("text"))).alias("ord", "a")).filter("ord is not null").select("doc_id", "ord", "a.lang", "a.header", F.length("a.text").cast("long").alias("n_chars"), "a.keywords")
 
 
 def chapter_split(spark, sf_dir):
@@ -282,7 +282,8 @@ def result_gates(spark, sf_dir):
     r = _results(spark, sf_dir)
     declared = F.when(F.col("doc_id") % 4 == 0, F.array(F.lit("pt"), F.lit("en"))).otherwise(F.array().cast("array<string>"))
     g = gates.result_gates(F.col("sections"), F.col("template"), F.col("lang"), declared, F.array(F.lit("en")))
-    return r.select("doc_id", F.posexplode(g).alias("ord", "g")).select("doc_id", "ord", "g.gate", "g.detail", "g.severity")
+    # outer, as a filter on the number of gates would work them out twice
+    return r.select("doc_id", F.posexplode_outer(g).alias("ord", "g")).filter("ord is not null").select("doc_id", "ord", "g.gate", "g.detail", "g.severity")
 
 
 RESULT_GATES_SQL = rf"""WITH d AS (SELECT doc_id, lang AS own, CASE {D.TYPE} WHEN 'articulo' THEN 'A' WHEN 'manual' THEN 'B' ELSE 'C' END AS template,

@@ -339,7 +339,7 @@ def summary_records(spark, sf_dir):
 
 def _samples(spark, sf_dir):
     """Events as samples of runs (users): one value in every series, shifted; every third with a device, every fourth with a loaded model."""
-    v, n = F.col("value"), F.col("event_id")
+    v, n = F.col("value") / 7, F.col("event_id")
     none = F.lit(None)
     process = F.struct(v * 10, F.when(n % 2 == 1, v), n.cast("double"))
     host = F.struct(v + 1, v + 2, v + 3, v + 4, v + 5, F.when(n % 2 == 0, v + 6), v + 7)
@@ -364,7 +364,7 @@ def model_summary(spark, sf_dir):
     return monitor.model_summary(_samples(spark, sf_dir)).select("run_id", "model", "vram_peak_mb", "context_length_max")
 
 
-MONITOR_SQL = """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS run_id, value AS v, event_id AS n FROM events),
+MONITOR_SQL = """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS run_id, value / 7 AS v, event_id AS n FROM events),
  h AS (SELECT run_id, count(*) AS sample_count, round(max(v * 10), 3) AS process_rss_peak_mb, round(avg(v) FILTER (WHERE n % 2 = 1), 3) AS process_cpu_percent_avg, round(max(v) FILTER (WHERE n % 2 = 1), 3) AS process_cpu_percent_max,
   CASE WHEN count(*) >= 2 THEN CAST(max(n) - min(n) AS DOUBLE) END AS process_cpu_seconds, round(avg(v + 1), 3) AS memory_available_avg_mb, round(min(v + 1), 3) AS memory_available_min_mb, round(min(v + 2), 3) AS swap_free_min_mb,
   round(min(v + 3), 3) AS disk_free_min_gb, round(max(v + 4), 3) AS disk_used_percent_max, round(avg(v + 5), 3) AS load_1m_avg, round(max(v + 5), 3) AS load_1m_max, round(avg(v + 6) FILTER (WHERE n % 2 = 0), 3) AS host_cpu_percent_avg,
@@ -375,9 +375,9 @@ MONITOR_SQL = """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS run_id, value AS
   bool_or(n % 5 = 0) AS throttling_detected FROM e WHERE n % 3 = 0 GROUP BY run_id)
  SELECT * FROM h LEFT JOIN g USING (run_id)"""
 DEVICE_SQL = """SELECT CAST(user_id AS VARCHAR) AS run_id, CAST(event_id % 2 AS VARCHAR) AS id, CAST(event_id % 2 AS INT) AS "index", bool_or(event_id % 5 = 0) AS throttling_detected,
- coalesce(array_to_string(list_sort(list(DISTINCT event_type) FILTER (WHERE event_id % 5 = 0)), ','), '') AS reasons, round(max(value), 3) AS utilization_max_percent, round(max(value + 1), 3) AS memory_peak_mb,
- round(max(value + 2), 3) AS temperature_max_c, round(max(value + 3), 3) AS power_draw_max_w, round(max(value + 4), 3) AS fan_speed_max_percent FROM events WHERE event_id % 3 = 0 GROUP BY ALL"""
-MODEL_SQL = "SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS model, round(max(value), 3) AS vram_peak_mb, max(event_id) AS context_length_max FROM events WHERE event_id % 4 = 0 GROUP BY ALL"
+ coalesce(array_to_string(list_sort(list(DISTINCT event_type) FILTER (WHERE event_id % 5 = 0)), ','), '') AS reasons, round(max(value / 7), 3) AS utilization_max_percent, round(max(value / 7 + 1), 3) AS memory_peak_mb,
+ round(max(value / 7 + 2), 3) AS temperature_max_c, round(max(value / 7 + 3), 3) AS power_draw_max_w, round(max(value / 7 + 4), 3) AS fan_speed_max_percent FROM events WHERE event_id % 3 = 0 GROUP BY ALL"""
+MODEL_SQL = "SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS model, round(max(value / 7), 3) AS vram_peak_mb, max(event_id) AS context_length_max FROM events WHERE event_id % 4 = 0 GROUP BY ALL"
 
 QUERIES |= {f.__name__: f for f in (monitor_summary, device_summary, model_summary)}
 ORACLE_SQL |= {"monitor_summary": MONITOR_SQL, "device_summary": DEVICE_SQL, "model_summary": MODEL_SQL}
