@@ -5,9 +5,9 @@ Intermediates are cut from their lineage by writing them as Parquet below
 executor then costs only the tasks that ran on it. The setting is read from the session;
 only where it is unset (local tests) a temporary folder of this machine is used.
 
-All tables of a session stand in one folder below it. A table whose last reader has
-been written is discarded at once; ``clear`` removes what is left, when the results that read it are
-no longer needed.
+All tables of a session stand in one folder below it. A table whose last reader has been written is discarded at
+once, and ``settled`` discards all that an operator made for a result that is itself written; ``clear`` removes
+what is left, when the results that read it are no longer needed.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ BROADCAST_ROWS = 500_000
 
 _local: dict[str, str] = {}
 _paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+#: Paths of the tables that are there, in the order in which they were made.
+_live: dict[str, None] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,6 +54,7 @@ def materialize(df: DataFrame, name: str, *replaced: DataFrame) -> DataFrame:
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     _paths[table] = path
+    _live[path] = None
     discard(*replaced)
     return table
 
@@ -63,12 +67,23 @@ def discard(*tables: DataFrame) -> None:
             _delete(table.sparkSession, path)
 
 
+def settled(make: Callable[[], DataFrame], name: str, *replaced: DataFrame) -> DataFrame:
+    """The DataFrame that ``make`` gives as a table of its own; all other tables made for it are discarded, and ``replaced``."""
+    before = set(_live)
+    table = materialize(make(), name, *replaced)
+    for path in [p for p in _live if p not in before and p != _paths[table]]:
+        _delete(table.sparkSession, path)
+    return table
+
+
 def clear(spark: SparkSession) -> None:
     """Remove all intermediates of this session; results that still read them can be used no longer."""
     _delete(spark, run_dir(spark))
 
 
 def _delete(spark: SparkSession, path: str) -> None:
+    for known in [p for p in _live if p == path or p.startswith(f"{path}/")]:
+        del _live[known]
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from docmill.llm import _store
 from docmill.llm.decontaminate import drop_leaks, find_leaks
 from docmill.llm.near_dup import keep_one_of_each
 from docmill.llm.secrets import scan_secrets
@@ -70,7 +71,10 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
     rows = corpus()
     good = {i for i, t, _ in rows if not t.startswith("BUY")}
     folder = store(spark, tmp_path, rows, [(1, QUESTION, 5, 0.1), (2, None, 5, 0.1)], [(i, int(i in good), 0, "t") for i in {i for i, _, _ in rows}])
-    got = corpus_pipeline.run(spark, folder).collect()
+    before = set(_store._live)
+    result = corpus_pipeline.run(spark, folder)
+    assert sum("/stage-" in p for p in set(_store._live) - before) == 1 and all("/stage-" in p or "/mix-" in p for p in set(_store._live) - before)
+    got = result.collect()
     expected = brute_force(rows, good)
     assert len(expected) == 61 and {r.doc_id for r in got} == expected and len(got) == len(expected)
     source = {i: s for i, _, s in rows}
