@@ -57,6 +57,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--transcriber", help="module:callable from PDFs (doc_id, content) to pages")
         c.add_argument("--checkpoint", help="checkpoint folder of the worker")
         c.add_argument("--retranscribe", action="store_true")
+        c.add_argument("--interval", type=float, help="seconds between looks into the inbox; without it the worker stops when the inbox is done")
         c.add_argument("--vlm-model", help="vision model of the local model host for pages of low confidence")
         c.add_argument("--lang", default="por+eng+spa")
         c.add_argument("--fake", action="store_true", help="transcribe without tools, for trying things out")
@@ -78,7 +79,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--port", type=int, default=8765)
         c.add_argument("--max-upload-mb", type=int, default=100)
     command("export", "write LILACS drafts", "out", "target")
-    command("bibframe", "write BIBFRAME drafts; info is a JSON table (doc_id, info) of PDF properties", "out", "info", "target")
+    command("bibframe", "write BIBFRAME drafts; info is a JSON table (doc_id, info) of PDF properties", "out", "info", "target").add_argument("--pdfs", action="store_true", help="info is a folder of PDFs")
     command("report", "print progress, metrics and gates", "out")
     command("verify", "judge the summaries by a control set", "out", "cases").add_argument("--min-coverage", type=float, default=0.6)
     command("doctor", "print readiness by worker, from a JSON table (host, name, ok, hard) if one is given").add_argument("checks", nargs="?")
@@ -119,7 +120,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         engine = Engine(spark, a.out, factory, a.strategy)
         transcribe = _transcriber(a, engine)
         if a.command == "worker":
-            engine.watch(a.inputs, transcribe, a.checkpoint or f"{engine.out}/checkpoint")
+            query = engine.watch(a.inputs, transcribe, a.checkpoint or f"{engine.out}/checkpoint", every=a.interval)
+            if query:
+                query.awaitTermination()
             return 0
         run_id = engine.texts(a.inputs) if a.command == "batch" else engine.pdfs(sources.pdf_files(spark, a.inputs), transcribe, a.lang, a.retranscribe)
         return int(not engine.log().filter((F.col("run_id") == run_id) & (F.col("state") == "failed")).isEmpty())
@@ -127,7 +130,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "export":
         engine.export_lilacs(a.target)
     elif a.command == "bibframe":
-        engine.export_bibframe(a.target, sources.pdf_info(spark.read.schema("doc_id string, info string").json(a.info), "doc_id", "info")).show(truncate=False)
+        info = tools.pdf_properties(sources.pdf_files(spark, a.info)) if a.pdfs else spark.read.schema("doc_id string, info string").json(a.info)
+        engine.export_bibframe(a.target, sources.pdf_info(info, "doc_id", "info")).show(truncate=False)
     elif a.command == "report":
         for table in (engine.health(), engine.metrics(), engine.gate_counts()):
             table.show(truncate=False)

@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from .functions import fixed as X
 from .functions import structure as S
@@ -23,7 +24,7 @@ from .operators import catalog, gates, jobs, metadata, pages, reports
 from .operators.summarize import Summarizer, described, summarize
 from .sources import files
 from .sources.schemas import ABSTRACT
-from .streaming import inbox, run_once
+from .streaming import inbox, run_always, run_once
 
 FAILURES = "array<struct<gate:string,detail:string,severity:string>>"
 LOG = (
@@ -146,15 +147,21 @@ class Engine:
         rejected = F.transform(F.filter("pages_detail", lambda p: p["vlm_rejected"]), lambda p: p["page"])
         return F.struct("pages_detail", "conf_media", F.size(rejected).alias("vlm_rejected"), F.lit(False).alias("legacy"))
 
-    def watch(self, box: str, transcribe: Transcriber, checkpoint: str, max_bytes: int = 50_000_000) -> None:
-        """Process the PDFs that came into ``box`` since the last call; other files are left out."""
+    def watch(self, box: str, transcribe: Transcriber, checkpoint: str, max_bytes: int = 50_000_000, every: float | None = None) -> StreamingQuery | None:
+        """Process the PDFs that came into ``box`` since the last call; other files are left out.
+
+        With ``every``, go on looking each so many seconds, until the returned query is stopped.
+        """
 
         def work(batch: DataFrame, _: int) -> None:
             named = batch.select(T.safe_stem(F.regexp_replace(F.regexp_extract("path", r"([^/]+)$", 1), r"\.[^.]*$", "")).alias("stem"), "length", "content")
             good = files.screen_uploads(named, max_bytes).filter("status = 202")
             self.pdfs(good.select(F.concat_ws("-", "stem", "content_id").alias("doc_id"), "content", F.sha2("content", 256).alias("pdf_sha256")), transcribe)
 
+        if every is not None:
+            return run_always(inbox(self.spark, box), work, checkpoint, every)
         run_once(inbox(self.spark, box), work, checkpoint)
+        return None
 
     # Views
 

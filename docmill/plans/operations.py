@@ -10,7 +10,7 @@ from ..functions import fixed as X
 from ..functions.text import route_ocr
 from ..operators import catalog, environment, jobs, metadata, monitor, ocr, regions, reports, summarize
 from . import derive as D
-from .documents import docs
+from .documents import BEST, HITS, TOKENS, docs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -381,5 +381,18 @@ MODEL_SQL = "SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS model, rou
 
 QUERIES |= {f.__name__: f for f in (monitor_summary, device_summary, model_summary)}
 ORACLE_SQL |= {"monitor_summary": MONITOR_SQL, "device_summary": DEVICE_SQL, "model_summary": MODEL_SQL}
+#: The dry run's answers: words of each block of 2,000 code points; with several blocks, those of the text that the last call is given.
+RECORDS_SQL = rf"""WITH t AS (SELECT doc_id, text, {D.PAGES} AS pages, {TOKENS} AS toks FROM documents), h AS (SELECT *, {HITS} FROM t), b AS (SELECT *, {BEST} AS det FROM h),
+ k AS (SELECT doc_id, text, CASE WHEN det = 'unknown' THEN 'pt' ELSE det END AS lg, regexp_replace(text, '^\s+|\s+$', '', 'g') AS w,
+  CASE WHEN regexp_matches(text, '(?im)^\s*({X.CONTENTS})([^\p{{L}}\p{{N}}_]|$)') AND pages >= 10 THEN 'manual'
+   WHEN len(regexp_extract_all(text, '(?im)^\s*({X.IMRAD})([^\p{{L}}\p{{N}}_]|$)')) >= 2 AND regexp_matches(text, '(?i)(^|[^\p{{L}}\p{{N}}_])({X.KEYWORDS})([^\p{{L}}\p{{N}}_]|$)') AND pages <= 15 THEN 'articulo' ELSE 'divulgacion' END AS tipo FROM b),
+ n AS (SELECT *, CASE WHEN length(text) > 2000 THEN CAST(ceil(length(w) / 2000.0) AS INT) ELSE 1 END AS n FROM k),
+ p AS (SELECT *, list_transform(range(n), lambda i: list_filter(regexp_split_to_array(substr(w, i * 2000 + 1, 2000), '\s+'), lambda x: x <> '')[1:12]) AS heads FROM n),
+ s AS (SELECT *, '[' || lg || '] ' || array_to_string(CASE WHEN n = 1 THEN heads[1] ELSE (['titulo:'] || flatten(list_transform(heads, lambda x: ['[' || lg || ']'] || x)))[1:12] END, ' ') AS titulo FROM p),
+ g AS (SELECT * EXCLUDE (text), length(text) AS text_chars, titulo AS text FROM s), q AS (SELECT *, {TOKENS} AS toks FROM g), r AS (SELECT *, {HITS} FROM q), f AS (SELECT *, {BEST} AS said FROM r)
+ SELECT doc_id, lg AS idioma_principal, tipo AS tipo_documento, CASE tipo WHEN 'articulo' THEN 'A' WHEN 'manual' THEN 'B' ELSE 'C' END AS plantilla, CAST(n + CAST(n > 1 AS INT) AS INT) AS calls, 'done' AS state, CAST(text_chars AS INT) AS text_chars,
+  CAST(said <> 'unknown' AND said <> lg AND NOT (said IN ('pt', 'es') AND lg IN ('pt', 'es')) AS INT) AS n_failures, titulo FROM f"""
+
+
 QUERIES |= {f.__name__: f for f in (readiness, throttling, ocr_meta, legacy_meta, summary_records)}
-ORACLE_SQL |= {"reading_order": ORDER_SQL, "readiness": READY_SQL, "throttling": THROTTLE_SQL, "ocr_meta": META_SQL, "legacy_meta": LEGACY_SQL}
+ORACLE_SQL |= {"reading_order": ORDER_SQL, "readiness": READY_SQL, "throttling": THROTTLE_SQL, "ocr_meta": META_SQL, "legacy_meta": LEGACY_SQL, "summary_records": RECORDS_SQL}

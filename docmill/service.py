@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .engine import Engine
 from .functions import fixed as X
+from .workspace import valid
 
 UPLOAD_LIMIT = 100 * 1024 * 1024
 
@@ -136,11 +137,6 @@ def handler(engine: Engine, token: str | None = None, inbox: Path | None = None,
     return Handler
 
 
-def valid(doc_id: str) -> bool:
-    """``functions.text.valid_id`` for one id, without Spark."""
-    return bool(doc_id.strip()) and doc_id not in (".", "..") and not re.search(r"[/\\\x00-\x1f\x7f]", doc_id) and not re.search("%2e|%2f|%5c", doc_id.lower())
-
-
 def stem(name: str) -> str:
     """``functions.text.safe_stem`` for one file name, without Spark."""
     return re.sub("[^A-Za-z0-9_-]+", "_", re.sub(r"\.[^.]*$", "", name.rpartition("/")[2])).strip("_")[:40] or "doc"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +95,14 @@ def write_records(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
-    """The records as the elements of one JSON array, in one file; for exports that fit one writer."""
-    one = df.select(F.to_json(F.struct("*")).alias("r")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ",\n"), F.lit("]")).alias("value"))
-    one.coalesce(1).write.text(path)
+    """The records as the elements of one JSON array, in one file; the writer streams them, one at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
+        for b in batches:
+            lines = [("," if k or not first else "[") + r for k, r in enumerate(b.column(0).to_pylist())]
+            first = first and not lines
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], ["value"])
+
+    df.select(F.to_json(F.struct("*")).alias("value")).repartition(1).mapInArrow(run, "value string").write.text(path)

@@ -1,5 +1,5 @@
 """Structured Streaming: inbox ingestion, event analytics."""
 
-from .ingest import event_stream, events_by_window, inbox, run_once
+from .ingest import event_stream, events_by_window, inbox, run_always, run_once
 
-__all__ = ["event_stream", "events_by_window", "inbox", "run_once"]
+__all__ = ["event_stream", "events_by_window", "inbox", "run_always", "run_once"]

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.schemas import BINARY_FILE
 
@@ -21,6 +22,11 @@ def run_once(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoi
     query.awaitTermination()
 
 
+def run_always(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, seconds: float = 1.0) -> StreamingQuery:
+    """Process what comes, looking every ``seconds``, until the returned query is stopped; a batch that failed is repeated by the next run."""
+    return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
+
+
 def event_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 100) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 

@@ -167,6 +167,37 @@ def test_probe_and_vision_choice(spark):
     assert backends.png(np.zeros((2, 3), np.uint8)).startswith(b"\x89PNG")
 
 
+def test_workspace(tmp_path):
+    from pathlib import Path
+
+    from docmill.workspace import Workspace
+
+    w = Workspace(tmp_path)
+    assert w.summary_path("a b") == tmp_path / "summaries/a b.json" and w.report_path == tmp_path / "summaries/report.json"
+    assert w.ocr_path("x").name == "x.txt" and w.bibframe_path("x").name == "x.bibframe.json" and Workspace(tmp_path, Path("/l")).report_path == Path("/l/report.json")
+    for bad in ("", " ", "..", "a/b", "a\\b", "%2e%2e", "a\x00b"):
+        with pytest.raises(ValueError):
+            w.summary_path(bad)
+
+
+def test_json_array_and_going_worker(spark, tmp_path):
+    import time
+
+    for n in (0, 1, 700):
+        sources.write_json_array(spark.range(n), str(tmp_path / f"j{n}"))
+        text = "".join(p.read_text() for p in (tmp_path / f"j{n}").glob("part-*"))
+        assert sorted(r["id"] for r in json.loads(text)) == list(range(n))
+    (tmp_path / "box").mkdir()
+    engine = Engine(spark, str(tmp_path / "o"), lambda: summarize.first_words)
+    query = engine.watch(str(tmp_path / "box"), blank_pages, str(tmp_path / "c"), every=0.2)
+    (tmp_path / "box/p.pdf").write_bytes(b"%PDF-1 a")
+    until = time.time() + 120
+    while engine.summaries().count() == 0 and time.time() < until:
+        time.sleep(1)
+    query.stop()
+    assert engine.summaries().count() == 1
+
+
 def test_monitor(spark):
     from datetime import datetime, timedelta
 
