@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .functions import fixed as X
 from .functions import structure as S
 from .functions import text as T
-from .operators import catalog, gates, jobs, metadata, pages, reports
+from .operators import catalog, gates, jobs, metadata, monitor, pages, reports
 from .operators.summarize import Summarizer, described, summarize
 from .sources import files
 from .sources.schemas import ABSTRACT
@@ -65,13 +65,15 @@ def summary_records(docs: DataFrame, factory: Callable[[], Summarizer], strategy
 class Engine:
     """The runs of one output folder.
 
-    ``factory`` builds the summariser on executors; ``max_retries`` further tries follow a failed model call.
+    ``factory`` builds the summariser on executors; ``max_retries`` further tries follow a failed model call. At the
+    ends of each phase, ``probes`` tasks measure the workers that run them.
     """
 
-    def __init__(self, spark: SparkSession, out_dir: str, factory: Callable[[], Summarizer], strategy: str = "excerpt", max_chars: int = X.MAX_CHARS, max_retries: int = 2):
+    def __init__(self, spark: SparkSession, out_dir: str, factory: Callable[[], Summarizer], strategy: str = "excerpt", max_chars: int = X.MAX_CHARS, max_retries: int = 2, probes: int = 1):
+        self.probes = probes
         self.spark, self.out, self.factory = spark, out_dir.rstrip("/"), factory
         self.strategy, self.max_chars, self.max_retries = strategy, max_chars, max_retries
-        for name, schema in (("log", LOG), ("transcripts", TRANSCRIPTS), ("events", EVENTS)):
+        for name, schema in (("log", LOG), ("transcripts", TRANSCRIPTS), ("events", EVENTS), ("samples", monitor.SAMPLE)):
             spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.out}/{name}")
 
     # Runs
@@ -101,6 +103,7 @@ class Engine:
     def _phase(self, run_id: str, phase: str) -> Iterator[None]:
         """Events of a run's phase: run_started, then phase and run_completed with its seconds, or run_interrupted."""
         self._mark(run_id, "run_started", phase)
+        self._sample(run_id)
         began = time.monotonic()
         try:
             yield
@@ -108,8 +111,12 @@ class Engine:
             self._mark(run_id, "run_interrupted", phase, time.monotonic() - began)
             raise
         self._mark(run_id, "phase", phase, time.monotonic() - began)
+        self._sample(run_id)
         self._mark(run_id, "run_completed", phase)
 
+    def _sample(self, run_id: str) -> None:
+        monitor.sample(self.spark, run_id, self.probes).write.mode("append").parquet(f"{self.out}/samples")
+
     def texts(self, in_dir: str) -> str:
         """One run over the .txt files of a folder."""
         return self.run(files.text_documents(self.spark, in_dir).withColumn("pages", T.inferred_pages(F.col("text")).cast("int")))
@@ -214,6 +221,10 @@ class Engine:
         runs = self.spark.read.schema(EVENTS).parquet(f"{self.out}/events")
         return runs.unionByName(self.log().select(F.col("finished_at").alias("timestamp"), "run_id", name.alias("event"), "doc_id", F.lit("resumen").alias("phase"), "seconds"))
 
+    def infrastructure(self) -> DataFrame:
+        """One row for each run: what its workers used."""
+        return monitor.run_summary(self.spark.read.schema(monitor.SAMPLE).parquet(f"{self.out}/samples"))
+
     def phase_times(self) -> DataFrame:
         """(phase, tiempo_total, tiempo_medio) of the documents: seconds of the model's calls."""
         return reports.phase_times(self.events().filter("doc_id is not null"), F.count("*"))

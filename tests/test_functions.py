@@ -110,3 +110,52 @@ def test_sections(spark):
     df = spark.createDataFrame([(1, md, "C", "es")], "id int, md string, template string, lang string")
     got = {r["section"]: r["content"] for r in sections.parse_sections(df, "id", "md", "template", "lang").collect()}
     assert got == {"titulo": "uno", "publico": "dos", "Nuevo": "tres"}
+
+
+def test_excerpts_of_long_documents(spark):
+    article = "RESUMO\n" + "o estudo mede algo. " * 90 + "\n\nINTRODUÇÃO\n" + "o problema nasce aqui. " * 90 + "\n\nMÉTODOS\n" + "medida " * 900 + "\n\nCONCLUSÕES\n" + "a técnica serve. " * 90
+    manual = "Secretaria - guia\n\nAPRESENTAÇÃO\n" + "este guia orienta. " * 80 + "\n\nSUMÁRIO\n1. Um\n2. Dois\n\nINTRODUÇÃO\n" + "o contexto pede regras. " * 80 + "\n\n" + "corpo do guia " * 3000
+    for text, kind in ((article, "articulo"), (manual, "manual"), ("folheto curto. " * 9, "divulgacion")):
+        got = one(spark, S.excerpt(F.col("t"), F.lit(kind), 3000), t=text)
+        assert len(got["text"]) <= 3000 and got["truncated"] == (len(text) > 3000)
+        if kind == "articulo":
+            assert got["parts"] == ["abstract", "introducao", "conclusao"] and got["text"].count("medida") < 30 and "a técnica serve" in got["text"]
+        elif kind == "manual":
+            assert got["parts"][:2] == ["portada", "apresentacao"] and got["text"] != text[:3000] and "SUMÁRIO" in got["text"]
+        else:
+            assert (got["strategy"], got["parts"]) == ("full", ["completo"])
+    names = {s["name"] for s in one(spark, S.sections(F.col("t")), t=manual)}
+    assert {"apresentacao", "sumario", "introducao"} <= names
+
+
+def test_abstracts_in_three_languages(spark):
+    text = (
+        "\nRESUMO: A mudança do cuidado abriu serviços novos e mais próximos das pessoas na cidade.\nPalavras-chave: Saúde. Cidade.\n"
+        "ABSTRACT: The change of care opened services that are new and nearer to people in town.\nKeywords: Health. Town.\n"
+        "RESUMEN: El cambio del cuidado abrió servicios nuevos y más cercanos a las personas.\n"
+    )
+    got = one(spark, S.abstracts(F.col("t")), t=text)
+    assert [(a["lang"], a["keywords"]) for a in got] == [("pt", "Saúde. Cidade."), ("en", "Health. Town."), ("es", "")]
+    assert got[0]["text"].startswith("A mudança do cuidado") and got[1]["text"].endswith("people in town.")
+    assert one(spark, S.abstracts(F.col("t")), t="Fume menos. Ligue já.") == []
+
+
+def test_cleaning_keeps_pages_and_order(spark):
+    pages_of = lambda n, sep: sep.join(f"Cabeçalho {k}\n\nlinha {chr(97 + k)}1\nlinha {chr(97 + k)}2\nmeio\nlinha {chr(97 + k)}3\nfim {chr(97 + k)}\nRodapé\n{k}" for k in range(n))
+    docs = spark.createDataFrame([(1, pages_of(4, "\f")), (2, pages_of(2, "\f")), (3, "sem páginas\nRodapé"), (4, None), (5, ""), (6, "\n".join(f"=== pág {k} ===\nTopo\ncorpo {chr(97 + k)}\nfim" for k in range(1, 4)))], "id int, text string")
+    got = {r.id: r.cleaned for r in pages.clean_text(docs, "id").collect()}
+    assert "Cabeçalho" not in got[1] and "Rodapé" not in got[1] and got[1].count("\f") == 3 and got[1].index("linha a1") < got[1].index("linha d3") and got[1].count("meio") == 4
+    assert got[2].count("Cabeçalho") == 2 and "\n1" not in got[2]
+    assert (got[3], got[4], got[5]) == ("sem páginas\nRodapé", None, "")
+    assert "=== pág 2 ===" in got[6] and "Topo" not in got[6] and "corpo b" in got[6]
+    plan = pages.clean_text(docs, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    forms = {(r.form, r.n) for r in pages.repeated_edges(docs, "id").filter("id = 1").collect()}
+    assert ("cabeçalho", 4) in forms and ("rodapé", 4) in forms
+
+
+def test_last_block_of_a_section_stays(spark):
+    md = "x\n## Title\none\r\n##   Title\ntwo\n##\tOther thing\n\n three \n##no\nfour"
+    got = sections.parse_sections(spark.createDataFrame([(1, md, "A", "en"), (2, None, "A", "en"), (3, "none", "A", "en")], "id int, md string, template string, lang string"), "id", "md", "template", "lang")
+    assert {(r.id, r.section): r.content for r in got.collect()} == {(1, "titulo"): "two", (1, "Other thing"): "three \n##no\nfour"}
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()

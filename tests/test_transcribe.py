@@ -100,6 +100,7 @@ def test_engine_with_tools_writes_phases(spark, tools, tmp_path):
     events = [(r.event, r.phase) for r in engine.events().filter("doc_id is null").collect()]
     assert sorted(events) == sorted((e, p) for p in ("transcripcion", "resumen") for e in ("run_started", "phase", "run_completed"))
     assert [(r.phase, r.tiempo_total >= 0) for r in engine.phase_times().collect()] == [("resumen", True)]
+    assert [r.sample_count for r in engine.infrastructure().collect()] == [2, 2]
     with pytest.raises(Exception):
         engine.run(spark.createDataFrame([("x", "t")], "doc_id string, text string").select("doc_id", F.raise_error(F.col("text")).cast("string").alias("text"), F.lit(1).alias("pages")))
     assert engine.events().filter("event = 'run_interrupted'").count() == 1
