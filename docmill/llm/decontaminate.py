@@ -215,6 +215,8 @@ class Index:
 
     def search(self, texts: list[str]) -> Iterator[tuple[int, int, float, list[str]]]:
         """(text, item, score, passage) of every passage and item at or above the threshold."""
+        if not texts:
+            return
         get = self.term.get
         words = [words_of(t) for t in texts]
         found = [np.fromiter((get(w, -1) for w in x), np.int64, len(x)) for x in words]
@@ -222,8 +224,8 @@ class Index:
             half = of.half
             n_half = [max(1, -(-len(x) // half)) for x in words]
             first = np.concatenate([[0], np.cumsum(n_half)])
-            terms = np.concatenate(found) if found else np.empty(0, np.int64)
-            part = np.concatenate([np.arange(len(x)) // half for x in words]) if words else np.empty(0, np.int64)
+            terms = np.concatenate(found)
+            part = np.concatenate([np.arange(len(x)) // half for x in words])
             seg = np.repeat(first[:-1], [len(x) for x in words]) + part
             last = np.repeat(n_half, [len(x) for x in words]) - 1 == part
             known = terms >= 0
