@@ -183,7 +183,7 @@ def paired(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
     """Each row once for every pair of blocks of its group that holds its own: block, lo, hi."""
     return (
         rows.withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("key", group), F.col("blocks")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node", group), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("lo", F.least("block", "other"))
         .withColumn("hi", F.greatest("block", "other"))
@@ -191,13 +191,13 @@ def paired(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
 
 
 def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): a forest over the texts whose pruned pairs connect them."""
-    bands = reps.select("key", F.explode("bands").alias("bucket"))
+    """(a, b): a forest over the texts (node) whose pruned pairs connect them."""
+    bands = reps.select("node", F.explode("bands").alias("bucket"))
     size = bands.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     placed = (
         paired(bands.join(size, "bucket"), "bucket", F.ceil(F.col("members") / BUCKET).cast("int"))
-        .join(reps.select("key", "sketch"), "key")
-        .select(F.xxhash64("bucket", "lo", "hi").alias("part"), "block", (F.col("lo") != F.col("hi")).alias("crossed"), "key", "sketch")
+        .join(reps.select("node", "sketch"), "node")
+        .select(F.xxhash64("bucket", "lo", "hi").alias("part"), "block", (F.col("lo") != F.col("hi")).alias("crossed"), "node", "sketch")
     )
     sorted_rows = placed.repartition("part").sortWithinPartitions("part")
     stays = least_matches(threshold, STEP, BANDS * ROWS, TOLERANCE)
@@ -210,8 +210,8 @@ def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
             sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
             lab = bucket_forest(t.column("part").to_numpy(), t.column("block").to_numpy(), t.column("crossed").to_numpy(zero_copy_only=False), sketch, stays)
             linked = np.flatnonzero(lab != np.arange(len(lab)))
-            keys = t.column("key")
-            return pa.RecordBatch.from_arrays([keys.take(linked).combine_chunks(), keys.take(lab[linked]).combine_chunks()], ["a", "b"])
+            node = t.column("node").to_numpy()
+            return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[lab[linked]])], ["a", "b"])
 
         for b in batches:
             part = b.column(0).to_numpy()
@@ -226,7 +226,7 @@ def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
         if held:
             yield flush(held)
 
-    return sorted_rows.mapInArrow(run, "a binary, b binary")
+    return sorted_rows.mapInArrow(run, "a long, b long")
 
 
 def rows_with(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
@@ -280,26 +280,26 @@ def block_links(sets: list[np.ndarray], block: np.ndarray, threshold: float) ->
 
 
 def verified_links(sets: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """(key, links, root): counts of linked rows by text and block pair, and a forest.
+    """(node, links, root): counts of linked rows by text and block pair, and a forest.
 
-    ``members`` has (key, root, n, copies).
+    ``members`` has (node, key, root, n, copies).
     """
     size = members.groupBy("root").agg(F.count("*").alias("texts"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("texts") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    placed = paired(members.join(size, "root").join(sets, "key"), "root", blocks).select("root", "lo", "hi", "block", "key", "copies", "shingles")
+    placed = paired(members.join(size, "root").join(sets, "key"), "root", blocks).select("root", "lo", "hi", "block", "node", "copies", "shingles")
 
     def run(table: pa.Table) -> pa.Table:
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         block = table.column("block").to_numpy()
-        keys = table.column("key")
+        node = table.column("node").to_numpy()
         if len(block) < 2 or (lo != hi and len(np.unique(block)) < 2):
-            return pa.table({"key": keys.slice(0, 0), "links": pa.array([], pa.int64()), "root": keys.slice(0, 0)})
+            return pa.table({"node": node[:0], "links": node[:0], "root": node[:0]})
         linked, lab = block_links([np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()], block, threshold)
         some = np.flatnonzero(linked.any(1))
         counts = (linked[some] @ table.column("copies").to_numpy().astype(np.float64)).astype(np.int64)
-        return pa.table({"key": keys.take(some), "links": pa.array(counts), "root": keys.take(lab[some])})
+        return pa.table({"node": node[some], "links": counts, "root": node[lab[some]]})
 
-    return placed.groupBy("root", "lo", "hi").applyInArrow(run, "key binary, links long, root binary")
+    return placed.groupBy("root", "lo", "hi").applyInArrow(run, "node long, links long, root long")
 
 
 def classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -310,18 +310,18 @@ def classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tu
     """
     signed = materialize(signatures(docs, id_col, text_col), "near-signed")
     same = [F.first(c).alias(c) for c in ("n", "sketch", "bands")]  # equal in all rows of a key
-    reps = materialize(signed.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), *same), "near-reps")
-    roots = components(candidate_links(reps, threshold), "a", "b").withColumnRenamed("node", "key")
-    members = materialize(roots.join(reps.select("key", "rep", "n", "copies"), "key"), "near-members")
+    texts = signed.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), *same)
+    reps = materialize(texts.withColumn("node", F.monotonically_increasing_id()), "near-reps")  # numbers sort and hash faster than keys
+    roots = components(candidate_links(reps, threshold), "a", "b")
+    members = materialize(roots.join(reps.select("node", "key", "rep", "n", "copies"), "node"), "near-members")
     checked = materialize(verified_links(shingle_sets(docs, members, id_col, text_col), members, threshold), "near-checked", members)
-    linked = checked.groupBy("key").agg(F.sum("links").alias("links"))
-    joined = components(checked, "key", "root").toDF("key", "root")
-    named = reps.select("key", "rep", "copies")
-    texts = joined.join(named, "key")
+    linked = checked.groupBy("node").agg(F.sum("links").alias("links"))
+    named = reps.select("node", "key", "rep", "copies")
+    texts = components(checked, "node", "root").join(named, "node")
     whole = texts.groupBy("root").agg(
         F.min("rep").alias("class_id"), F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), "key")).alias("first"), F.sum("copies").alias("rows")
     )
-    by_key = named.join(texts.select("key", "root").join(whole, "root"), "key", "left").join(linked, "key", "left")
+    by_key = named.join(texts.select("node", "root").join(whole, "root"), "node", "left").join(linked, "node", "left")
     alone = F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), "key")
     by_key = by_key.select(
         "key",
