@@ -166,3 +166,49 @@ URLS = rf"""
     SELECT page_id, host, path, {_rule(0)} AS rule, coalesce({_rule(1)}, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, template, round(purity, 9) AS purity
     FROM (SELECT page_id, s.host AS host, path, j.template AS template, purity FROM s JOIN f ON f.host = s.host AND f.seg = s.seg JOIN j ON j.host = f.host AND j.template = f.template)
 """
+
+
+def _crc_table() -> list[int]:
+    table = list(range(256))
+    for _ in range(8):
+        table = [x >> 1 ^ (0xEDB88320 if x & 1 else 0) for x in table]
+    return table
+
+
+# every pair of near words is written out, from the strings that words leave with one code point replaced or deleted
+VARIANTS = f"""
+    WITH runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{{7,}}')) AS run FROM documents),
+    d AS (SELECT id, run, count(*) AS n FROM runs GROUP BY ALL),
+    b AS (SELECT *, flatten(list_transform(list_transform(regexp_extract_all(id || ':' || run, '.'), lambda c: unicode(c)), lambda u: CASE WHEN u < 128 THEN [u] ELSE [192 + (u >> 6), 128 + (u & 63)] END)) AS bytes FROM d),
+    h AS (SELECT run, n, length(run) AS len, xor(list_reduce(bytes, lambda a, x: xor(a >> 8, ({_crc_table()}::UBIGINT[])[CAST(xor(a, x::UBIGINT) & 255 AS BIGINT) + 1]), 4294967295::UBIGINT), 4294967295::UBIGINT) AS h FROM b),
+    p AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % len AS BIGINT)) || substr(run, CAST(h % len AS BIGINT) + 2) ELSE run END AS word, n FROM h),
+    w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM p WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    g AS (SELECT word, n, k, left(word, k - 1) || substr(word, k + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS k FROM w)),
+    near AS (
+      SELECT a.word AS a, c.word AS b, c.n AS bn FROM g a JOIN g c ON a.k = c.k AND a.rest = c.rest AND a.word <> c.word
+      UNION SELECT a.word, w.word, w.n FROM g a JOIN w ON a.rest = w.word UNION SELECT w.word, a.word, a.n FROM g a JOIN w ON a.rest = w.word),
+    best AS (SELECT a AS word, count(*) AS n_near, arg_min(b, (-bn, b)) AS best, max(bn) AS best_n FROM near GROUP BY a),
+    f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form, CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n FROM w LEFT JOIN best USING (word)),
+    r AS (WITH RECURSIVE s AS (SELECT word, word AS here, 0 AS k FROM f UNION ALL SELECT s.word, f.form, k + 1 FROM s JOIN f ON f.word = s.here WHERE f.form IS NOT NULL) SELECT word, arg_max(here, k) AS root FROM s GROUP BY word)
+    SELECT word, form, root, n, n_near, form_n FROM f JOIN r USING (word)
+"""
+
+
+# every document goes through every order
+AUDIT = r"""
+    WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+    l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+    m AS (SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+            {'A': len(ws) < 200, 'B': 100 * len(list_distinct(ws)) < 50 * len(ws), 'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t), 'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(first < w.doc_id, false)} AS x
+          FROM w LEFT JOIN l USING (doc_id)),
+    f AS (SELECT part, good, toxic, concat(CASE WHEN x.A THEN 'A' END, CASE WHEN x.B THEN 'B' END, CASE WHEN x.C THEN 'C' END, CASE WHEN x.D THEN 'D' END, CASE WHEN x.E THEN 'E' END) AS fails FROM m),
+    s AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    o AS (SELECT a.x || b.x || c.x || e.x || g.x AS filter_order FROM s a, s b, s c, s e, s g WHERE len(list_distinct([a.x, b.x, c.x, e.x, g.x])) = 5),
+    t AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+    j AS (SELECT part, filter_order, CAST(step AS INT) AS step, filter_order[step] AS own, good, toxic, fails, contains(fails, filter_order[step]) AS fail,
+            fails <> '' AND regexp_matches(filter_order[:step - 1], '[' || CASE WHEN fails = '' THEN '-' ELSE fails END || ']') AS gone FROM f, t),
+    k AS (SELECT part, filter_order, step, own, count(*) FILTER (NOT fail AND NOT gone) AS kept, count(*) FILTER (fail AND NOT gone) AS removed, count(*) FILTER (fail AND gone) AS redundant,
+            count(*) FILTER (fails = own) AS unique_fails, count(*) FILTER (fail AND NOT gone AND good) AS good_lost, count(*) FILTER (fail AND NOT gone AND toxic) AS toxic_lost FROM j GROUP BY ALL)
+    SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM k
+"""

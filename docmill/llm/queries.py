@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import oracles
 from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
+from .filter_audit import filter_audit
 from .line_dedup import repeated_lines
 from .mixing import mix_sources, words_taken
 from .near_dup import near_duplicates
@@ -18,6 +19,7 @@ from .secrets import BASE, joined, scan_secrets
 from .token_count import count_tokens
 from .toxicity import toxicity
 from .url_filter import filter_urls, host_path
+from .variants import letter_runs, spelling_variants, without
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +97,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[n(k) for k in BASE], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(word, form, root, n, n_near, form_n).
+
+    Runs whose checksum with the document's id is a multiple of 31 lose one letter, which plants misspellings; a null id counts as empty.
+    """
+    runs = letter_runs(table(spark, sf_dir, "documents"), 7)
+    sum_of = F.crc32(F.encode(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), "run"), "UTF-8"))
+    runs = runs.select("run", sum_of.alias("h"))
+    planted = F.when(F.col("h") % 31 == 0, without(F.col("run"), (F.col("h") % F.length("run")).cast("int"))).otherwise(F.col("run"))
+    counts = runs.groupBy(planted.alias("word")).agg(F.count("*").alias("n")).filter((F.col("n") >= 2) & (F.length("word") >= 7))
+    return spelling_variants(counts)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley)."""
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -108,6 +128,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_url_filter,
         op10_secrets,
+        op12_spelling_variants,
+        op13_filter_audit,
     )
 }
 
@@ -118,4 +140,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": oracles.EXACT,
     "op9_url_filter": oracles.URLS,
     "op10_secrets": oracles.SECRETS,
+    "op12_spelling_variants": oracles.VARIANTS,
+    "op13_filter_audit": oracles.AUDIT,
 }
