@@ -81,6 +81,11 @@ def clear(spark: SparkSession) -> None:
     _delete(spark, run_dir(spark))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder below ``run_dir`` that an operator filled itself."""
+    _delete(spark, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     for known in [p for p in _live if p == path or p.startswith(f"{path}/")]:
         del _live[known]

@@ -212,3 +212,12 @@ AUDIT = r"""
             count(*) FILTER (fails = own) AS unique_fails, count(*) FILTER (fail AND NOT gone AND good) AS good_lost, count(*) FILTER (fail AND NOT gone AND toxic) AS toxic_lost FROM j GROUP BY ALL)
     SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM k
 """
+
+
+PAGES = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+    k AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) END AS keep FROM p)
+    SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+           CASE WHEN keep IS DISTINCT FROM page_id AND keep IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN keep IS DISTINCT FROM page_id THEN keep END AS refers_to FROM k
+"""

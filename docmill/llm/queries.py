@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
+from ._store import materialize, remove, run_dir
 from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
 from .filter_audit import filter_audit
@@ -20,6 +22,7 @@ from .token_count import count_tokens
 from .toxicity import toxicity
 from .url_filter import filter_urls, host_path
 from .variants import letter_runs, spelling_variants, without
+from .warc import assemble, page_captures, read_warc, resolved, value_of, write_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +100,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[n(k) for k in BASE], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to), all from the archives as read back."""
+    pages, path = table(spark, sf_dir, "pages"), f"{run_dir(spark)}/archives-{uuid.uuid4().hex}"
+    write_warc(page_captures(pages), path)
+    records = materialize(read_warc(spark, path, payload=False), "warc-records")
+    remove(spark, path)
+    captures = resolved(assemble(records)).filter("response is not null")
+    page = lambda metadata: value_of(F.flatten(F.transform(metadata, lambda m: m["fields"])), "pageId").cast(pages.schema["page_id"].dataType)
+    of = lambda name: F.coalesce(F.col(f"original.response.{name}"), F.col(f"response.{name}"))
+    return captures.select(
+        page(F.col("metadata")).alias("page_id"),
+        of("payload_bytes").alias("payload_bytes"),
+        of("payload_sha1").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        page(F.col("original.metadata")).alias("refers_to"),
+    )
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(word, form, root, n, n_near, form_n).
 
@@ -128,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_url_filter,
         op10_secrets,
+        op11_warc,
         op12_spelling_variants,
         op13_filter_audit,
     )
@@ -140,6 +162,7 @@ ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": oracles.EXACT,
     "op9_url_filter": oracles.URLS,
     "op10_secrets": oracles.SECRETS,
+    "op11_warc": oracles.PAGES,
     "op12_spelling_variants": oracles.VARIANTS,
     "op13_filter_audit": oracles.AUDIT,
 }

@@ -96,7 +96,7 @@ def keys(words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     word = F.col("word")
     gaps = words.filter(f"len between 1 and {SHORT}").select("wid", F.explode(F.transform(places, lambda i: F.concat_ws(":", i, without(word, i)))).alias("key"))
     last = lambda i: F.substring(word, i + 1, F.lit(1)) != F.substring(word, i + 2, F.lit(1))
-    cuts = words.filter(f"len between 2 and {SHORT + 1}").select("wid", F.explode(F.transform(F.filter(places, last), lambda i: without(word, i))).alias("key"))
+    cuts = words.filter(f"len between 1 and {SHORT + 1}").select("wid", F.explode(F.transform(F.filter(places, last), lambda i: without(word, i))).alias("key"))
     own = words.filter(f"len <= {SHORT}").select("wid", word.alias("key"))
     long = words.filter(f"len > {SHORT}")
     if not long.isEmpty():
