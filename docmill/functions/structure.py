@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed as X
-from .text import NOT_WORD_AFTER, heading, strip
+from .text import NOT_WORD_AFTER, heading, let, scan, strip
 
 
 
@@ -131,22 +131,28 @@ def covered(text: Column, found: Column) -> Column:
 def blocks(text: Column, max_chars: int = X.BLOCK_CHARS) -> Column:
     """Blocks of at most ``max_chars`` that cover the text, cut between paragraphs where possible.
 
-    Paragraphs carry the blank lines behind them; longer ones are cut hard first, so a fold over
-    pieces that all fit is enough and no piece is given twice.
+    Paragraphs carry the blank lines behind them; longer ones are cut hard first, so a scan over the
+    lengths of pieces that all fit is enough and no piece is given twice.
     """
     whole = strip(text)
     paragraphs = F.regexp_extract_all(whole, F.lit(r"(?s)(.+?(?:\n\s*\n|\z))"), F.lit(1))
     pieces = F.flatten(F.transform(paragraphs, lambda p: F.regexp_extract_all(p, F.lit(rf"(?s)(.{{1,{max_chars}}})"), F.lit(1))))
-    shape = "struct<done:array<string>,buf:string>"
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("buf")).cast(shape)
-    packed = F.aggregate(
-        pieces,
-        start,
-        lambda acc, p: F.when(
-            F.length(acc["buf"]) + F.length(p) <= max_chars, F.struct(acc["done"].alias("done"), F.concat(acc["buf"], p).alias("buf")).cast(shape)
-        ).otherwise(F.struct(F.concat(acc["done"], F.array(acc["buf"])).alias("done"), p.alias("buf")).cast(shape)),
-        lambda acc: F.concat(acc["done"], F.array(acc["buf"])),
-    )
-    return F.when(F.length(whole) <= max_chars, F.filter(F.array(whole), lambda b: b != "")).otherwise(
-        F.filter(F.transform(packed, strip), lambda b: b != "")
-    )
+    return F.when(F.length(whole) <= max_chars, F.filter(F.array(whole), lambda b: b != "")).otherwise(let(pieces, lambda p: packed(p, max_chars)))
+
+
+def packed(pieces: Column, max_chars: int) -> Column:
+    """Pieces in order, as many in a block as fit, without the blanks at a block's ends."""
+
+    def step(state: Column, n: Column) -> Column:
+        fits = state["held"] + n <= max_chars
+        return F.struct(F.when(fits, state["held"] + n).otherwise(n).alias("held"), (state["block"] + F.when(fits, 0).otherwise(1)).alias("block"))
+
+    start = F.struct(F.lit(0).alias("held"), F.lit(0).alias("block"))
+    block = scan(F.transform(pieces, F.length), start, step, lambda s: s["block"])
+
+    def cut_up(of: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda k: (k == 0) | (F.get(of, k) != F.get(of, k - 1)))
+        ends = lambda at: F.transform(at, lambda k, i: F.array_join(F.slice(pieces, k + 1, F.coalesce(F.get(at, i + 1), F.size(pieces)) - k), ""))
+        return F.filter(F.transform(let(first, ends), strip), lambda b: b != "")
+
+    return F.when(F.size(pieces) > 0, let(block, cut_up)).otherwise(pieces)

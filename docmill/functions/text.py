@@ -29,6 +29,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Items that a scan goes through before it starts another array.
+RUN = 256
+
+
+def scan(items: Column, start: Column, step: Callable[[Column, Column], Column], out: Callable[[Column], Column]) -> Column:
+    """``out`` of the state after each item, the state being ``step`` of the one before and the item.
+
+    Appending to one array for each item would copy it each time. So the states at every RUN-th item come
+    first, then those between two of them, and work stays in proportion to the items.
+    """
+
+    def over(items: Column) -> Column:
+        part = lambda k: F.slice(items, k * RUN + 1, RUN)
+        runs = F.sequence(F.lit(0), F.greatest(F.floor((F.size(items) - 1) / RUN).cast("int"), F.lit(0)))
+        begins = F.aggregate(runs, F.array(start), lambda a, k: F.concat(a, F.array(F.aggregate(part(k), F.element_at(a, -1), step))))
+
+        def inside(state: Column, k: Column) -> Column:
+            first = let(F.aggregate(F.slice(items, k * RUN + 1, 1), state, step), lambda s: F.struct(s.alias("s"), F.array(out(s)).alias("all")))
+
+            def add(a: Column, x: Column) -> Column:
+                return let(step(a["s"], x), lambda s: F.struct(s.alias("s"), F.concat(a["all"], F.array(out(s))).alias("all")))
+
+            return F.aggregate(F.slice(items, k * RUN + 2, RUN - 1), first, add)["all"]
+
+        found = F.flatten(F.zip_with(F.slice(begins, F.lit(1), F.size(runs)), runs, inside))
+        return F.when(F.size(items) > 0, found).otherwise(F.slice(found, 1, 0))
+
+    return let(items, over)
+
+
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(X.TOKEN), F.lit(0))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
-from ..functions.text import MARKER, dehyphenate, edge_form, strip
+from ..functions.text import MARKER, dehyphenate, edge_form, let, strip
 
 ROMAN_OR_NUMBER = r"(?iU)^\s*(\d{1,4}|[ivxlcdm]{1,7})\s*$"
 
@@ -28,12 +28,15 @@ def page_edges(df: DataFrame, text: str = "text") -> DataFrame:
     """
     lines = F.transform("pages", lambda p: F.split(p, "\n", -1))
 
-    def places(of: Column) -> Column:
-        full = F.filter(F.transform(of, lambda x, k: F.struct(k.alias("k"), x.alias("x"))), lambda s: strip(s["x"]) != "")
+    def near(full: Column) -> Column:
         marked = (F.col("kind") == "marker") & F.coalesce(F.get(full, F.lit(0))["x"].rlike(MARKER), F.lit(False))
         first = F.when(marked, 1).otherwise(0)
-        near = F.filter(full, lambda s, i: (i >= first) & ((i < first + X.EDGE_LINES) | (i >= F.size(full) - X.EDGE_LINES)))
-        return F.transform(near, lambda s: s["k"])
+        kept = F.filter(full, lambda s, i: (i >= first) & ((i < first + X.EDGE_LINES) | (i >= F.size(full) - X.EDGE_LINES)))
+        return F.transform(kept, lambda s: s["k"])
+
+    def places(of: Column) -> Column:
+        # bound once: each line of a page would work them out again
+        return let(F.filter(F.transform(of, lambda x, k: F.struct(k.alias("k"), x.alias("x"))), lambda s: strip(s["x"]) != ""), near)
 
     split = split_pages(df, text).withColumn("n_pages", F.size("pages")).withColumn("lines", lines).drop("pages")
     placed = split.withColumn("edges", F.transform("lines", places))

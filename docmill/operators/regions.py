@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import GUTTER, REGION_HEIGHT
+from ..functions.text import scan
 
 
 def zero_runs(cells: DataFrame, key: str, pos: str, value: str, min_run: int = 8) -> DataFrame:
@@ -40,17 +41,14 @@ def reading_order(regions: DataFrame, key: str) -> DataFrame:
     """(key, regions): array<struct<left,top,right,bottom>> of each page, by column and then from the top.
 
     A column begins with a region more than half a gutter right of the first region of the column
-    before it, so the fold carries that first edge.
+    before it, so the scan carries that first edge.
     """
-    shape = "struct<anchor:int,column:int,done:array<struct<column:int,top:int,left:int,right:int,bottom:int>>>"
-    start = F.expr(f"cast(named_struct('anchor', null, 'column', 0, 'done', array()) as {shape})")
-
-    def step(acc: Column, r: Column) -> Column:
-        new = acc["anchor"].isNull() | (r["left"] - acc["anchor"] > GUTTER // 2)
-        column = acc["column"] + F.when(new, 1).otherwise(0)
-        item = F.struct(column.alias("column"), r["top"].alias("top"), r["left"].alias("left"), r["right"].alias("right"), r["bottom"].alias("bottom"))
-        anchor = F.when(new, r["left"]).otherwise(acc["anchor"])
-        return F.struct(anchor.alias("anchor"), column.alias("column"), F.concat(acc["done"], F.array(item)).alias("done")).cast(shape)
+    def step(state: Column, r: Column) -> Column:
+        new = state["anchor"].isNull() | (r["left"] - state["anchor"] > GUTTER // 2)
+        return F.struct(F.when(new, r["left"]).otherwise(state["anchor"]).alias("anchor"), (state["column"] + F.when(new, 1).otherwise(0)).alias("column"))
 
+    start = F.struct(F.lit(None).cast(regions.schema["left"].dataType).alias("anchor"), F.lit(0).alias("column"))
     rows = regions.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("left", "top", "right", "bottom"))).alias("all"))
-    return rows.select(key, F.transform(F.array_sort(F.aggregate("all", start, step, lambda a: a["done"])), lambda r: F.struct(r["left"].alias("left"), r["top"].alias("top"), r["right"].alias("right"), r["bottom"].alias("bottom"))).alias("regions"))
+    columns = rows.withColumn("columns", scan(F.col("all"), start, step, lambda s: s["column"]))
+    placed = F.zip_with("all", "columns", lambda r, c: F.struct(c.alias("column"), r["top"].alias("top"), r["left"].alias("left"), r["right"].alias("right"), r["bottom"].alias("bottom")))
+    return columns.select(key, F.transform(F.array_sort(placed), lambda r: F.struct(r["left"].alias("left"), r["top"].alias("top"), r["right"].alias("right"), r["bottom"].alias("bottom"))).alias("regions"))

@@ -38,6 +38,7 @@ elif what == "pdftotext":
     sys.stdout.write("\\f".join(p if isinstance(p, str) else "" for p in pages))
 else:
     size = pages[int(args[0]) - 1] if pages else None
+    size = [600, 300] if isinstance(size, str) else size  # pages of text are drawn too
     if isinstance(size, list):
         w, h = size
         rows = bytearray(b"\\xff" * (w * h))
@@ -73,11 +74,11 @@ def test_pages_are_routed(spark, tools, tmp_path):
     read = transcriber(str(tmp_path / "s"), tools)
     got = {(r.doc_id, r.page): r for r in read(docs).collect()}
     assert {k: r.source for k, r in got.items()} == {
-        ("native", 1): "nativo", ("native", 2): "nativo", ("mixed", 1): "nativo", ("mixed", 2): "tesseract", ("mixed", 3): "sin_imagen",
+        ("native", 1): "nativo", ("native", 2): "nativo", ("mixed", 1): "nativo", ("mixed", 2): "tesseract", ("mixed", 3): "tesseract",
         ("scanned", 1): "tesseract", ("scanned", 2): "tesseract", ("broken", 1): "sin_imagen", ("none", 1): "sin_imagen",
     }
     assert got["mixed", 1].text == long and got["mixed", 2].conf == 95.0 and got["mixed", 2].words == 16 and got["mixed", 2].text.startswith("la salud")
-    assert got["scanned", 2].words == 0 and got["scanned", 2].text.startswith("[región") and got["mixed", 3].chars == 0
+    assert got["scanned", 2].words == 0 and got["scanned", 2].text.startswith("[región") and got["mixed", 3].text == got["mixed", 2].text and got["broken", 1].chars == 0
     seen = transcriber(str(tmp_path / "v"), tools, vision=lambda: lambda page: "texto que vio el modelo, borroso")
     found = {(r.doc_id, r.page): (r.source, r.text) for r in seen(docs.filter("doc_id = 'scanned'")).collect()}
     assert found["scanned", 2] == ("vlm", "texto que vio el modelo, borroso")
@@ -168,17 +169,16 @@ def test_probe_and_vision_choice(spark):
     assert backends.png(np.zeros((2, 3), np.uint8)).startswith(b"\x89PNG")
 
 
-def test_workspace(tmp_path):
-    from pathlib import Path
+def test_workspace(spark, tmp_path):
+    from docmill.functions.text import valid_id
+    from docmill.workspace import place, valid
 
-    from docmill.workspace import Workspace
-
-    w = Workspace(tmp_path)
-    assert w.summary_path("a b") == tmp_path / "summaries/a b.json" and w.report_path == tmp_path / "summaries/report.json"
-    assert w.ocr_path("x").name == "x.txt" and w.bibframe_path("x").name == "x.bibframe.json" and Workspace(tmp_path, Path("/l")).report_path == Path("/l/report.json")
-    for bad in ("", " ", "..", "a/b", "a\\b", "%2e%2e", "a\x00b"):
-        with pytest.raises(ValueError):
-            w.summary_path(bad)
+    assert place(tmp_path, "summary", "a b") == tmp_path / "summaries/a b.json" and place(tmp_path, "text", "x").name == "x.txt" and place(tmp_path, "bibframe", "x").name == "x.bibframe.json"
+    ids = ["", " ", ".", "..", "a/b", "a\\b", "%2e%2e", "A%2Fb", "a\x00b", "a", "a.b", "ñ", "\u00a0", "a\x7f", "%5C"]
+    native = {r.i: r.ok for r in spark.createDataFrame([(i,) for i in ids], "i string").select("i", valid_id(F.col("i")).alias("ok")).collect()}
+    assert native == {i: valid(i) for i in ids} and not native["A%2Fb"] and native["ñ"]
+    with pytest.raises(ValueError):
+        place(tmp_path, "text", "..")
 
 
 def test_json_array_and_going_worker(spark, tmp_path):
