@@ -106,7 +106,7 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_warc(page_captures(pages), path)
     records = materialize(read_warc(spark, path, payload=False), "warc-records")
     remove(spark, path)
-    captures = resolved(assemble(records)).filter("response is not null")
+    captures = resolved(materialize(assemble(records), "warc-captures", records)).filter("response is not null")
     page = lambda metadata: value_of(F.flatten(F.transform(metadata, lambda m: m["fields"])), "pageId").cast(pages.schema["page_id"].dataType)
     of = lambda name: F.coalesce(F.col(f"original.response.{name}"), F.col(f"response.{name}"))
     return captures.select(

@@ -24,7 +24,6 @@ records that reach no capture are rows of their own without a response; empty ta
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import io
 import re
@@ -188,10 +187,41 @@ class _Counted:
         return line
 
 
+class Inflated(io.RawIOBase):
+    """The bytes of gzip members one behind the other."""
+
+    def __init__(self, raw: io.RawIOBase) -> None:
+        self.raw, self.left, self.member = raw, b"", None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into: memoryview) -> int:
+        while True:
+            if not self.left:
+                self.left = self.raw.read(1 << 18)
+                if not self.left:
+                    if self.member is not None:
+                        raise EOFError("the file ends inside a member")
+                    return 0
+            if self.member is None:
+                self.left = self.left.lstrip(b"\0")
+                if not self.left:
+                    continue
+                self.member = zlib.decompressobj(31)
+            got = self.member.decompress(self.left, len(into))
+            self.left = self.member.unused_data if self.member.eof else self.member.unconsumed_tail
+            if self.member.eof:
+                self.member = None
+            if got:
+                into[: len(got)] = got
+                return len(got)
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.path, self.keep = options["path"], options.get("payload", "true").lower() == "true"
-        self.split = int(options.get("split_bytes", 64_000_000))
+        self.split = int(options.get("split_bytes", 16_000_000))
 
     def partitions(self) -> list[Files]:
         store, path = opened(self.path)
@@ -212,7 +242,7 @@ class WarcReader(DataSourceReader):
         rows, held = [], 0
         for path in partition.paths:
             with store.open_input_stream(path, compression=None) as raw:
-                stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else io.BufferedReader(raw)
+                stream = io.BufferedReader(Inflated(raw) if path.endswith(".gz") else raw, 1 << 18)
                 for row in records_of(path, stream, self.keep):
                     rows.append(row)
                     held += len(row["payload"] or b"") + 2000
@@ -250,12 +280,12 @@ class WarcWriter(DataSourceArrowWriter):
         task, files, out, size = TaskContext.get(), [], None, 0
         try:
             for batch in iterator:
-                for headers, block in zip(batch.column("headers"), batch.column("block")):
+                for headers, block in self.rows(batch):
                     if out is None:
                         files.append(f"part-{task.partitionId():05d}-{task.taskAttemptId()}-{uuid.uuid4().hex}.warc.gz")
                         out, size = store.open_output_stream(f"{folder}/{files[-1]}", compression=None), 0
                         size += out.write(self.member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
-                    size += out.write(self.member([(h["name"], h["value"]) for h in headers.as_py()], block.as_py() or b""))
+                    size += out.write(self.member(headers, block or b""))
                     if size >= self.max_bytes:
                         out.close()
                         out = None
@@ -264,10 +294,21 @@ class WarcWriter(DataSourceArrowWriter):
                 out.close()
         return Written(files)
 
+    @staticmethod
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[str, str | None]], bytes | None]]:
+        headers = batch.column("headers")
+        names, values, ends = (x.to_pylist() for x in (headers.values.field("name"), headers.values.field("value"), headers.offsets))
+        for k, block in enumerate(batch.column("block")):
+            at = slice(ends[k], ends[k + 1])
+            yield list(zip(names[at], values[at])), block.as_py()
+
     def member(self, headers: list[tuple[str, str | None]], block: bytes) -> bytes:
         """One record as a gzip member; headers without a value are left out."""
         lines = ["WARC/1.1", *(f"{n}: {self.written(n, v)}" for n, v in headers if v is not None), f"Content-Length: {len(block)}"]
-        return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", self.level, mtime=0)
+        record = "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+        # a small record needs no large window, and making one would cost more than packing it
+        packer = zlib.compressobj(self.level, zlib.DEFLATED, 16 + 11, 4) if len(record) < 2000 else zlib.compressobj(self.level, zlib.DEFLATED, 31)
+        return packer.compress(record) + packer.flush()
 
     @staticmethod
     def written(name: str, value: str) -> str:
@@ -428,10 +469,13 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def resolved(captures: DataFrame) -> DataFrame:
-    """``captures`` with ``original``, the response that a revisit refers to (the smallest id if several fit); null for others."""
+    """``captures``, a table of them, with ``original``, the response that a revisit refers to (the smallest id if several fit); null for others."""
     key = lambda uri, date, digest: F.struct(F.coalesce(uri, F.lit("")).alias("uri"), F.coalesce(date, F.lit("")).alias("date"), digest.alias("digest"))
     r = lambda name: F.col(f"response.{name}")
+    revisit = F.coalesce(r("type") == "revisit", F.lit(False))
+    asked = captures.filter(revisit).withColumn("__to", key(r("refers_uri"), r("refers_date"), r("digest")))
     known = captures.filter(r("type") == "response").select(key(r("target_uri"), r("date"), r("payload_sha1")).alias("__to"), F.struct("capture_id", "response", "metadata").alias("original"))
-    known = known.groupBy("__to").agg(F.min_by("original", "original.capture_id").alias("original"))
-    refers = F.when(r("type") == "revisit", key(r("refers_uri"), r("refers_date"), r("digest")))
-    return captures.withColumn("__to", refers).join(known, "__to", "left").drop("__to")
+    known = known.join(asked.select("__to").distinct(), "__to", "left_semi").groupBy("__to").agg(F.min_by("original", "original.capture_id").alias("original"))
+    # a table, so that the join has an exchange of its own, whose hot keys adaptive execution can split
+    found = asked.join(materialize(known, "warc-originals"), "__to", "left").drop("__to")
+    return found.unionByName(captures.filter(~revisit).withColumn("original", F.lit(None).cast(known.schema["original"].dataType)))
