@@ -57,6 +57,9 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--transcriber", help="module:callable from PDFs (doc_id, content) to pages")
         c.add_argument("--checkpoint", help="checkpoint folder of the worker")
         c.add_argument("--retranscribe", action="store_true")
+        c.add_argument("--max-upload-mb", type=int, default=100, help="largest PDF that the worker takes")
+        c.add_argument("--text-lang", help="language of all texts; found for each without it")
+        c.add_argument("--doc-type", choices=("articulo", "manual", "divulgacion"), help="type of all documents; found for each without it")
         c.add_argument("--interval", type=float, help="seconds between looks into the inbox; without it the worker stops when the inbox is done")
         c.add_argument("--vlm-model", help="vision model of the local model host for pages of low confidence")
         c.add_argument("--lang", default="por+eng+spa")
@@ -117,10 +120,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command in ("batch", "run", "worker"):
         dry = a.dry_run
         factory = backends.summarizer(*(("", "") if dry else backends.choose(a.backend, a.model)), dry_run=dry)
-        engine = Engine(spark, a.out, factory, a.strategy)
+        model = "dry-run" if dry else "/".join(backends.choose(a.backend, a.model))
+        engine = Engine(spark, a.out, factory, a.strategy, model=model, lang=a.text_lang, doc_type=a.doc_type)
         transcribe = _transcriber(a, engine)
         if a.command == "worker":
-            query = engine.watch(a.inputs, transcribe, a.checkpoint or f"{engine.out}/checkpoint", every=a.interval)
+            query = engine.watch(a.inputs, transcribe, a.checkpoint or f"{engine.out}/checkpoint", a.max_upload_mb * 1024 * 1024, a.interval)
             if query:
                 query.awaitTermination()
             return 0

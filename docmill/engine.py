@@ -21,7 +21,8 @@ from .functions import fixed as X
 from .functions import structure as S
 from .functions import text as T
 from .operators import catalog, gates, jobs, metadata, monitor, pages, reports
-from .operators.summarize import Summarizer, described, summarize
+from .operators.answers import Answers
+from .operators.summarize import FED, Summarizer, described, summarize, with_key
 from .sources import files
 from .sources.schemas import ABSTRACT
 from .streaming import inbox, run_always, run_once
@@ -30,7 +31,7 @@ FAILURES = "array<struct<gate:string,detail:string,severity:string>>"
 LOG = (
     "key string, doc_id string, run_id string, state string, attempts int, calls int, error string, seconds double, idioma_principal string, tipo_documento string, "
     f"plantilla string, secciones map<string,string>, idiomas_resumo_origem array<string>, abstracts_origem array<{ABSTRACT}>, pages int, text_chars int, "
-    f"source_kind string, failures {FAILURES}, transcript_failures {FAILURES}, finished_at timestamp"
+    f"source_kind string, failures {FAILURES}, transcript_failures {FAILURES}, fed {FED}, finished_at timestamp"
 )
 TRANSCRIPTS = (
     "meta_version string, pipeline_version string, legacy boolean, doc_id string, pdf_sha256 string, pages int, source_kind string, lang_ocr string, paginas_vlm bigint, "
@@ -48,14 +49,20 @@ def blank_pages(pdfs: DataFrame) -> DataFrame:
     )
 
 
-def summary_records(docs: DataFrame, factory: Callable[[], Summarizer], strategy: str = "excerpt", max_chars: int = X.MAX_CHARS, retries: int = 0) -> DataFrame:
+def summary_records(
+    docs: DataFrame, factory: Callable[[], Summarizer], strategy: str = "excerpt", max_chars: int = X.MAX_CHARS, retries: int = 0,
+    answers: Answers | None = None, lang: str | None = None, doc_type: str | None = None,
+) -> DataFrame:
     """Result records of docs (doc_id, text, pages, further columns) with their gates; failed documents have an error and no sections.
 
-    Texts stay out of the join with the answers: what is taken from them is extracted before it.
+    One record for each row: rows that repeat id, text and pages share one answer, rows with a null or repeated id and another text have their own.
+    ``lang`` and ``doc_type`` hold for all documents where they are given. Texts stay out of the join with the answers: what is taken
+    from them is extracted before it.
     """
+    docs = with_key(docs)
     found = S.abstracts(F.col("text")).cast(f"array<{ABSTRACT}>")
-    facts = described(docs).withColumn("abstracts_origem", found).withColumn("text_chars", F.length("text")).drop("text")
-    made = facts.join(summarize(docs, factory, strategy, max_chars, retries), "doc_id")
+    facts = described(docs, lang, doc_type).withColumn("abstracts_origem", found).withColumn("text_chars", F.length("text")).drop("text")
+    made = facts.join(summarize(docs, factory, strategy, max_chars, retries, answers, lang, doc_type).drop("doc_id"), "row_key")
     langs = F.array_distinct(F.transform("abstracts_origem", lambda a: a["lang"]))
     r = made.withColumnsRenamed({"lang": "idioma_principal", "tipo": "tipo_documento", "template": "plantilla", "sections": "secciones"}).withColumn("idiomas_resumo_origem", langs)
     judged = gates.result_gates(F.col("secciones"), F.col("plantilla"), F.col("idioma_principal"), F.col("idiomas_resumo_origem"), langs)
@@ -66,11 +73,16 @@ class Engine:
     """The runs of one output folder.
 
     ``factory`` builds the summariser on executors; ``max_retries`` further tries follow a failed model call. At the
-    ends of each phase, ``probes`` tasks measure the workers that run them.
+    ends of each phase, ``probes`` tasks measure the workers that run them. ``model`` names what the summariser asks: its answers are
+    kept under that name and used again. ``lang`` and ``doc_type`` hold for all documents where they are given.
     """
 
-    def __init__(self, spark: SparkSession, out_dir: str, factory: Callable[[], Summarizer], strategy: str = "excerpt", max_chars: int = X.MAX_CHARS, max_retries: int = 2, probes: int = 1):
-        self.probes = probes
+    def __init__(
+        self, spark: SparkSession, out_dir: str, factory: Callable[[], Summarizer], strategy: str = "excerpt", max_chars: int = X.MAX_CHARS, max_retries: int = 2,
+        probes: int = 1, model: str = "", lang: str | None = None, doc_type: str | None = None,
+    ):
+        self.probes, self.lang, self.doc_type = probes, lang, doc_type
+        self.answers = Answers(spark, f"{out_dir.rstrip('/')}/answers", model)
         self.spark, self.out, self.factory = spark, out_dir.rstrip("/"), factory
         self.strategy, self.max_chars, self.max_retries = strategy, max_chars, max_retries
         for name, schema in (("log", LOG), ("transcripts", TRANSCRIPTS), ("events", EVENTS), ("samples", monitor.SAMPLE)):
@@ -91,10 +103,16 @@ class Engine:
                 docs = docs.withColumn(name, F.lit(None).cast(kind))
         text = F.coalesce("text", F.lit(""))
         keyed = docs.withColumn("text", text).withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("key", T.job_key(F.col("doc_id"), F.col("text")))
-        todo = keyed.join(self.log().select("key").distinct(), "key", "left_anti")
-        made = summary_records(todo, self.factory, self.strategy, self.max_chars, self.max_retries).withColumn("run_id", F.lit(run_id)).withColumn("finished_at", F.current_timestamp())
+        # one row for each job: a key names an id and a text
+        todo = keyed.join(self.log().select("key").distinct(), "key", "left_anti").dropDuplicates(["key"])
+        made = summary_records(todo, self.factory, self.strategy, self.max_chars, self.max_retries, self.answers, self.lang, self.doc_type)
+        self._append(made.withColumn("run_id", F.lit(run_id)).withColumn("finished_at", F.current_timestamp()))
+        self.answers.tidy()
+
+    def _append(self, made: DataFrame) -> None:
+        """Rows with some of the log's columns; the others are null."""
         schema = self.spark.createDataFrame([], LOG).schema
-        made.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.mode("append").parquet(f"{self.out}/log")
+        made.select(*[(F.col(f.name) if f.name in made.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(f"{self.out}/log")
 
     def _mark(self, run_id: str, event: str, phase: str | None = None, seconds: float | None = None) -> None:
         self.spark.createDataFrame([(datetime.now(timezone.utc), run_id, event, None, phase, seconds)], EVENTS).write.mode("append").parquet(f"{self.out}/events")
@@ -154,16 +172,19 @@ class Engine:
         rejected = F.transform(F.filter("pages_detail", lambda p: p["vlm_rejected"]), lambda p: p["page"])
         return F.struct("pages_detail", "conf_media", F.size(rejected).alias("vlm_rejected"), F.lit(False).alias("legacy"))
 
-    def watch(self, box: str, transcribe: Transcriber, checkpoint: str, max_bytes: int = 50_000_000, every: float | None = None) -> StreamingQuery | None:
-        """Process the PDFs that came into ``box`` since the last call; other files are left out.
+    def watch(self, box: str, transcribe: Transcriber, checkpoint: str, max_bytes: int = files.UPLOAD_LIMIT, every: float | None = None) -> StreamingQuery | None:
+        """Process the PDFs that came into ``box`` since the last call; files that are too large or no PDF get a job in the state ``rejected``.
 
         With ``every``, go on looking each so many seconds, until the returned query is stopped.
         """
 
         def work(batch: DataFrame, _: int) -> None:
             named = batch.select(T.safe_stem(F.regexp_replace(F.regexp_extract("path", r"([^/]+)$", 1), r"\.[^.]*$", "")).alias("stem"), "length", "content")
-            good = files.screen_uploads(named, max_bytes).filter("status = 202")
-            self.pdfs(good.select(F.concat_ws("-", "stem", "content_id").alias("doc_id"), "content", F.sha2("content", 256).alias("pdf_sha256")), transcribe)
+            screened = files.screen_uploads(named, max_bytes).withColumn("doc_id", F.concat_ws("-", "stem", "content_id"))
+            reason = F.when(F.col("status") == 413, F.concat(F.lit("larger than "), F.lit(max_bytes), F.lit(" bytes: "), "length")).otherwise("no PDF")
+            bad = screened.filter("status <> 202").select(F.concat_ws(":", "doc_id", "content_id").alias("key"), "doc_id", F.lit("rejected").alias("state"), reason.alias("error"), F.current_timestamp().alias("finished_at"))
+            self._append(bad.join(self.log().select("key").distinct(), "key", "left_anti").dropDuplicates(["key"]))
+            self.pdfs(screened.filter("status = 202").select("doc_id", "content", F.sha2("content", 256).alias("pdf_sha256")).dropDuplicates(["doc_id"]), transcribe)
 
         if every is not None:
             return run_always(inbox(self.spark, box), work, checkpoint, every)
@@ -176,9 +197,10 @@ class Engine:
         return self.spark.read.schema(LOG).parquet(f"{self.out}/log")
 
     def transcripts(self) -> DataFrame:
-        """The latest transcript of each document."""
+        """The latest transcript of each document, one for each id; of one run's, that with the largest digest."""
         every = self.spark.read.schema(TRANSCRIPTS).parquet(f"{self.out}/transcripts")
-        return every.join(every.groupBy("doc_id").agg(F.max("at").alias("at")), ["doc_id", "at"], "left_semi")
+        last = every.groupBy("doc_id").agg(F.max(F.struct("at", "pdf_sha256")).alias("last")).select("doc_id", "last.*")
+        return every.join(last, ["doc_id", "at", "pdf_sha256"], "left_semi").dropDuplicates(["doc_id"])
 
     def jobs(self) -> DataFrame:
         """(key, doc_id, state, attempts, error) of every job."""
@@ -201,7 +223,7 @@ class Engine:
         """One row: documents found, processed, completed, failed and remaining, and the run's status."""
         n = F.count("*")
         failed = F.count_if(F.col("state") == "failed")
-        return self.log().filter(F.col("run_id") == run_id).agg(
+        return self.log().filter((F.col("run_id") == run_id) & (F.col("state") != "rejected")).agg(
             F.lit(discovered).cast("bigint").alias("discovered"), n.alias("processed"), (n - failed).alias("completed"), failed.alias("failed"),
             F.greatest(F.lit(0), F.lit(discovered) - n).alias("remaining"), F.when(failed > 0, "completed_with_errors").otherwise("completed").alias("status"),
         )
@@ -217,7 +239,7 @@ class Engine:
 
     def events(self) -> DataFrame:
         """(timestamp, run_id, event, doc_id, phase, seconds): what happened to each run, its phases and each document."""
-        name = F.when(F.col("state") == "done", "document_completed").otherwise("document_failed")
+        name = F.when(F.col("state") == "done", "document_completed").when(F.col("state") == "rejected", "document_rejected").otherwise("document_failed")
         runs = self.spark.read.schema(EVENTS).parquet(f"{self.out}/events")
         return runs.unionByName(self.log().select(F.col("finished_at").alias("timestamp"), "run_id", name.alias("event"), "doc_id", F.lit("resumen").alias("phase"), "seconds"))
 
@@ -239,7 +261,7 @@ class Engine:
     def records(self) -> DataFrame:
         """The latest summary of each document, its gates under _qa."""
         qa = F.struct(F.col("qa_ok").alias("ok"), "failures")
-        meta = F.struct("pages", "text_chars")
+        meta = F.struct("pages", "text_chars", *[F.col(f"fed.{c}").alias(f"excerpt_{c}") for c in ("strategy", "parts", "truncated", "chars")])
         kept = ["doc_id", "idioma_principal", "tipo_documento", "plantilla", "secciones", "idiomas_resumo_origem", "abstracts_origem"]
         return self.summaries().select(F.lit(X.CONTRACT_VERSION).alias("contract_version"), *kept, meta.alias("meta"), qa.alias("_qa"))
 

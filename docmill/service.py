@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from .engine import Engine
 from .functions import fixed as X
+from .sources.files import UPLOAD_LIMIT
 from .workspace import valid
 
-UPLOAD_LIMIT = 100 * 1024 * 1024
 
 
 def listed(engine: Engine) -> DataFrame:

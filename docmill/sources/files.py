@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from . import schemas
 
+#: Bytes of a PDF that the service and the worker take.
+UPLOAD_LIMIT = 100 * 1024 * 1024
+
 
 def _stem(path: str):
     return F.regexp_replace(F.regexp_extract(path, r"([^/]+)$", 1), r"\.[^.]*$", "")
