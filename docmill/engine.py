@@ -37,6 +37,7 @@ TRANSCRIPTS = (
     "meta_version string, pipeline_version string, legacy boolean, doc_id string, pdf_sha256 string, pages int, source_kind string, lang_ocr string, paginas_vlm bigint, "
     f"paginas_vacias bigint, paginas_vlm_rechazado bigint, conf_media double, text string, failures {FAILURES}, at timestamp"
 )
+STARTED = "key string, doc_id string, run_id string, at timestamp"
 EVENTS = "timestamp timestamp, run_id string, event string, doc_id string, phase string, seconds double"
 #: Takes PDFs (doc_id, content), gives pages (doc_id, page, source, text, conf, words, chars, vlm_rejected).
 Transcriber = Callable[[DataFrame], DataFrame]
@@ -85,7 +86,7 @@ class Engine:
         self.answers = Answers(spark, f"{out_dir.rstrip('/')}/answers", model)
         self.spark, self.out, self.factory = spark, out_dir.rstrip("/"), factory
         self.strategy, self.max_chars, self.max_retries = strategy, max_chars, max_retries
-        for name, schema in (("log", LOG), ("transcripts", TRANSCRIPTS), ("events", EVENTS), ("samples", monitor.SAMPLE)):
+        for name, schema in (("log", LOG), ("transcripts", TRANSCRIPTS), ("events", EVENTS), ("samples", monitor.SAMPLE), ("started", STARTED)):
             spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.out}/{name}")
 
     # Runs
@@ -105,6 +106,7 @@ class Engine:
         keyed = docs.withColumn("text", text).withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("key", T.job_key(F.col("doc_id"), F.col("text")))
         # one row for each job: a key names an id and a text
         todo = keyed.join(self.log().select("key").distinct(), "key", "left_anti").dropDuplicates(["key"])
+        todo.select("key", "doc_id", F.lit(run_id).alias("run_id"), F.current_timestamp().alias("at")).write.mode("append").parquet(f"{self.out}/started")
         made = summary_records(todo, self.factory, self.strategy, self.max_chars, self.max_retries, self.answers, self.lang, self.doc_type)
         self._append(made.withColumn("run_id", F.lit(run_id)).withColumn("finished_at", F.current_timestamp()))
         self.answers.tidy()
@@ -203,8 +205,11 @@ class Engine:
         return every.join(last, ["doc_id", "at", "pdf_sha256"], "left_semi").dropDuplicates(["doc_id"])
 
     def jobs(self) -> DataFrame:
-        """(key, doc_id, state, attempts, error) of every job."""
-        return self.log().select("key", "doc_id", "state", "attempts", "error")
+        """(key, doc_id, state, attempts, error, at) of every job; one that has no record yet is running, or its run broke off and the next takes it up."""
+        ended = self.log().select("key", "doc_id", "state", "attempts", "error", F.col("finished_at").alias("at"))
+        started = self.spark.read.schema(STARTED).parquet(f"{self.out}/started").groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("at").alias("at"))
+        running = started.join(ended.select("key"), "key", "left_anti").select("key", "doc_id", F.lit("running").alias("state"), F.lit(0).alias("attempts"), F.lit(None).cast("string").alias("error"), "at")
+        return ended.unionByName(running)
 
     def health(self) -> DataFrame:
         return jobs.counts(self.jobs())

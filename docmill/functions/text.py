@@ -60,7 +60,10 @@ def scan(items: Column, start: Column, step: Callable[[Column, Column], Column],
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(X.TOKEN), F.lit(0))
+    """Lower-case tokens of a text in its composed form."""
+    from .unicode import nfc
+
+    return F.regexp_extract_all(F.lower(nfc(text)), F.lit(X.TOKEN), F.lit(0))
 
 
 def language_hits(toks: Column) -> dict[str, Column]:
@@ -209,8 +212,10 @@ def valid_id(doc_id: Column) -> Column:
 
 
 def fold(word: Column) -> Column:
-    """Lower case without the accents of Latin letters."""
-    return F.translate(F.lower(word), "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy")
+    """Lower case without accents, whatever the script."""
+    from .unicode import without_marks
+
+    return without_marks(F.lower(word))
 
 
 def words(text: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed as X
 from ..functions import structure as S
 from ..functions import text as T
+from ..functions.unicode import nfc, nfd
 from ..operators import gates, pages, reports, sections
 from . import derive as D
 
@@ -49,6 +50,15 @@ def lang_detect(spark, sf_dir):
     return docs(spark, sf_dir, "doc_id", "text").select("doc_id", T.detect_language(F.col("text")).alias("detected"))
 
 
+def unicode_forms(spark, sf_dir):
+    """Digests and languages of texts taken apart into base letters and marks: they must be those of the texts as they were."""
+    apart = docs(spark, sf_dir, "doc_id", "text").select("doc_id", nfd(F.col("text")).alias("text"))
+    return apart.select("doc_id", F.sha2(nfc(F.col("text")), 256).alias("composed"), F.sha2(T.fold(F.col("text")), 256).alias("folded"), F.coalesce(T.detect_language(F.col("text")), F.lit("unknown")).alias("detected"))
+
+
+UNICODE_SQL = hits_sql("SELECT doc_id, sha256(nfc_normalize(d.text)) AS composed, sha256(strip_accents(lower(d.text))) AS folded, coalesce(detected, 'unknown') AS detected FROM b JOIN documents d USING (doc_id)")
+
+
 def lang_audit(spark, sf_dir):
     found = docs(spark, sf_dir, "lang", "text").select("lang", T.detect_language(F.col("text")).alias("detected"))
     hit = F.count_if(F.col("lang") == F.col("detected"))
@@ -323,7 +333,7 @@ def vlm_verify(spark, sf_dir):
     return d.select("doc_id", F.col("reason").isNull().alias("accepted"), F.coalesce(F.regexp_extract("reason", "^[a-z]+", 0), F.lit("")).alias("reason"), F.round("overlap", 6).alias("overlap"))
 
 
-FOLD_SQL = "translate(lower(w), 'áàâãäåéèêëíìîïóòôõöúùûüçñýÿ', 'aaaaaaeeeeiiiiooooouuuucnyy')"
+FOLD_SQL = "strip_accents(lower(w))"
 VLM_SQL = rf"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '  ' WHEN doc_id % 10 = 1 THEN 'The image shows ' || text ELSE text END AS text,
    CASE WHEN doc_id % 10 = 2 THEN 'uno dos tres cuatro cinco seises sietes ochos nueves diez once' WHEN doc_id % 10 = 3 THEN replace(text, 'a', 'e') ELSE text END AS base FROM documents),
  w AS (SELECT *, regexp_extract_all(base, '[\p{{L}}\p{{N}}_]+') AS bw, regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+') AS vw, {TOKENS} AS toks FROM d), h AS (SELECT *, {HITS} FROM w),
@@ -393,3 +403,4 @@ ORACLE_SQL = {
     "acceptance": CONTROL_SQL.replace("SELECT * FROM s", "SELECT *, total > 0 AND coverage_media >= 0.6 AND lang_aciertos = total AND type_aciertos = total AS accepted FROM s"),
     "doc_ids": DOC_IDS_SQL,
 }
+QUERIES["unicode_forms"], ORACLE_SQL["unicode_forms"] = unicode_forms, UNICODE_SQL

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import engine
+from .. import engine, streaming
 from ..functions import fixed as X
 from ..functions.text import route_ocr
+from ..places import scratch
 from ..operators import catalog, environment, jobs, metadata, monitor, ocr, regions, reports, summarize
 from . import derive as D
 from .documents import BEST, HITS, TOKENS, docs
@@ -97,6 +98,33 @@ JOB_SQL = """WITH a AS (SELECT l_orderkey AS key, l_linenumber AS n, bool_or(l_q
  SELECT CASE WHEN won THEN 'done' ELSE 'failed' END AS state, count(*) AS n FROM s GROUP BY 1"""
 
 
+def _job_events(lines):
+    """Line items as attempts of their order's job: each starts, large ones succeed, middling ones fail."""
+    kind = F.array_compact(F.array(F.lit("started"), F.when(F.col("l_quantity") > 40, "succeeded").when(F.col("l_quantity") > 10, "failed")))
+    at = F.timestamp_seconds(F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + F.col("l_linenumber"))
+    return lines.select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("n"), F.explode(kind).alias("kind"), at.alias("at"), F.concat(F.lit("E"), F.col("l_partkey").cast("string")).alias("error"))
+
+
+def _streamed(spark, sf_dir, name):
+    """A table as a stream of its files; a pattern, as a stream takes a single file only by one."""
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+def job_states(spark, sf_dir):
+    """Each job's last state, kept in the state store of a stream over all line items."""
+    stream = _streamed(spark, sf_dir, "lineitem")
+    place = scratch(spark, "jobs")
+    streaming.keep_jobs(streaming.job_changes(_job_events(stream)), f"{place}/changes", f"{place}/checkpoint").awaitTermination()
+    return streaming.latest_jobs(spark, f"{place}/changes")
+
+
+JOB_STATES_SQL = """WITH a AS (SELECT CAST(l_orderkey AS VARCHAR) AS key, l_linenumber AS n, l_quantity AS q, 'E' || l_partkey AS e FROM lineitem WHERE l_linenumber BETWEEN 1 AND 3),
+ s AS (SELECT key, min(n) FILTER (WHERE q > 40) AS won, max(n) AS last, max((n, e)) FILTER (WHERE q > 10 AND q <= 40) AS f FROM a GROUP BY key),
+ k AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS key FROM lineitem)
+ SELECT key, CASE WHEN won IS NOT NULL THEN 'done' WHEN f[1] = last THEN 'failed' WHEN last IS NOT NULL THEN 'running' ELSE 'pending' END AS state, CAST(coalesce(won, last, 0) AS INT) AS attempts,
+  CASE WHEN won IS NULL AND f[1] = last THEN f[2] END AS error, coalesce(won IS NULL AND f[1] = last AND last >= 3, false) AS exhausted FROM k LEFT JOIN s USING (key)"""
+
+
 def review_state(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     action = F.when(F.col("event_type") == "purchase", "approved").when(F.col("event_type") == "error", "rejected").when(F.col("event_type") == "signup", "edited")
@@ -396,3 +424,5 @@ RECORDS_SQL = rf"""WITH t AS (SELECT doc_id, text, {D.PAGES} AS pages, {TOKENS}
 
 QUERIES |= {f.__name__: f for f in (readiness, throttling, ocr_meta, legacy_meta, summary_records)}
 ORACLE_SQL |= {"reading_order": ORDER_SQL, "readiness": READY_SQL, "throttling": THROTTLE_SQL, "ocr_meta": META_SQL, "legacy_meta": LEGACY_SQL, "summary_records": RECORDS_SQL}
+QUERIES["job_states"] = job_states
+ORACLE_SQL["job_states"] = JOB_STATES_SQL

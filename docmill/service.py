@@ -72,7 +72,7 @@ def handler(engine: Engine, token: str | None = None, inbox: Path | None = None,
             self.stream(200, iter(found)) if found else self.say(404, {"error": missing})
 
         def allowed(self) -> bool:
-            if token and not hmac.compare_digest(self.headers.get("Authorization") or "", f"Bearer {token}"):
+            if token and not hmac.compare_digest((self.headers.get("Authorization") or "").encode("utf-8", "replace"), f"Bearer {token}".encode()):
                 self.say(401, {"error": "invalid token"})
                 return False
             return True
@@ -99,7 +99,7 @@ def handler(engine: Engine, token: str | None = None, inbox: Path | None = None,
                 self.say(404, {"error": "unknown endpoint", "path": path})
 
         def job(self, doc_id: str) -> None:
-            found = engine.jobs().filter(F.col("doc_id") == doc_id).select("doc_id", F.col("state").alias("status"), "attempts", "error").toJSON().take(1)
+            found = engine.jobs().filter(F.col("doc_id") == doc_id).orderBy(F.col("at").desc(), "key").select("doc_id", F.col("state").alias("status"), "attempts", "error").toJSON().take(1)
             if found:
                 done = json.loads(found[0])
                 self.say(200, done | ({"summary_url": f"/api/summaries/{doc_id}"} if done["status"] == "done" else {}))

@@ -1,5 +1,6 @@
 """Structured Streaming: inbox ingestion, event analytics."""
 
+from .jobs import job_changes, job_table, keep_jobs, latest_jobs
 from .ingest import event_stream, events_by_window, inbox, run_always, run_once
 
-__all__ = ["event_stream", "events_by_window", "inbox", "run_always", "run_once"]
+__all__ = ["job_changes", "job_table", "keep_jobs", "latest_jobs", "event_stream", "events_by_window", "inbox", "run_always", "run_once"]
