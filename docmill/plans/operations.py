@@ -9,7 +9,7 @@ from .. import engine, streaming
 from ..functions import fixed as X
 from ..functions.text import route_ocr
 from ..places import scratch
-from ..operators import catalog, environment, jobs, metadata, monitor, ocr, regions, reports, summarize
+from ..operators import catalog, environment, jobs, matching, metadata, monitor, ocr, regions, reports, summarize
 from . import derive as D
 from .documents import BEST, HITS, TOKENS, docs
 
@@ -426,3 +426,69 @@ QUERIES |= {f.__name__: f for f in (readiness, throttling, ocr_meta, legacy_meta
 ORACLE_SQL |= {"reading_order": ORDER_SQL, "readiness": READY_SQL, "throttling": THROTTLE_SQL, "ocr_meta": META_SQL, "legacy_meta": LEGACY_SQL, "summary_records": RECORDS_SQL}
 QUERIES["job_states"] = job_states
 ORACLE_SQL["job_states"] = JOB_STATES_SQL
+
+
+def term_matches(spark, sf_dir):
+    """Which words of the benchmark each document contains, wherever they stand: their number and a digest of their numbers and places."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)))).alias("term")).distinct()
+    # a word's number is made of its own letters
+    terms = words.withColumn("term_id", F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 15), 16, 10).cast("long"))
+    found = matching.term_matches(docs(spark, sf_dir, "doc_id", "text"), terms, "doc_id")
+    each = F.array_sort(F.collect_list(F.struct("term_id", "first")))
+    told = found.groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.sha2(F.array_join(F.transform(each, lambda x: F.concat_ws(":", x["term_id"], x["first"])), ","), 256).alias("digest"))
+    return docs(spark, sf_dir, "doc_id").join(told, "doc_id", "left").select("doc_id", F.coalesce("n_terms", F.lit(0)).cast("long").alias("n_terms"), "digest")
+
+
+TERM_SQL = """WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS term FROM benchmark), t AS (SELECT term, CAST('0x' || left(md5(term), 15) AS BIGINT) AS term_id FROM w),
+ d AS (SELECT doc_id, lower(coalesce(text, '')) AS text FROM documents), m AS (SELECT doc_id, term_id, instr(text, term) AS first FROM d JOIN t ON contains(text, term)),
+ g AS (SELECT doc_id, count(*) AS n_terms, sha256(string_agg(term_id || ':' || first, ',' ORDER BY term_id)) AS digest FROM m GROUP BY doc_id)
+ SELECT doc_id, coalesce(n_terms, 0) AS n_terms, digest FROM documents LEFT JOIN g USING (doc_id)"""
+
+
+def label_join(spark, sf_dir):
+    """Short lines of documents as headings, and for each the first benchmark word of which one contains the other."""
+    lines = docs(spark, sf_dir, "doc_id", "text").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    headings = lines.filter(F.length("text") <= 60)
+    words = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.regexp_extract_all("text", F.lit("[A-Za-z]{5,}"), F.lit(0))).alias("k", "label"))
+    return matching.closest_label(headings, words.select("label", (F.col("item_id") * 1_000_000 + F.col("k")).alias("place"))).select("doc_id", "line", "text", "label")
+
+
+LABEL_SQL = """WITH h AS (SELECT doc_id, CAST(k - 1 AS INT) AS line, text FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents) WHERE length(text) <= 60),
+ b AS (SELECT item_id, regexp_extract_all(text, '[A-Za-z]{5,}') AS ws FROM benchmark), w AS (SELECT item_id, unnest(ws) AS label, generate_subscripts(ws, 1) - 1 AS k FROM b), l AS (SELECT label, min(item_id * 1000000 + k) AS place FROM w GROUP BY label),
+ t AS (SELECT DISTINCT text, lower(text) AS low FROM h WHERE text <> ''), p AS (SELECT t.text, arg_min(label, (label <> text, place, label)) AS label FROM t JOIN l ON contains(low, lower(label)) OR contains(lower(label), low) GROUP BY t.text)
+ SELECT h.doc_id, h.line, h.text, p.label FROM h LEFT JOIN p USING (text)"""
+
+
+def _reviews(spark, sf_dir):
+    """(results, events): users as documents whose sections lack some keys, their events as edits, approvals and rejections."""
+    e = table(spark, sf_dir, "events")
+    keys = F.array(*[F.lit(k) for k in X.TEMPLATES["C"]])
+    users = e.select(F.col("user_id").alias("doc_id")).distinct()
+    filled = F.filter(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))), lambda x: (F.col("doc_id") + x["i"]) % 3 != 0)
+    sections = F.map_from_entries(F.transform(filled, lambda x: F.struct(x["k"], F.lit("x"))))
+    empty = F.array().cast("array<string>")
+    results = users.select("doc_id", sections.alias("sections"), F.lit("C").alias("template"), F.lit("es").alias("lang"), empty.alias("declared"), empty.alias("present"))
+    action = F.when(F.col("event_type") == "purchase", "approved").when(F.col("event_type") == "error", "rejected").otherwise("edited")
+    changed = F.create_map(F.get(keys, (F.col("event_id") % len(X.TEMPLATES["C"])).cast("int")), F.when(F.col("event_id") % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit("e"), F.col("event_id").cast("string"))))
+    events = e.select(F.col("user_id").alias("doc_id"), "ts", F.col("event_id").alias("seq"), action.alias("action"), F.concat(F.lit("r"), (F.col("event_id") % 3).cast("string")).alias("reviewer"), F.lit("n").alias("note"), (F.col("event_id") % 10 == 0).alias("force"), F.when(action == "edited", changed).alias("changes"))
+    return results, events
+
+
+def review_fold(spark, sf_dir):
+    """Every document after its reviews, approvals judged on the sections as edited by then."""
+    done = jobs.review_records(jobs.reviewed(*_reviews(spark, sf_dir)))
+    told = F.array_join(F.transform(F.array_sort(F.map_entries("sections")), lambda x: F.concat_ws("=", x["key"], x["value"])), ";")
+    return done.select(F.col("doc_id").cast("long").alias("doc_id"), "state", "reviewer", "note", told.alias("sections"), "edited_by", "actions")
+
+
+_KEYS = X.TEMPLATES["C"]
+REVIEW_FOLD_SQL = f"""WITH e AS (SELECT user_id AS doc_id, ts, event_id AS seq, CASE event_type WHEN 'purchase' THEN 'approved' WHEN 'error' THEN 'rejected' ELSE 'edited' END AS action, 'r' || event_id % 3 AS reviewer, event_id % 10 = 0 AS force,
+   CAST(event_id % {len(_KEYS)} AS INT) AS slot, CASE WHEN event_id % 4 = 0 THEN ' ' ELSE 'e' || event_id END AS value FROM events),
+ s AS (SELECT *, {", ".join(f"coalesce(last_value(CASE WHEN action = 'edited' AND slot = {k} THEN value END IGNORE NULLS) OVER w, CASE WHEN (doc_id + {k}) % 3 <> 0 THEN 'x' END) AS s{k}" for k in range(len(_KEYS)))},
+   last_value(CASE WHEN action = 'edited' THEN reviewer END IGNORE NULLS) OVER w AS edited_by FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)),
+ n AS (SELECT *, {" + ".join(f"(trim(coalesce(s{k}, '')) = '')::INT" for k in range(len(_KEYS)))} AS bad, array_to_string(list_sort([x FOR x IN [{", ".join(f"'{key}=' || s{k}" for k, key in enumerate(_KEYS))}] IF x IS NOT NULL]), ';') AS sections FROM s),
+ a AS (SELECT *, CASE WHEN action = 'approved' AND bad > 0 THEN 'n [FORZADO pese a: ' || array_to_string(list_transform(range(bad), lambda i: 'schema'), ', ') || ']' ELSE 'n' END AS note FROM n WHERE action <> 'approved' OR bad = 0 OR force)
+ SELECT doc_id, arg_max(action, (ts, seq)) AS state, arg_max(reviewer, (ts, seq)) AS reviewer, arg_max(note, (ts, seq)) AS note, arg_max(sections, (ts, seq)) AS sections, arg_max(coalesce(edited_by, '-'), (ts, seq)) AS edited_by, count(*) AS actions FROM a GROUP BY doc_id"""
+
+QUERIES |= {f.__name__: f for f in (term_matches, label_join, review_fold)}
+ORACLE_SQL |= {"term_matches": TERM_SQL, "label_join": LABEL_SQL, "review_fold": REVIEW_FOLD_SQL.replace("arg_max(coalesce(edited_by, '-'), (ts, seq))", "nullif(arg_max(coalesce(edited_by, '-'), (ts, seq)), '-')")}
