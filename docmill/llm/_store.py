@@ -17,7 +17,7 @@ import uuid
 import weakref
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows up to which a table of short keys is broadcast (about 100 bytes a row); larger ones are joined by a shuffle.
@@ -96,3 +96,45 @@ def _delete(spark: SparkSession, path: str) -> None:
 def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A materialized table of short rows, marked for broadcast if it is counted to have at most ``rows`` rows."""
     return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
+#: Bits of a sieve for each key, and in all (64 MB).
+SIEVE_BITS, MOST_BITS = 16, 1 << 29
+_BITMAP = 1 << 15
+
+
+def _place(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits))
+
+
+def sieve(keys: DataFrame, column: str, n: int) -> tuple[DataFrame, int]:
+    """(bucket, bitmap) with the bits of all keys set, and the number of bits: a Bloom filter with one hash, made of native functions."""
+    bits = min(MOST_BITS, max(1, -(-n * SIEVE_BITS // _BITMAP)) * _BITMAP)
+    at = keys.select(_place(F.col(column), bits).alias("at"))
+    table = at.groupBy(F.floor(F.col("at") / _BITMAP).alias("__bucket")).agg(F.bitmap_construct_agg(F.col("at") % _BITMAP).alias("__bitmap"))
+    return table, bits
+
+
+def sieved(rows: DataFrame, key: Column, keys: DataFrame, column: str, n: int) -> DataFrame:
+    """``rows`` with __may: false only where ``keys`` does not hold the key; rows stay where they are."""
+    table, bits = sieve(keys, column, n)
+    marked = rows.withColumn("__at", _place(key, bits)).withColumn("__bucket", F.floor(F.col("__at") / _BITMAP))
+    joined = marked.join(F.broadcast(materialize(table, "sieve")), "__bucket", "left")
+    byte = F.conv(F.hex(F.substring("__bitmap", F.floor(F.col("__at") % _BITMAP / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.floor(byte / F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (F.col("__at") % 8 + 1).cast("int"))) % 2 == 1
+    return joined.withColumn("__may", F.coalesce(hit & key.isNotNull(), F.lit(False))).drop("__at", "__bucket", "__bitmap")
+
+
+def matched(rows: DataFrame, key: Column, keys: DataFrame, column: str, how: str) -> DataFrame:
+    """``rows`` (large ones, with texts) joined with ``keys`` (short and distinct, a table) where ``key`` equals ``column``: left, left_semi or left_anti.
+
+    Few keys are broadcast. Beyond that a sieve of them is, and only the rows that it lets through are shuffled.
+    """
+    n = keys.count()
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(keys), key == F.col(column), how)
+    tested = sieved(rows, key, keys, column, n)
+    kept = [c for c in tested.columns if c != "__may"]
+    inside = tested.filter("__may").select(*[f"`{c}`" for c in kept]).join(keys, key == F.col(column), how)
+    outside = tested.filter("not __may").select(*[f"`{c}`" for c in kept])
+    return inside if how == "left_semi" else inside.unionByName(outside, allowMissingColumns=True)

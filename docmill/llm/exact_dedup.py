@@ -7,7 +7,7 @@ one hash has several texts, each is a group of its own, told apart by its SHA-25
 fails rather than join two texts that agree in both.
 
 Scale: (hash, id) pairs are shuffled, 60 bytes a row, with counts combined before that. Texts are
-shuffled only if their row is in a group, and equal texts of a task collapse before the shuffle, so a hot
+shuffled only if their id is in a group (or, with more ids than are broadcast, passes a sieve of them), and equal texts of a task collapse before the shuffle, so a hot
 group costs one text for each task. Rows find their groups by an equi-join on the hash, which adaptive
 execution can split, or by a broadcast where the groups are counted to be few. The hash of a text is
 computed once; a second time only for rows whose ids are among those of groups.
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import discard, materialize, small
+from ._store import discard, matched, materialize, small
 
 
 def normalised(text: Column) -> Column:
@@ -52,9 +52,9 @@ def equal_texts(docs: DataFrame, hashed: DataFrame, id_col: str, text_col: str)
     """(hash, sha, keep, n) of the texts that have the hash of another row: the id that stays, and the rows of the text."""
     groups = hashed.groupBy("hash").agg(F.count("*").alias("rows")).filter("rows > 1").select("hash")
     groups = small(materialize(groups, "exact-groups"))
-    ids = small(materialize(hashed.join(groups, "hash", "left_semi").filter("id is not null").select(F.col("id").alias("__of")).distinct(), "exact-ids"))
+    ids = materialize(hashed.join(groups, "hash", "left_semi").filter("id is not null").select(F.col("id").alias("__of")).distinct(), "exact-ids")
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    some = slim.join(ids, slim.id == F.col("__of"), "left_semi").unionByName(slim.filter("id is null"))
+    some = matched(slim, F.col("id"), ids, "__of", "left_semi").unionByName(slim.filter("id is null"))
     members = some.select("id", normalised(F.col("text")).alias("norm")).withColumn("hash", content_hash(F.col("norm"))).join(groups, "hash", "left_semi")
     texts = members.groupBy("hash", "norm").agg(F.min("id").alias("keep"), F.count("*").alias("n"))
     told = texts.select("hash", content_digest(F.col("norm")).alias("sha"), "keep", "n").groupBy("hash", "sha").agg(F.min("keep").alias("keep"), F.sum("n").alias("n"), F.count("*").alias("texts"))
@@ -89,9 +89,9 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     hashed = hashed_rows(docs, id_col, text_col)
     found = equal_texts(docs, hashed, id_col, text_col)
     stays = hashed.alias("h").join(small(found).alias("t"), ["hash", "sha"]).filter(F.col("h.id").eqNullSafe(F.col("t.keep"))).groupBy("hash", "sha").agg(F.count("*").alias("again"))
-    texts = small(materialize(found.join(stays, ["hash", "sha"]).select(F.struct("hash", "sha").alias("__key"), F.col("keep").alias("__keep"), F.col("again").alias("__again")), "exact-stays", hashed))
+    texts = materialize(found.join(stays, ["hash", "sha"]).select(F.struct("hash", "sha").alias("__key"), F.col("keep").alias("__keep"), F.col("again").alias("__again")), "exact-stays", hashed)
     norm = normalised(F.col(text_col))
-    marked = docs.withColumn("__own", F.struct(content_hash(norm).alias("hash"), content_digest(norm).alias("sha"))).join(texts, F.col("__own") == F.col("__key"), "left")
+    marked = matched(docs.withColumn("__own", F.struct(content_hash(norm).alias("hash"), content_digest(norm).alias("sha"))), F.col("__own"), texts, "__key", "left")
     stay = marked.filter(F.col("__again").isNull() | F.col("__keep").eqNullSafe(F.col(id_col)))
     once = stay.filter(F.coalesce("__again", F.lit(1)) == 1)
     if not texts.filter("__again > 1").isEmpty():

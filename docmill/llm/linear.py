@@ -101,10 +101,14 @@ class TermFeatures:
             return np.empty(0, np.int32), np.empty(0)
         if len(memo) > MEMO:
             memo.clear()
-        for w in words.difference(memo):
+        new = words.difference(memo)
+        for w in new:
             v = w.strip(SIGNS)
             memo[w] = zlib.crc32(v.encode()) << 32 | zlib.crc32(v[:4].encode())
         h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        for w in new:
+            if len(w) > LONG:
+                del memo[w]
         idx = np.unique(np.concatenate([_slot(h >> np.uint64(32), 21), _slot(h & np.uint64(0xFFFFFFFF), 22)]))
         return idx, np.ones(len(idx))
 

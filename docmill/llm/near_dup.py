@@ -42,8 +42,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from ._store import materialize, small
+from ._store import matched, materialize, small
 from .components import components
+from .linear import LONG
 from .quality import texts_of
 
 N = 5
@@ -72,9 +73,13 @@ class Shingler:
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        for w in set(words).difference(memo):
+        new = set(words).difference(memo)
+        for w in new:
             memo[w] = xxhash.xxh3_64_intdigest(w)
         h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        for w in new:
+            if len(w) > LONG:  # not remembered
+                del memo[w]
         n = max(1, len(h) - N + 1)
         x = np.zeros(n, np.uint64)
         for k in range(min(N, len(h))):
@@ -231,13 +236,12 @@ def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
 
 def rows_with(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is in ``ids`` (one column, distinct) or null."""
-    marked = docs.join(ids.toDF("__of"), F.col(id_col) == F.col("__of"), "left")
-    return marked.filter(F.col("__of").isNotNull() | F.col(id_col).isNull()).drop("__of")
+    return matched(docs, F.col(id_col), ids.toDF("__of"), "__of", "left_semi").unionByName(docs.filter(F.col(id_col).isNull()))
 
 
 def shingle_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(key, shingles) of texts that may be among the members (key, rep): the rows with their ids, and those without an id."""
-    ids = small(materialize(members.select("rep").filter("rep is not null").distinct(), "near-ids"))
+    ids = materialize(members.select("rep").filter("rep is not null").distinct(), "near-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Shingler()
@@ -353,8 +357,8 @@ def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc
     rows, texts = classes(docs, threshold, id_col, text_col)
     several = texts.filter("rows > 1").select(F.col("key").alias("__of_key"), F.col("first").alias("__first"))
     several = small(materialize(several, "near-classes"))
-    ids = small(materialize(rows.join(several, F.col("key") == F.col("__of_key"), "left_semi").filter("id is not null").select("id").distinct().toDF("__of"), "near-touched"))
-    others = docs.join(ids, F.col(id_col) == F.col("__of"), "left_anti").filter(F.col(id_col).isNotNull())
+    ids = materialize(rows.join(several, F.col("key") == F.col("__of_key"), "left_semi").filter("id is not null").select("id").distinct().toDF("__of"), "near-touched")
+    others = matched(docs, F.col(id_col), ids, "__of", "left_anti").filter(F.col(id_col).isNotNull())
     at, names = docs.columns.index(text_col), [*docs.columns, "__key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

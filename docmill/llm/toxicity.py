@@ -3,8 +3,9 @@
 The categories are predicted in a fixed order by linear models over the terms of a text.
 Each later model also gets the probabilities that the earlier ones give. In training
 these are out-of-fold predictions (``FOLDS`` folds by a hash of the id), so that a later model
-sees what it will see on new texts; the earlier models used for scoring are fitted on all
-training rows. All models are trained with follow-the-regularised-leader updates in one task, on a sample
+sees what it will see on new texts; the models used for scoring are fitted on all
+training rows. The same predictions choose the probability from which a category is flagged: that with the best F1, as
+a rare category's probabilities stay low while its words are few. All models are trained with follow-the-regularised-leader updates in one task, on a sample
 with the documented bounds of ``quality.labelled_sample``: ``sample`` ids, ``chars`` characters.
 
 The categories are columns of ``labels`` with 0 or 1, in the order of ``categories``. The given tables mark one
@@ -21,6 +22,7 @@ result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +33,11 @@ from .linear import DIM, Ftrl, TermFeatures, dot, probability
 from .quality import SAMPLE, SAMPLE_CHARS, labelled_sample, texts_of
 
 FOLDS = 3
-PASSES = 3
+PASSES = 4
 
 
 def _model(links: int) -> Ftrl:
-    return Ftrl(dim=DIM + links, alpha=1.0, l1=4.0, l2=0.1)
+    return Ftrl(dim=DIM + links, alpha=1.0, l1=8.0, l2=0.1)
 
 
 def _linked(idx: np.ndarray, x: np.ndarray, earlier: list[float]) -> tuple[np.ndarray, np.ndarray]:
@@ -53,6 +55,25 @@ def _fit(rows: list[tuple[np.ndarray, np.ndarray]], y: list[int], links: int) ->
     return model
 
 
+class Model(NamedTuple):
+    """One category: weights of terms, links to earlier categories and intercept, and the probability from which it is flagged."""
+
+    weights: np.ndarray
+    threshold: float
+
+
+def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """The probability from which flags have the best F1, in the middle of its gap; 0.5 without rows of both kinds."""
+    if not 0 < y.sum() < len(y):
+        return 0.5
+    order = np.argsort(-p, kind="stable")
+    p, hits = p[order], np.cumsum(y[order])
+    ends = np.append(p[1:] < p[:-1], True)  # equal probabilities are flagged together
+    f1 = np.where(ends, 2 * hits / (np.arange(1, len(p) + 1) + y.sum()), -1.0)
+    k = int(f1.argmax())
+    return float((p[k] + (p[k + 1] if k + 1 < len(p) else 0.0)) / 2)
+
+
 def fit_chain(
     docs: DataFrame,
     labels: DataFrame,
@@ -61,8 +82,8 @@ def fit_chain(
     id_col: str = "doc_id",
     text_col: str = "text",
     chars: int = SAMPLE_CHARS,
-) -> list[np.ndarray]:
-    """Weights of each category's model: terms, links to earlier categories, intercept."""
+) -> list[Model]:
+    """The model of each category."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, terms, marks, fold = TermFeatures(), [], [], []
@@ -74,25 +95,25 @@ def fit_chain(
         earlier: list[list[float]] = [[] for _ in terms]
         for k in range(len(categories)):
             rows, y = [_linked(*t, e) for t, e in zip(terms, earlier)], [m[k] for m in marks]
-            if k + 1 < len(categories):
-                for f in range(FOLDS):
-                    out = np.flatnonzero(folds == f)
-                    fitted = _fit([rows[i] for i in np.flatnonzero(folds != f)], [y[i] for i in np.flatnonzero(folds != f)], k).weights()
-                    for i in out:
-                        earlier[i] = [*earlier[i], probability(dot(fitted, *rows[i]))]
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_fit(rows, y, k).weights().tobytes()], pa.binary())], ["k", "w"])
+            for f in range(FOLDS):
+                rest = np.flatnonzero(folds != f)
+                fitted = _fit([rows[i] for i in rest], [y[i] for i in rest], k).weights()
+                for i in np.flatnonzero(folds == f):
+                    earlier[i] = [*earlier[i], probability(dot(fitted, *rows[i]))]
+            flagged = best_threshold(np.array([e[k] for e in earlier]), np.array(y))
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_fit(rows, y, k).weights().tobytes()], pa.binary()), pa.array([flagged])], ["k", "w", "threshold"])
 
     learned = labelled_sample(docs, labels, sample, chars, id_col, text_col, categories)
     folded = learned.select("id", "text", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)), *categories)
-    rows = folded.mapInArrow(train, "k int, w binary").collect()
-    return [np.frombuffer(r["w"], np.float32) for r in sorted(rows, key=lambda r: r["k"])]
+    rows = folded.mapInArrow(train, "k int, w binary, threshold double").collect()
+    return [Model(np.frombuffer(r["w"], np.float32), r["threshold"]) for r in sorted(rows, key=lambda r: r["k"])]
 
 
 def score_chain(
-    docs: DataFrame, chain: list[np.ndarray], categories: list[str], id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, chain: list[Model], categories: list[str], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, p_<category>...) for every row."""
-    shared, names = docs.sparkSession.sparkContext.broadcast(chain), [f"p_{c}" for c in categories]
+    shared, names = docs.sparkSession.sparkContext.broadcast([m.weights for m in chain]), [f"p_{c}" for c in categories]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, features = shared.value, TermFeatures()
@@ -116,11 +137,12 @@ def toxicity(
     labels: DataFrame,
     categories: list[str],
     sample: int = SAMPLE,
-    threshold: float = 0.5,
+    threshold: float | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(id, p_<category>..., <category>...) for every row: probabilities, and 1 where one reaches ``threshold``."""
+    """(id, p_<category>..., <category>...) for every row: probabilities, and 1 where one reaches its model's threshold, or the given one."""
     chain = fit_chain(docs, labels, categories, sample, id_col, text_col)
-    flags = [(F.col(f"p_{c}") >= threshold).cast("int").alias(c) for c in categories]
+    reached = [threshold if threshold is not None else m.threshold for m in chain] or [0.5] * len(categories)
+    flags = [(F.col(f"p_{c}") >= t).cast("int").alias(c) for c, t in zip(categories, reached)]
     return score_chain(docs, chain, categories, id_col, text_col).select("*", *flags)

@@ -13,8 +13,8 @@ url's path starts with the rule's path; the longest fitting rule decides.
 
 Scale: a segment can only differ from its siblings where two labelled paths of one host and length part, so only
 those levels are tested, and all other levels are wildcards at once. Tests are grouped counts over labelled
-paths, with partial aggregation: all levels in one pass for the first test, one pass for each level for the second,
-left out where nothing comes back. Distinct paths are joined with the segments that stay by equi-joins on
+paths, with partial aggregation: all levels in one pass for the first test; for the second a pass for each level at which some host has
+segments to take back, all other levels in the same pass. Distinct paths are joined with the segments that stay by equi-joins on
 (host, prefix, segment); a host with a third of all pages is split by its prefixes and, where one prefix is hot, by
 the adaptive skew join. Nothing is broadcast but what adaptive execution measures to be small. Rules are a
 short literal list.
@@ -102,26 +102,36 @@ def path_templates(pages: DataFrame, labels: DataFrame, z: float) -> DataFrame:
         kept = at.join(stay, [*node, "child"], "left_semi").groupBy("host", "seg").agg(F.collect_set("level").alias("kept"))
         literal = F.transform("seg", lambda s, i: F.when(F.array_contains("kept", i), s).otherwise(WILD))
         first = paths.join(kept, ["host", "seg"], "left").withColumn("cur", F.when(F.col("kept").isNull(), F.transform("seg", lambda _: F.lit(WILD))).otherwise(literal))
-        tree = materialize(first.drop("kept"), "url-merged")
-        for d in levels:
-            tree = restored(tree, d, z)
+        tree = restored(materialize(first.drop("kept").withColumn("next", F.lit(0)), "url-merged"), levels, z)
     tree = tree.withColumn("template", F.concat(F.lit("/"), F.array_join("cur", "/")))
     sums = tree.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("good").alias("good"))
     judged = tree.select("host", "seg", "template").join(sums, ["host", "template"])
     return rows.join(judged, ["host", "seg"]).select("id", "host", "template", "n", "labelled", "good")
 
 
-def restored(tree: DataFrame, d: int, z: float) -> DataFrame:
-    """``tree`` with those segments of level ``d`` back that differ from what their template merges with them."""
-    parts = tree.filter(F.get("cur", F.lit(d)) == WILD).withColumn("all", F.col("cur")).withColumn("child", F.get("seg", F.lit(d)))
-    back = siblings(parts.filter("labelled > 0"), ["host", "all"], z).filter(F.col("differs") & (F.col("child") != WILD))
-    back = materialize(back.select("host", F.col("all").alias("cur"), F.col("child").alias("__back")), "url-back")
-    if back.isEmpty():
-        discard(back)
-        return tree
-    joined = tree.withColumn("__child", F.get("seg", F.lit(d))).join(back, (tree.host == back.host) & (tree.cur == back.cur) & (F.col("__child") == F.col("__back")), "left")
-    cur = F.when(F.col("__back").isNull(), tree.cur).otherwise(F.transform(tree.cur, lambda s, i: F.when(i == d, F.col("__back")).otherwise(s)))
-    return materialize(joined.select(tree.host, "seg", "n", "labelled", "good", cur.alias("cur")), "url-restored", tree, back)
+def restored(tree: DataFrame, levels: list[int], z: float) -> DataFrame:
+    """``tree`` with those segments back that differ from what their template merges with them, from the top down.
+
+    All levels from ``next`` on are tested at once. Paths of one host and length take the topmost level at which something comes back, and go
+    on behind it; levels at which nothing does cost no round.
+    """
+    group = ["host", "levels"]
+    while True:
+        open_ = F.filter(F.array(*[F.lit(d) for d in levels]), lambda d: (d >= F.col("next")) & (d < F.size("seg")) & (F.get("cur", d) == WILD))
+        at = tree.filter("labelled > 0").select("host", F.size("seg").alias("levels"), F.col("cur").alias("all"), "seg", "labelled", "good", F.explode(open_).alias("level"))
+        parts = at.withColumn("child", F.get("seg", F.col("level")))
+        back = siblings(parts, [*group, "all", "level"], z).filter(F.col("differs") & (F.col("child") != WILD))
+        back = materialize(back.select(*group, "level", F.col("all").alias("cur"), F.col("child").alias("__child")), "url-back")
+        if back.isEmpty():
+            discard(back)
+            return tree
+        top = back.groupBy(*group).agg(F.min("level").alias("__top"))
+        here = back.join(top, group).filter("level = __top").select(*group, "cur", "__child", F.lit(True).alias("__back"))
+        placed = tree.withColumn("levels", F.size("seg")).join(top, group, "left").withColumn("__child", F.get("seg", F.col("__top")))
+        found = placed.join(here, [*group, "cur", "__child"], "left")
+        cur = F.when(F.col("__back").isNull(), F.col("cur")).otherwise(F.transform("cur", lambda s, i: F.when(i == F.col("__top"), F.col("__child")).otherwise(s)))
+        later = F.coalesce(F.col("__top") + 1, F.lit(1 << 30))  # nothing comes back for the others
+        tree = materialize(found.select("host", "seg", "n", "labelled", "good", cur.alias("cur"), later.alias("next")), "url-restored", tree, back)
 
 
 def siblings(parts: DataFrame, node: list[str], z: float) -> DataFrame:

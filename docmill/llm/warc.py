@@ -39,7 +39,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from ._store import materialize, small
+from ..places import opened
+from ._store import matched, materialize, small
 from .components import components
 
 FORMAT = "docmill_warc"
@@ -63,12 +64,6 @@ NESTED = 1_000
 BATCH = 8_000_000
 
 
-def opened(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a place; ``file:`` in any spelling is this machine's."""
-    local = re.match(r"file:/*(/.*)", path)
-    return (fs.LocalFileSystem(), local[1]) if local else fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
 # reading
 
 
@@ -418,7 +413,7 @@ def page_captures(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", least: i
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload"))
     keyed = rows.withColumn("sha", F.when(F.octet_length("payload") >= least, F.unhex(F.sha2("payload", 256))))
     groups = keyed.filter("sha is not null").groupBy("sha").agg(F.count("*").alias("copies"), F.max(F.struct("id", "url")).alias("keep")).filter("copies > 1").select("sha", "keep")
-    joined = keyed.join(small(materialize(groups, "warc-groups")), "sha", "left")
+    joined = matched(keyed, F.col("sha"), materialize(groups.withColumnRenamed("sha", "__of"), "warc-groups"), "__of", "left")
     again = F.col("keep").isNotNull() & ~F.col("keep.id").eqNullSafe(F.col("id"))
     known = F.when(F.col("id").isNotNull(), F.create_map(F.lit("pageId"), F.col("id").cast("string"))).otherwise(F.create_map().cast("map<string,string>"))
     return joined.select(

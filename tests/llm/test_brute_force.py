@@ -299,6 +299,8 @@ def test_held_out_accuracy(spark):
     assert len(held) > 1000 and sum(labels[i][0] == p for i, p in held.items()) / len(held) >= 0.99
     toxic = {r.doc_id: r.toxic for r in QUERIES["op6_toxicity"](spark, folder).collect() if r.doc_id in held}
     assert sum(labels[i][1] == p for i, p in toxic.items()) / len(toxic) >= 0.97
+    hit, said, there = sum(labels[i][1] and p for i, p in toxic.items()), sum(toxic.values()), sum(labels[i][1] for i in toxic)
+    assert hit / there >= 0.9 and hit / said >= 0.9  # recall and precision
 
 
 def test_samples_are_bounded_whatever_repeats(spark):
