@@ -492,3 +492,27 @@ REVIEW_FOLD_SQL = f"""WITH e AS (SELECT user_id AS doc_id, ts, event_id AS seq,
 
 QUERIES |= {f.__name__: f for f in (term_matches, label_join, review_fold)}
 ORACLE_SQL |= {"term_matches": TERM_SQL, "label_join": LABEL_SQL, "review_fold": REVIEW_FOLD_SQL.replace("arg_max(coalesce(edited_by, '-'), (ts, seq))", "nullif(arg_max(coalesce(edited_by, '-'), (ts, seq)), '-')")}
+
+
+def phase_samples(spark, sf_dir):
+    """Events as starts, ends and samples of users' phases, joined as streams: samples of each interval that the watermark has settled."""
+    e = _streamed(spark, sf_dir, "events")
+    span = F.expr("event_id div 2").alias("span")
+    starts = e.filter("event_id % 2 = 0").select(span, F.col("user_id").alias("run_id"), F.col("event_type").alias("phase"), F.col("ts").alias("start"))
+    ends = e.filter("event_id % 2 = 1 and event_id % 10 <> 1").select(span, F.col("ts").alias("end"))
+    samples = e.select(F.col("user_id").alias("run_id"), F.col("ts").alias("at"), "value")
+    rows, place = streaming.samples_within(streaming.intervals(starts, ends), samples), scratch(spark, "phases")
+    rows.writeStream.format("parquet").option("path", f"{place}/rows").option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    found = streaming.summed(spark.read.schema(rows.schema).parquet(f"{place}/rows"))
+    us = lambda c: F.unix_micros(c).alias(f"{c}_us")
+    return found.select("span", "run_id", "phase", us("start"), us("end"), "n", "low", "high", "mean")
+
+
+PHASE_SAMPLES_SQL = """WITH e AS (SELECT event_id, user_id, event_type, value, epoch_us(CAST(ts AS TIMESTAMP)) AS t FROM events),
+ a AS (SELECT event_id // 2 AS span, user_id AS run_id, event_type AS phase, t AS s FROM e WHERE event_id % 2 = 0), b AS (SELECT event_id // 2 AS span, t AS f FROM e WHERE event_id % 2 = 1 AND event_id % 10 <> 1),
+ w AS (SELECT least((SELECT max(s) FROM a), (SELECT max(f) FROM b), (SELECT max(t) FROM e)) // 1000 * 1000 - 600000000 AS w),
+ i AS (SELECT a.*, f FROM a LEFT JOIN b ON a.span = b.span AND f >= s AND f <= s + 3600000000),
+ k AS (SELECT * FROM i, w WHERE f IS NOT NULL OR s + 3600000000 < w)
+ SELECT k.span, k.run_id, phase, s AS start_us, f AS end_us, count(t) AS n, min(value) AS low, max(value) AS high, round(avg(value), 6) AS mean
+ FROM k LEFT JOIN e ON e.user_id = k.run_id AND t >= s AND t < coalesce(f, s + 3600000000) GROUP BY ALL"""
+QUERIES["phase_samples"], ORACLE_SQL["phase_samples"] = phase_samples, PHASE_SAMPLES_SQL
