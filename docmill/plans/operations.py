@@ -9,7 +9,7 @@ from .. import engine, streaming
 from ..functions import fixed as X
 from ..functions.text import route_ocr
 from ..places import scratch
-from ..operators import catalog, environment, jobs, matching, metadata, monitor, ocr, regions, reports, summarize
+from ..operators import catalog, environment, gates, jobs, matching, metadata, monitor, ocr, regions, reports, summarize
 from . import derive as D
 from .documents import BEST, HITS, TOKENS, docs
 
@@ -516,3 +516,34 @@ PHASE_SAMPLES_SQL = """WITH e AS (SELECT event_id, user_id, event_type, value, e
  SELECT k.span, k.run_id, phase, s AS start_us, f AS end_us, count(t) AS n, min(value) AS low, max(value) AS high, round(avg(value), 6) AS mean
  FROM k LEFT JOIN e ON e.user_id = k.run_id AND t >= s AND t < coalesce(f, s + 3600000000) GROUP BY ALL"""
 QUERIES["phase_samples"], ORACLE_SQL["phase_samples"] = phase_samples, PHASE_SAMPLES_SQL
+
+
+def meta_gates(spark, sf_dir):
+    """Gates over what a transcript's pages were read with: empty pages, low confidence, rejected vision pages, old caches."""
+    d = docs(spark, sf_dir, "doc_id")
+    page = lambda k: F.struct(k.cast("int").alias("page"), F.when((F.col("doc_id") * 7 + k) % 5 == 0, 0).when((F.col("doc_id") + k) % 13 > 0, 100).alias("chars"), ((F.col("doc_id") + k) % 6 == 0).alias("vlm_rejected"))
+    detail = F.transform(F.sequence(F.lit(1).cast("long"), F.col("doc_id") % 60 + 1), page)
+    found = d.withColumn("pages_detail", detail).withColumn("vlm_rejected", F.size(F.filter("pages_detail", lambda p: p["vlm_rejected"])))
+    conf = F.when(F.col("doc_id") % 11 > 0, (F.col("doc_id") % 100).cast("double"))
+    meta = F.struct("pages_detail", conf.alias("conf_media"), "vlm_rejected", (F.col("doc_id") % 3 == 0).alias("legacy"))
+    told = gates.transcript_gates(F.lit(""), meta)
+    return found.select("doc_id", F.array_join(F.transform(told, lambda g: F.concat_ws("|", g["gate"], g["severity"], g["detail"])), "\n").alias("failures"))
+
+
+META_GATES_SQL = """WITH d AS (SELECT doc_id, unnest(range(1, doc_id % 60 + 2)) AS k FROM documents), p AS (SELECT doc_id, k, CASE WHEN (doc_id * 7 + k) % 5 = 0 THEN 0 WHEN (doc_id + k) % 13 > 0 THEN 100 END AS chars, (doc_id + k) % 6 = 0 AS bad FROM d),
+ g AS (SELECT doc_id, count(chars) AS n, count(*) FILTER (WHERE chars = 0) AS empty, list(k ORDER BY k) FILTER (WHERE chars = 0) AS e, count(*) FILTER (WHERE bad) AS rejected, list(k ORDER BY k) FILTER (WHERE bad) AS r FROM p GROUP BY doc_id)
+ SELECT doc_id, concat_ws(chr(10), CASE WHEN empty > 0 THEN 'paginas|' || CASE WHEN empty / n > 0.2 THEN 'error' ELSE 'warning' END || '|' || empty || '/' || n || ' páginas sin texto: [' || array_to_string(e[:10], ', ') || ']' END,
+  CASE WHEN doc_id % 11 > 0 AND doc_id % 100 < 60 THEN 'conf_baja|warning|' || printf('confianza OCR media %.1f < 60.0', CAST(doc_id % 100 AS DOUBLE)) END,
+  CASE WHEN rejected > 0 THEN 'vlm_rechazado|warning|' || rejected || ' página(s) con VLM rechazado (degradadas a Tesseract): [' || array_to_string(r[:10], ', ') || '] — revisar transcripción' END,
+  CASE WHEN doc_id % 3 = 0 THEN 'legacy_cache|warning|transcript de caché legacy (sin métricas de OCR persistidas); usar --retranscribe para regenerar con métricas' END) AS failures FROM g"""
+
+
+def hierarchical_records(spark, sf_dir):
+    """Dry-run summaries of documents by chapters: sections, calls, and what was given to the model."""
+    d = docs(spark, sf_dir, "doc_id", f"{D.CHAPTERED} AS text").withColumn("pages", F.lit(1))
+    made = engine.summary_records(d, lambda: summarize.first_words, "hierarchical", 2000)
+    return made.select("doc_id", "calls", "fed.strategy", F.array_join("fed.parts", ",").alias("parts"), "fed.chars", F.element_at("secciones", F.lit("titulo")).alias("titulo"))
+
+
+QUERIES |= {"meta_gates": meta_gates, "hierarchical_records": hierarchical_records}
+ORACLE_SQL["meta_gates"] = META_GATES_SQL

@@ -45,8 +45,9 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ocr_meta(spark: SparkSession, path: str) -> DataFrame:
-    """OCR metadata of a folder, one ``.meta.json`` file each, with ``readable``: false for a file that is no JSON object."""
-    rows = spark.read.schema(f"{schemas.OCR_META}, _corrupt_record string").option("pathGlobFilter", "*.meta.json").option("multiLine", True).json(path)
+    """OCR metadata of a folder, one ``.meta.json`` file each or as ``write_ocr_meta`` leaves it, with ``readable``: false for a file that is no JSON object."""
+    files = spark.read.schema(f"{schemas.OCR_META}, _corrupt_record string").option("pathGlobFilter", "{*.meta.json,part-*.json}").option("recursiveFileLookup", True)
+    rows = files.option("multiLine", True).json(path)
     named = rows.withColumn("file", F.regexp_replace(F.col("_metadata.file_name"), r"\.meta\.json$", ""))
     kept = named.withColumn("doc_id", F.coalesce("doc_id", "file")).withColumn("readable", F.col("_corrupt_record").isNull()).withColumn("legacy", F.coalesce("legacy", F.lit(False)))
     return kept.withColumnRenamed("ocr_pipeline_version", "pipeline_version").drop("_corrupt_record", "file")
