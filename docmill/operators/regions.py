@@ -7,18 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import GUTTER, REGION_HEIGHT
 from ..functions.text import scan
+from .carry import runs
 
 
 def zero_runs(cells: DataFrame, key: str, pos: str, value: str, min_run: int = 8) -> DataFrame:
     """(key, start, end) of runs of zeros of at least ``min_run`` cells (gaps and islands)."""
-    w = Window.partitionBy(key).orderBy(pos)
-    zeros = cells.filter(F.col(value) == 0).withColumn("island", F.col(pos) - F.row_number().over(w))
-    return (
-        zeros.groupBy(key, "island")
-        .agg(F.min(pos).alias("start"), (F.max(pos) + 1).alias("end"))
-        .filter(F.col("end") - F.col("start") >= min_run)
-        .drop("island")
-    )
+    return runs(cells.filter(F.col(value) == 0), key, pos).filter(F.col("end") - F.col("start") >= min_run)
 
 
 def valid_regions(regions: DataFrame, key: str, order: str, width: Column, height: Column) -> DataFrame:

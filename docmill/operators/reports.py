@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .carry import carried, nearest_rank
+
 
 def ocr_quality(pages: DataFrame, key: str) -> DataFrame:
     """Quality of each document's pages (source, conf, words, chars, vlm_rejected); null means the value is absent."""
@@ -100,32 +102,32 @@ def acceptance(report: DataFrame, min_coverage: float = 0.6) -> DataFrame:
 
 def series_summary(samples: DataFrame, by: list[str], value: str) -> DataFrame:
     """min, max, mean, nearest-rank 95th percentile and last value of a series."""
-    return samples.groupBy(*by).agg(
+    sums = samples.groupBy(*by).agg(
         F.count(value).alias("n"),
         F.round(F.min(value), 6).alias("low"),
         F.round(F.max(value), 6).alias("high"),
         F.round(F.avg(value), 6).alias("mean"),
-        F.round(F.expr(f"percentile_disc(0.95) within group (order by {value})"), 6).alias("p95"),
         F.round(F.max_by(value, F.struct("ts", "event_id")), 6).alias("last"),
     )
+    ranks = nearest_rank(samples, by, value, 0.95).withColumnsRenamed({c: f"__by{k}" for k, c in enumerate(by)})
+    same = [F.col(c).eqNullSafe(F.col(f"__by{k}")) for k, c in enumerate(by)]
+    return sums.join(ranks, same, "left").select(*by, "n", "low", "high", "mean", F.round("rank_value", 6).alias("p95"), "last")
 
 
-def rate(samples: DataFrame, by: str, order: list[str], counter: str, ts: str) -> DataFrame:
+def rate(samples: DataFrame, by: str, order: list[str], counter: str, ts: str, width: float = 3600.0) -> DataFrame:
     """``samples`` with the counter's growth a second since the sample before, in percent; null where time stands still."""
-    w = Window.partitionBy(by).orderBy(*order)
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    gone = at - F.lag(at).over(w)
-    grown = F.col(counter) - F.lag(counter).over(w)
-    return samples.withColumn("percent", F.when(gone > 0, F.round(grown * 100.0 / (gone / 1e6), 6)))
+    now = samples.withColumn("__at", F.unix_micros(F.col(ts).cast("timestamp")))
+    both = carried(now, by, order, F.struct("__at", F.col(counter).alias("c")), "__past", width, before=True)
+    gone, grown = F.col("__at") - F.col("__past.__at"), F.col(counter) - F.col("__past.c")
+    return both.withColumn("percent", F.when(gone > 0, F.round(grown * 100.0 / (gone / 1e6), 6))).drop("__at", "__past")
 
 
-def asof_context(samples: DataFrame, contexts: DataFrame, key: str, ts: str, context: str) -> DataFrame:
-    """``samples`` with the latest context set at or before each, by one ordered pass over both."""
+def asof_context(samples: DataFrame, contexts: DataFrame, key: str, ts: str, context: str, width: float = 3600.0) -> DataFrame:
+    """``samples`` with the latest context set at or before each, by one ordered pass over the cells of both."""
     both = samples.withColumn("__c", F.lit(None).cast(contexts.schema[context].dataType)).withColumn("__s", F.lit(1)).unionByName(
         contexts.select(key, ts, F.col(context).alias("__c"), F.lit(0).alias("__s")), allowMissingColumns=True
     )
-    w = Window.partitionBy(key).orderBy(ts, "__s").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(context, F.last("__c", ignorenulls=True).over(w)).filter("__s = 1").drop("__c", "__s")
+    return carried(both, key, [ts, "__s"], F.col("__c"), context, width).filter("__s = 1").drop("__c", "__s")
 
 
 def compare_techniques(rows: DataFrame, baseline: str) -> DataFrame:
