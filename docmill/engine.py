@@ -275,7 +275,8 @@ class Engine:
         files.write_records(self.records(), path)
 
     def export_lilacs(self, path: str) -> None:
-        files.write_records(catalog.lilacs(self._results()).select("record.*"), path)
+        """The records as one JSON array in the file ``path``."""
+        files.write_json_file(catalog.lilacs(self._results()).select("record.*"), path)
 
     def export_bibframe(self, path: str, pdf: DataFrame) -> DataFrame:
         """Write the records, merged with PDF metadata (see sources.pdf_info); (doc_id, motivo) of the documents without one."""

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..places import opened
 from . import schemas
 
 #: Bytes of a PDF that the service and the worker take.
@@ -110,3 +114,66 @@ def write_json_array(df: DataFrame, path: str) -> None:
         yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], ["value"])
 
     df.select(F.to_json(F.struct("*")).alias("value")).repartition(1).mapInArrow(run, "value string").write.text(path)
+
+
+def write_json_file(df: DataFrame, path: str) -> None:
+    """The records as the elements of one JSON array, in the one file ``path``, which is there whole or not at all.
+
+    Tasks write their records, a comma behind each, as files of their own; the sizes of those give each its place in the array, and
+    where the file system allows it, tasks copy them there side by side. Elsewhere one task streams them one after the other. Only sizes pass through the driver.
+    """
+    spark, draft = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    df.select(F.to_json(F.struct("*")).alias("value")).write.option("lineSep", ",\n").text(f"{draft}-parts")
+    store, whole = opened(draft)
+    parts = sorted((f.path, f.size) for f in store.get_file_info(fs.FileSelector(f"{whole}-parts")) if f.is_file and f.size and "/part-" in f.path)
+    places = list(accumulate((size for _, size in parts), initial=2))
+    try:
+        if isinstance(store, fs.LocalFileSystem):
+            _place_parts(spark, whole, parts, places)
+        else:
+            _stream_parts(spark, draft, parts)
+        store.move(whole, opened(path)[1])
+    finally:
+        store.delete_dir(f"{whole}-parts")
+
+
+def _place_parts(spark: SparkSession, whole: str, parts: list[tuple[str, int]], places: list[int]) -> None:
+    end = places[-1] - 2 if parts else 2  # the last comma and line end go
+    with open(whole, "wb") as out:
+        out.write(b"[\n")
+        out.truncate(end)
+
+    def copy(rows: Iterator) -> None:
+        for r in rows:
+            with open(r["part"], "rb") as part, open(whole, "r+b") as out:
+                out.seek(r["place"])
+                left = r["size"]
+                while left:
+                    got = part.read(min(left, 1 << 20))
+                    out.write(got)
+                    left -= len(got)
+
+    sizes = [size - (2 if k + 1 == len(parts) else 0) for k, (_, size) in enumerate(parts)]
+    if parts:
+        asked = [(p, at, size) for (p, _), at, size in zip(parts, places, sizes)]
+        spark.createDataFrame(asked, "part string, place long, size long").repartition(min(len(asked), spark.sparkContext.defaultParallelism)).foreachPartition(copy)
+    with open(whole, "ab") as out:
+        out.write(b"\n]\n" if parts else b"]\n")
+
+
+def _stream_parts(spark: SparkSession, draft: str, parts: list[tuple[str, int]]) -> None:
+    def copy(rows: Iterator) -> None:
+        for r in rows:
+            store, whole = opened(r["draft"])
+            with store.open_output_stream(whole) as out:
+                out.write(b"[\n")
+                for k, (part, size) in enumerate(parts):
+                    left = size - (2 if k + 1 == len(parts) else 0)
+                    with store.open_input_stream(part) as given:
+                        while left:
+                            got = given.read(min(left, 1 << 20))
+                            out.write(got)
+                            left -= len(got)
+                out.write(b"\n]\n" if parts else b"]\n")
+
+    spark.createDataFrame([(draft,)], "draft string").coalesce(1).foreachPartition(copy)
