@@ -248,7 +248,8 @@ def region_valid(spark, sf_dir):
 
 
 def reading_order(spark, sf_dir):
-    r = regions.reading_order(_regions(spark, sf_dir).distinct(), "page")
+    boxes = _regions(spark, sf_dir).select("page", "left", "top", "right", "bottom").distinct()
+    r = regions.reading_order(boxes, "page")
     return r.select("page", F.array_join(F.transform("regions", lambda x: F.concat_ws(":", x["left"], x["top"])), ",").alias("order"))
 
 
