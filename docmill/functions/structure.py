@@ -15,9 +15,10 @@ def cut(text: Column, start: Column | int, size: Column | int) -> Column:
     return F.substring(text, F.lit(start) + 1 if isinstance(start, int) else start + 1, F.lit(size) if isinstance(size, int) else size)
 
 
-def section_start(text: Column, name: str) -> Column:
-    """Offset of a section's first heading, null without one."""
-    found = F.regexp_extract(text, rf"(?s)^(.*?)(?=(?m:^)\s*(?iu:{X.STRUCTURE[name]}){NOT_WORD_AFTER})", 1)
+def section_start(text: Column, name: str, blank: bool = True) -> Column:
+    """Offset of a section's first heading, null without one; blank lines before it are its own unless ``blank`` is false."""
+    words, line = rf"(?iu:{X.STRUCTURE[name]}){NOT_WORD_AFTER}", r"(?dm:^)\s*"
+    found = F.regexp_extract(text, rf"(?s)^(.*?)(?={line}{words})" if blank else rf"(?s)^(.*?{line})(?={words})", 1)
     return F.when(text.rlike(heading(X.STRUCTURE[name])), F.length(found))
 
 
@@ -28,7 +29,10 @@ def sections(text: Column) -> Column:
 
 
 def excerpt(text: Column, doc_type: Column, max_chars: int = X.MAX_CHARS) -> Column:
-    """struct<text, parts, truncated, strategy>: what a model is given of a document."""
+    """struct<text, parts, truncated, strategy>: what a model is given of a document.
+
+    A window begins with its heading, so blank lines before that take nothing of the window's share.
+    """
 
     def made(body: Column, parts: Column, truncated: Column, strategy: str) -> Column:
         return F.struct(body.alias("text"), parts.alias("parts"), truncated.alias("truncated"), F.lit(strategy).alias("strategy"))
@@ -39,7 +43,7 @@ def excerpt(text: Column, doc_type: Column, max_chars: int = X.MAX_CHARS) -> Col
     start = F.struct(F.lit("").alias("text"), F.array().cast("array<string>").alias("used"), F.lit(0).alias("total")).cast(shape)
 
     def window(name: str, share: float) -> Column:
-        at = section_start(text, name)
+        at = section_start(text, name, False)
         return F.struct(F.lit(name).alias("name"), F.when(at.isNotNull(), strip(cut(text, at, int(max_chars * share)))).alias("body"))
 
     article = F.filter(F.array(window("abstract", 0.4), window("introducao", 0.3), window("conclusao", 0.3)), lambda w: w["body"].isNotNull())
@@ -54,7 +58,7 @@ def excerpt(text: Column, doc_type: Column, max_chars: int = X.MAX_CHARS) -> Col
 
     art = F.aggregate(article, start, add_article)
     head = strip(cut(text, 0, int(max_chars * 0.25)))
-    offsets = F.array(*[F.struct(F.lit(n).alias("name"), section_start(text, n).alias("at")) for n in ("apresentacao", "sumario", "introducao")])
+    offsets = F.array(*[F.struct(F.lit(n).alias("name"), section_start(text, n, False).alias("at")) for n in ("apresentacao", "sumario", "introducao")])
     first = F.struct(
         head.alias("text"), F.when(head != "", F.array(F.lit("portada"))).otherwise(F.array().cast("array<string>")).alias("used"), F.length(head).alias("total")
     ).cast(shape)

@@ -21,3 +21,12 @@ def test_equal_boxes_of_one_page_are_read_once(spark, tmp_path):
     rows = [(7, n, part, 3, 20.0, price) for n, part, price in ((1, 12, 5.0), (2, 12, 9.0), (3, 62, 1.0))]
     schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double"
     assert differs(spark, tmp_path, "reading_order", "lineitem", rows, schema) == ""
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_blank_lines_before_a_heading_take_nothing_of_its_window(spark, tmp_path):
+    texts = {1: "a" * 399 + "\n" + "b " * 2500, 16: "a" * 396 + " \n \n" + "b" * 5000, 31: "a" * 400 + "b" * 5000}
+    rows = [(k, t, "es", "s", len(t)) for k, t in texts.items()]
+    assert differs(spark, tmp_path, "excerpt_plan", "documents", rows, DOCUMENTS) == ""
