@@ -3,12 +3,16 @@
 Images are rows with ``width``, ``height`` and ``pixels`` (gray bytes, rows first). Each function is
 a map over Arrow batches without a shuffle; pages are independent, and one page at a time is held as an
 array. A row without pixels gives null measures and no boxes.
+
+Measures also take a ``Source`` in place of pixels: a column and what makes the gray page of its value (a
+decoder, a drawing). Such pages are made where they are measured and never cross to a worker.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any, NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,50 +29,83 @@ BOX = "array<struct<left:int,top:int,right:int,bottom:int>>"
 Engine = Callable[["raster.np.ndarray"], tuple[str, str | None]]
 
 
-def _pages(df: DataFrame, keys: list[str], fields: str, each: Callable) -> DataFrame:
+#: Rows, and bytes of their pixels, that one batch of results has at most; a larger page is a batch of its own.
+ROWS, BYTES = 256, 4 << 20
+
+
+class Source(NamedTuple):
+    """A column, and the function that makes the gray page of its value; that gives None where there is no page."""
+
+    column: str
+    page: Callable[[Any], raster.np.ndarray | None]
+
+
+def _pixels(pixels: bytes | None, width: int | None, height: int | None) -> raster.np.ndarray | None:
+    return raster.gray(pixels, width, height) if pixels is not None and width and height else None
+
+
+def _pages(df: DataFrame, keys: list[str], fields: str, each: Callable, source: Source | None = None) -> DataFrame:
     """Rows that ``each`` gives for every image, behind the image's keys; ``each`` gets None for a row without pixels."""
-    kept = df.select(*keys, "width", "height", "pixels")
+    columns, made = ([source.column], source.page) if source else (["pixels", "width", "height"], _pixels)
+    kept = df.select(*keys, *columns)
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = df.sparkSession.createDataFrame([], f"{kinds}, {fields}").schema
     arrow, n = to_arrow_schema(schema), len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for b in batches:
             for k in range(b.num_rows):
-                row = [b.column(c)[k].as_py() for c in range(n + 3)]
-                whole = row[n + 2] is not None and row[n] and row[n + 1]
-                for out in each(raster.gray(row[n + 2], row[n], row[n + 1]) if whole else None):
-                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip([*row[:n], *out], arrow)], schema=arrow)
+                row = [b.column(c)[k].as_py() for c in range(b.num_columns)]
+                for out in each(made(*row[n:])):
+                    size = sum(len(v) for v in out if isinstance(v, bytes))
+                    if rows and (len(rows) >= ROWS or held + size > BYTES):
+                        yield _batch(rows, arrow)
+                        rows, held = [], 0
+                    rows.append([*row[:n], *out])
+                    held += size
+        if rows:
+            yield _batch(rows, arrow)
 
     return kept.mapInArrow(run, schema)
 
 
+def _batch(rows: list[list], arrow: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), arrow)], schema=arrow)
+
+
+def paged(df: DataFrame, source: Source, *keys: str) -> DataFrame:
+    """(keys, width, height, pixels): the pages of a source as a table."""
+    each = lambda p: [(None, None, None) if p is None else (p.shape[1], p.shape[0], p.tobytes())]
+    return _pages(df, list(keys), "width int, height int, pixels binary", each, source)
+
+
 def _structs(found) -> list[dict[str, int]]:
     return [dict(zip(("left", "top", "right", "bottom"), map(int, b))) for b in found]
 
 
-def ink(df: DataFrame, *keys: str) -> DataFrame:
+def ink(df: DataFrame, *keys: str, source: Source | None = None) -> DataFrame:
     """(keys, ink): share of dark pixels."""
-    return _pages(df, list(keys), "ink double", lambda p: [(None if p is None else raster.ink_fraction(p),)])
+    return _pages(df, list(keys), "ink double", lambda p: [(None if p is None else raster.ink_fraction(p),)], source)
 
 
-def columns(df: DataFrame, *keys: str) -> DataFrame:
+def columns(df: DataFrame, *keys: str, source: Source | None = None) -> DataFrame:
     """(keys, boxes): the page's columns."""
-    return _pages(df, list(keys), f"boxes {BOX}", lambda p: [(_structs([] if p is None else raster.boxes(p, True)),)])
+    return _pages(df, list(keys), f"boxes {BOX}", lambda p: [(_structs([] if p is None else raster.boxes(p, True)),)], source)
 
 
-def regions(df: DataFrame, *keys: str) -> DataFrame:
+def regions(df: DataFrame, *keys: str, source: Source | None = None) -> DataFrame:
     """(keys, boxes): valid blocks of the page in reading order."""
 
     def each(page):
         return [(_structs([] if page is None else raster.readable(raster.boxes(page), page.shape[1], page.shape[0])),)]
 
-    return _pages(df, list(keys), f"boxes {BOX}", each)
+    return _pages(df, list(keys), f"boxes {BOX}", each, source)
 
 
-def skew(df: DataFrame, *keys: str) -> DataFrame:
+def skew(df: DataFrame, *keys: str, source: Source | None = None) -> DataFrame:
     """(keys, angle): degrees to turn the page by."""
-    return _pages(df, list(keys), "angle double", lambda p: [(None if p is None else raster.skew(p),)])
+    return _pages(df, list(keys), "angle double", lambda p: [(None if p is None else raster.skew(p),)], source)
 
 
 def straighten(df: DataFrame, *keys: str) -> DataFrame:

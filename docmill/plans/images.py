@@ -1,7 +1,8 @@
-"""Queries over page images, which are drawn from the texts of ``documents`` by column functions."""
+"""Queries over page images, which are drawn from the texts of ``documents`` where they are measured."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,33 +13,46 @@ from .documents import docs
 ROW, WIDTH = 52, 256
 
 
-def drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, width, height, pixels): each code point is 4 by 8 pixels, dark unless blank.
+def _drawing(text: str | None) -> np.ndarray:
+    """A text as a gray page: each code point is 4 by 8 pixels, dark unless blank.
 
     A row has 26 code points, a gutter of 48 pixels and 26 more; 32 white rows of pixels follow every eighth row.
     """
-    n = "greatest(1, cast(ceil(length(text) / 52.0) as int))"
-    dark = r"regexp_replace(regexp_replace(regexp_replace(text, '[^\\x20\\x09-\\x0D]', '#'), '[\\x20\\x09-\\x0D]', 'FFFFFFFF'), '#', '00000000')"
-    row = "repeat(substring(h, r * 416 + 1, 208) || repeat('F', 96) || substring(h, r * 416 + 209, 208), 8) || if(r % 8 = 7, repeat('F', 16384), '')"
-    d = docs(spark, sf_dir, "doc_id", "coalesce(text, '') AS text").selectExpr("doc_id", f"{n} AS n", f"{dark} AS h")
-    d = d.selectExpr("doc_id", "n", "rpad(h, n * 416, 'F') AS h")
-    pixels = f"unhex(array_join(transform(sequence(0, n - 1), r -> {row}), ''))"
-    return d.select("doc_id", F.lit(WIDTH).alias("width"), F.expr("cast(8 * n + 32 * floor(n / 8) as int)").alias("height"), F.expr(pixels).alias("pixels"))
+    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = max(1, -(-len(points) // ROW))
+    cells = np.full(n * ROW, 255, np.uint8)
+    cells[: len(points)] = np.where((points == 32) | (points - 9 < 5), 255, 0)
+    cells = cells.reshape(n, 2, ROW // 2)
+    lines = np.full((n, WIDTH), 255, np.uint8)
+    lines[:, : 2 * ROW], lines[:, -2 * ROW :] = cells[:, 0].repeat(4, 1), cells[:, 1].repeat(4, 1)
+    whole = n // 8
+    page = np.full((8 * n + 32 * whole, WIDTH), 255, np.uint8)
+    page[: 96 * whole].reshape(whole, 96, WIDTH)[:, :64].reshape(whole, 8, 8, WIDTH)[:] = lines[: 8 * whole].reshape(whole, 8, 1, WIDTH)
+    page[96 * whole :].reshape(-1, 8, WIDTH)[:] = lines[8 * whole :, None]
+    return page
+
+
+DRAWING = images.Source("text", _drawing)
+
+
+def drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, width, height, pixels): the drawings as a table, for what takes pixels."""
+    return images.paged(docs(spark, sf_dir, "doc_id", "text"), DRAWING, "doc_id")
 
 
 def page_ink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ink): share of dark pixels of each drawn text."""
-    return images.ink(drawn(spark, sf_dir), "doc_id")
+    return images.ink(docs(spark, sf_dir, "doc_id", "text"), "doc_id", source=DRAWING)
 
 
 def page_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, angle): angle that levels each drawn text."""
-    return images.skew(drawn(spark, sf_dir), "doc_id")
+    return images.skew(docs(spark, sf_dir, "doc_id", "text"), "doc_id", source=DRAWING)
 
 
 def page_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ord, left, top, right, bottom): blocks of each drawn text in reading order."""
-    found = images.regions(drawn(spark, sf_dir), "doc_id")
+    found = images.regions(docs(spark, sf_dir, "doc_id", "text"), "doc_id", source=DRAWING)
     return found.select("doc_id", F.posexplode("boxes").alias("ord", "b")).select("doc_id", "ord", "b.*")
 
 

@@ -2,7 +2,9 @@
 
 import os
 
+from docmill.operators import images
 from docmill.plans import ORACLE_SQL, QUERIES
+from docmill.plans.images import DRAWING, drawn
 from oracle import TABLES, differences
 
 SF = "/root/testdata/sf0.001"
@@ -30,3 +32,24 @@ def test_blank_lines_before_a_heading_take_nothing_of_its_window(spark, tmp_path
     texts = {1: "a" * 399 + "\n" + "b " * 2500, 16: "a" * 396 + " \n \n" + "b" * 5000, 31: "a" * 400 + "b" * 5000}
     rows = [(k, t, "es", "s", len(t)) for k, t in texts.items()]
     assert differs(spark, tmp_path, "excerpt_plan", "documents", rows, DOCUMENTS) == ""
+
+
+DRAWN = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, greatest(1, cast(ceil(length(coalesce(text, '')) / 52.0) as int)) AS n FROM documents),
+ e AS (SELECT doc_id, n, rpad(regexp_replace(regexp_replace(regexp_replace(text, '[^\\x20\\x09-\\x0D]', '#'), '[\\x20\\x09-\\x0D]', 'FFFFFFFF'), '#', '00000000'), n * 416, 'F') AS h FROM d)
+ SELECT doc_id, 256 AS width, cast(8 * n + 32 * floor(n / 8) as int) AS height, unhex(array_join(transform(sequence(0, n - 1),
+  r -> repeat(substring(h, r * 416 + 1, 208) || repeat('F', 96) || substring(h, r * 416 + 209, 208), 8) || if(r % 8 = 7, repeat('F', 16384), '')), '')) AS pixels FROM e"""
+
+
+def test_pages_are_drawn_where_they_are_measured(spark, tmp_path):
+    texts = [None, "", " ", "x " * 26, "ab c\n" * 300, "é\U0001f600\t\x0b\x1f\xa0" * 90, "w" * 416, "w" * 417]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(str(tmp_path / "documents.parquet")).createOrReplaceTempView("documents")
+    want = {tuple(r) for r in spark.sql(DRAWN).collect()}
+    assert {tuple(r) for r in drawn(spark, str(tmp_path)).collect()} == want
+    for measure in (images.ink, images.skew, images.regions, images.columns):
+        pixels = measure(drawn(spark, str(tmp_path)), "doc_id")
+        texts = measure(spark.table("documents"), "doc_id", source=DRAWING)
+        assert sorted(texts.collect()) == sorted(pixels.collect())
+        assert "pixels" not in texts._jdf.queryExecution().toString()
+    for name in ("page_ink", "page_skew", "page_regions"):
+        assert "pixels" not in QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().toString()
