@@ -2,6 +2,10 @@
 
 import os
 
+import numpy as np
+import pytest
+
+from docmill.functions import raster
 from docmill.operators import images
 from docmill.plans import ORACLE_SQL, QUERIES
 from docmill.plans.images import DRAWING, drawn
@@ -53,3 +57,23 @@ def test_pages_are_drawn_where_they_are_measured(spark, tmp_path):
         assert "pixels" not in texts._jdf.queryExecution().toString()
     for name in ("page_ink", "page_skew", "page_regions"):
         assert "pixels" not in QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("height,width", [(1, 1), (2, 64), (3, 64), (90, 64), (601, 64), (77, 33), (40, 300)])
+def test_turns_by_tables_equal_turns_of_the_page(height, width):
+    rng = np.random.default_rng(height)
+    mask = rng.random((height, width)) < 0.6
+    guard = 2 * width
+    for degrees in (-3.25, -0.5, 0.25, 3.0):
+        want = raster.turned(np.where(mask, 255, 0).astype(np.uint8), degrees, 0).sum(1)
+        for rows in (0, 512):  # tables that are made for the page, and such that are kept
+            turns = raster._Turns(width, height % 2, degrees)
+            turns.grow(rows)
+            assert (turns.sums(raster._codes(mask, guard), height, guard) == want).all()
+
+
+def test_equal_cells_of_the_mask_equal_others():
+    page = np.where(np.random.default_rng(5).random((96, 64)) < 0.03, 0, 255).astype(np.uint8)
+    starts = np.arange(0, 96, 4), np.arange(0, 64, 4)
+    want = np.logical_or.reduceat(np.logical_or.reduceat(page < 200, starts[0], 0), starts[1], 1)
+    assert (raster.ink_mask(page) == want).all()
