@@ -32,6 +32,10 @@ from .sections import dedup_lines
 OUTCOME = {"sections": "map<string,string>", "error": "string", "attempts": "int", "seconds": "double"}
 
 
+#: Rows that a worker holds as Python objects at once.
+ROWS = 256
+
+
 def _labels(template: str, lang: str) -> dict[str, str]:
     at = X.LABEL_LANGS.index(lang) if lang in X.LABEL_LANGS else 0
     return {X.LABELS[k][at]: k for k in X.TEMPLATES.get(template, X.TEMPLATES["C"])}
@@ -93,7 +97,7 @@ def call_model(rows: DataFrame, factory: Callable[[], Summarizer], retries: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summarize = factory()
-        for b in batches:
+        for b in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             sent = b.select(["text", "lang", "template", *OUTCOME]).to_pylist()
             for r in sent:
                 if r["text"] is None:
@@ -152,8 +156,11 @@ def plan_parts(docs: DataFrame, strategy: str = "excerpt", max_chars: int = X.MA
         parts = one
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    chapters = typed.select("row_key", "doc_id", "lang", "template", F.size(parts).alias("chapters"), F.posexplode(parts).alias("chapter", "of"))
-    cut = chapters.select("row_key", "doc_id", "chapter", "chapters", F.size("of.texts").alias("blocks"), F.posexplode("of.texts").alias("block", "text"), "lang", "template", "of.fed")
+    # What stands beside an explode is worked out for each of its rows, so all but the explode comes before it.
+    planned = typed.select("row_key", "doc_id", "lang", "template", parts.alias("parts")).withColumn("chapters", F.size("parts"))
+    chapters = planned.select("row_key", "doc_id", "lang", "template", "chapters", F.posexplode("parts").alias("chapter", "of"))
+    sized = chapters.select("row_key", "doc_id", "chapter", "chapters", F.size("of.texts").alias("blocks"), "lang", "template", "of.fed", "of.texts")
+    cut = sized.select("row_key", "doc_id", "chapter", "chapters", "blocks", F.posexplode("texts").alias("block", "text"), "lang", "template", "fed")
     return cut.dropDuplicates(["row_key", "chapter", "block"])
 
 

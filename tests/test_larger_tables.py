@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from docmill.functions import raster
-from docmill.operators import images
+from docmill.operators import images, summarize
 from docmill.plans import ORACLE_SQL, QUERIES
 from docmill.plans.images import DRAWING, drawn
 from oracle import TABLES, differences
@@ -77,3 +77,28 @@ def test_equal_cells_of_the_mask_equal_others():
     starts = np.arange(0, 96, 4), np.arange(0, 64, 4)
     want = np.logical_or.reduceat(np.logical_or.reduceat(page < 200, starts[0], 0), starts[1], 1)
     assert (raster.ink_mask(page) == want).all()
+
+
+@pytest.mark.parametrize("strategy", ["blocks", "hierarchical"])
+def test_parts_are_planned_once_for_a_document(spark, strategy):
+    docs = spark.createDataFrame([(1, "Capítulo\n\n3\nTITULO\n" + "x " * 90, 1)], "doc_id int, text string, pages int")
+    rows = summarize.plan_parts(docs, strategy, 100)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # the lines above the first explode, which are worked out for each of its rows, split no text
+    above = plan[: plan.rindex("Generate")]
+    assert "Generate" in above and "regexp_extract_all" not in above and "split(" not in above
+    assert rows.count() == len({(r.chapter, r.block) for r in rows.collect()}) > 0
+
+
+def test_chapters_are_covered_once_for_a_document(spark):
+    plan = QUERIES["chapter_split"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan[: plan.index("Generate")]
+
+
+def test_model_calls_hold_few_rows(spark):
+    def factory():
+        return lambda text, lang, template: {"k": text}
+
+    rows = spark.range(3 * summarize.ROWS + 1).selectExpr("id", "cast(id as string) AS text", "'es' AS lang", "'C' AS template").coalesce(1)
+    done = summarize.call_model(rows, factory).collect()
+    assert len(done) == 3 * summarize.ROWS + 1 and all(r.sections == {"k": str(r.id)} and r.attempts == 1 for r in done)
