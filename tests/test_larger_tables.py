@@ -1,11 +1,14 @@
 """Faults that showed on larger tables only, on small tables that hold their cause."""
 
 import os
+import unicodedata
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docmill.functions import raster
+from docmill.functions.unicode import nfc, nfd
 from docmill.operators import images, summarize
 from docmill.plans import ORACLE_SQL, QUERIES
 from docmill.plans.images import DRAWING, drawn
@@ -102,3 +105,11 @@ def test_model_calls_hold_few_rows(spark):
     rows = spark.range(3 * summarize.ROWS + 1).selectExpr("id", "cast(id as string) AS text", "'es' AS lang", "'C' AS template").coalesce(1)
     done = summarize.call_model(rows, factory).collect()
     assert len(done) == 3 * summarize.ROWS + 1 and all(r.sections == {"k": str(r.id)} and r.attempts == 1 for r in done)
+
+
+def test_clusters_that_are_alike_are_worked_out_once(spark):
+    texts = ["éạ̇ é 한글 " * 40 + "q̣̇", "한" * 30 + "ÅÅÅ" * 9, "plain", ""]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", nfc(F.col("t")).alias("c"), nfd(F.col("t")).alias("d"))
+    for r in found.collect():
+        assert (r.c, r.d) == (unicodedata.normalize("NFC", r.t), unicodedata.normalize("NFD", r.t))
+    assert "array_distinct(" in found._jdf.queryExecution().analyzed().toString()
