@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docmill.functions import raster
+from docmill.functions.text import lexical_overlap
 from docmill.functions.unicode import nfc, nfd
 from docmill.operators import images, summarize
 from docmill.plans import ORACLE_SQL, QUERIES
@@ -113,3 +114,10 @@ def test_clusters_that_are_alike_are_worked_out_once(spark):
     for r in found.collect():
         assert (r.c, r.d) == (unicodedata.normalize("NFC", r.t), unicodedata.normalize("NFD", r.t))
     assert "array_distinct(" in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_base_words_are_folded_once(spark):
+    rows = [("Ação rápida", ["acao", "AÇÃO", "ação", "rápida", "ção", "lento"]), ("x", ["abc"]), ("x", []), ("", ["abcd", "abcd"])]
+    found = spark.createDataFrame(rows, "v string, b array<string>").select(lexical_overlap(F.col("v"), F.col("b")).alias("o"))
+    assert [r.o for r in found.collect()] == [2 / 3, 1.0, 1.0, 0.0]
+    assert "transform(array_distinct(filter(" in found._jdf.queryExecution().analyzed().toString()
