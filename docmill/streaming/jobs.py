@@ -10,8 +10,12 @@ With ``lease``, an attempt that neither succeeds nor fails within so many second
 that has attempts left becomes ``pending`` after so many seconds times its attempts. Both are timers in event time, which the state store
 keeps over restarts.
 
-Every change of a job is a row with the job's ``version``. A restart from the checkpoint may write a micro-batch again, with the
-same versions; the view of the latest version of each key is then the same.
+Without timers a job is one streaming aggregate of native functions. It also keeps the time of the micro-batch that first brought each of these
+attempts, so a job whose state, attempts and error are as before gives no row. With timers a processor in Python handles each key.
+
+Every change of a job is a row with the job's ``version``, ascending: the processor counts the changes of the job, the aggregate's are the numbers of
+the micro-batches. A restart from the checkpoint may write a micro-batch again, with the
+same versions; the view of the latest version of each key is then the same. A checkpoint goes on only in the way it was begun, with timers or without.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
@@ -108,36 +112,58 @@ class JobProcessor(StatefulProcessor):
 
 
 def job_changes(events: DataFrame, max_retries: int = 2, lease: float | None = None, backoff: float | None = None, late: str = "0 seconds") -> DataFrame:
-    """The changes of jobs, a stream, from a stream of events (key, n, kind, at, error); needs the RocksDB state store."""
-    known = events.filter(F.col("kind").isin(*KINDS) & F.col("key").isNotNull())
-    timed = lease is not None or backoff is not None
-    if timed:
-        known = known.withWatermark("at", late)
-    slim = known.select(F.col("key").cast("string").alias("key"), "n", "kind", F.unix_millis("at").alias("at_ms"), "error", *(["at"] if timed else []))
-    return slim.groupBy("key").transformWithState(JobProcessor(max_retries, lease, backoff), CHANGE, "Update", "EventTime" if timed else "None")
+    """The changes of jobs, a stream, from a stream of events (key, n, kind, at, error); with timers it needs the RocksDB state store.
+
+    Without timers the rows have no ``version`` yet; ``keep_jobs`` puts the number of the micro-batch, from 1.
+    """
+    if lease is None and backoff is None:
+        # the same time for all rows of a micro-batch, also when it is run again
+        now = F.unix_micros(F.current_timestamp())
+        # the sorts before the aggregate hold a share of each file's part only, and a key of many events stays in as many tasks as read it
+        events = events.select("key", "n", "kind", "error", F.spark_partition_id().alias("split")).repartition("key", "split")
+        return _folded(events, max_retries, now).filter(F.col("since") == now).drop("since")
+    known = events.filter(F.col("kind").isin(*KINDS) & F.col("key").isNotNull()).withWatermark("at", late)
+    slim = known.select(F.col("key").cast("string").alias("key"), "n", "kind", F.unix_millis("at").alias("at_ms"), "error", "at")
+    return slim.groupBy("key").transformWithState(JobProcessor(max_retries, lease, backoff), CHANGE, "Update", "EventTime")
+
+
+def _folded(events: DataFrame, max_retries: int, time: Column) -> DataFrame:
+    """(key, state, attempts, error, exhausted, since) of a table or stream of events that came at ``time``, long: since when the rest holds."""
+    limit = max_retries + 1
+    known = events.filter(F.col("kind").isin(*KINDS) & F.col("key").isNotNull()).select(F.col("key").cast("string").alias("key"), "n", "kind", "error", time.alias("t"))
+    counts = F.col("n").between(1, limit)
+    of = lambda kind, *kept: F.when(counts & (F.col("kind") == kind), F.struct("n", *kept))
+    early = (-F.col("t")).alias("t")  # the first of the times at which a greatest one came
+    kept = known.groupBy("key").agg(
+        F.min("t").alias("known"),
+        F.min(of("succeeded", "t")).alias("won"),
+        F.max(of("started", early)).alias("started"),
+        F.max(of("failed", F.coalesce("error", F.lit("")).alias("e"), "error", early)).alias("f"),
+    )
+    last = F.greatest(F.coalesce("started.n", F.lit(0)), F.coalesce("f.n", F.lit(0)))
+    won, lost = F.col("won").isNotNull(), F.col("won").isNull() & F.coalesce(F.col("f.n") == last, F.lit(False))
+    chosen = lambda done, failed, running, pending: F.when(won, done).when(lost, failed).when(F.col("started").isNotNull(), running).otherwise(pending)
+    return kept.select(
+        "key",
+        chosen("done", "failed", "running", "pending").alias("state"),
+        F.coalesce("won.n", last).cast("int").alias("attempts"),
+        F.when(lost, F.col("f.error")).alias("error"),
+        (lost & (last >= limit)).alias("exhausted"),
+        chosen(F.col("won.t"), -F.col("f.t"), -F.col("started.t"), F.col("known")).alias("since"),
+    )
 
 
 def job_table(events: DataFrame, max_retries: int = 2) -> DataFrame:
     """(key, state, attempts, error, exhausted) of a table of events by the same rules, without timers: one grouped aggregate."""
-    limit = max_retries + 1
-    counts = F.col("n").between(1, limit)
-    of = lambda kind: F.when(counts & (F.col("kind") == kind), F.col("n"))
-    failed = F.max(F.when(counts & (F.col("kind") == "failed"), F.struct("n", F.coalesce("error", F.lit("")).alias("e"), "error")))
-    kept = (
-        events.filter(F.col("kind").isin(*KINDS) & F.col("key").isNotNull())
-        .groupBy(F.col("key").cast("string").alias("key"))
-        .agg(F.min(of("succeeded")).alias("won"), F.coalesce(F.max(of("started")), F.lit(0)).alias("started"), failed.alias("f"))
-    )
-    last = F.greatest("started", F.coalesce("f.n", F.lit(0)))
-    lost = F.col("won").isNull() & (F.col("f.n") == last)
-    state = F.when(F.col("won").isNotNull(), "done").when(lost, "failed").when(F.col("started") > 0, "running").otherwise("pending")
-    return kept.select("key", state.alias("state"), F.coalesce("won", last).cast("int").alias("attempts"), F.when(lost, F.col("f.error")).alias("error"), F.coalesce(lost & (last >= limit), F.lit(False)).alias("exhausted"))
+    return _folded(events, max_retries, F.lit(0).cast("long")).drop("since")
 
 
 def keep_jobs(changes: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Append the changes to a table below ``path``, a folder for each micro-batch, which a repeated one replaces."""
 
     def write(batch: DataFrame, number: int) -> None:
+        if "version" not in batch.columns:
+            batch = batch.withColumn("version", F.lit(number + 1).cast("int"))
         batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
 
     writer = changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)

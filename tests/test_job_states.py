@@ -92,3 +92,30 @@ def test_timers_fail_lost_attempts_and_give_failed_jobs_back(spark, tmp_path):
     assert seen[-1]["good"] == ("done", 1, None, False) and seen[-1]["clock"] == ("done", 1, None, False)
     rows = spark.read.option("basePath", out).parquet(out)
     assert rows.groupBy("key", "version").count().filter("count > 1").isEmpty()
+
+
+def test_without_timers_no_key_is_handled_in_python_and_only_changes_are_written(spark, tmp_path):
+    box, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    day = "2024-01-01 00:00:00"
+    steps = [
+        [("a", 0, "submitted", day, None), ("b", 2, "started", day, None), ("c", 1, "failed", day, "e1"), ("d", 1, "succeeded", day, None), ("e", 1, "failed", day, "w")],
+        [("a", 0, "submitted", day, None), ("b", 1, "started", day, None), ("b", 1, "failed", day, "x"), ("c", 1, "failed", day, "e0"), ("d", 2, "failed", day, "x"), ("d", 1, "succeeded", day, None), ("e", 1, "failed", day, "w"), ("a", 9, "started", day, None)],
+        [("a", 1, "started", day, None), ("b", 2, "failed", day, "y"), ("c", 1, "failed", day, "e2"), ("e", 3, "failed", day, "z")],
+        [("d", 3, "started", day, None), ("e", 2, "succeeded", day, None), ("e", 3, "failed", day, "zz")],
+    ]
+    written(spark, steps[0], box)
+    changes = job_changes(stream(spark, box))
+    assert "TransformWithState" not in changes._jdf.queryExecution().analyzed().toString()
+    for k, step in enumerate(steps):
+        if k:
+            written(spark, step, box)
+        keep_jobs(job_changes(stream(spark, box)), out, check).awaitTermination()
+        assert states(latest_jobs(spark, out)) == plain_queue([e for s in steps[: k + 1] for e in s], 2)
+    rows = spark.read.option("basePath", out).parquet(out).orderBy("key", "version").collect()
+    assert [(r.key, r.state, r.attempts, r.error, r.exhausted) for r in rows] == [
+        *[("a", "pending", 0, None, False), ("a", "running", 1, None, False)],
+        *[("b", "running", 2, None, False), ("b", "failed", 2, "y", False)],
+        *[("c", "failed", 1, "e1", False), ("c", "failed", 1, "e2", False)],
+        ("d", "done", 1, None, False),
+        *[("e", "failed", 1, "w", False), ("e", "failed", 3, "z", True), ("e", "done", 2, None, False)],
+    ]
