@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 TERM_CHARS = 2_000_000
 #: Code points of a gram.
 Q = 3
+#: The 32 bits of a gram's code.
+LOW = (1 << 32) - 1
 
 
 def term_matches(texts: DataFrame, terms: DataFrame, key: str, text: str = "text", chars: int = TERM_CHARS) -> DataFrame:
@@ -80,13 +82,16 @@ def _inside(needles: DataFrame, hay: DataFrame) -> DataFrame:
     """(needle, hay): distinct strings of ``needles`` (s) that are contained in others of ``hay`` (s)."""
     few = [r[0] for r in needles.filter(F.length("s") < Q).select(F.length("s")).distinct().collect()]  # Q - 1 numbers at most
     sizes = [*sorted(few), Q]
-    held = hay.select(F.col("s").alias("hay"), F.explode(F.array_distinct(F.concat(*[grams(F.col("s"), n) for n in sizes]))).alias("gram"))
+    # grams by 32 bits of a hash, so that what aggregates keep has a fixed size and nothing is sorted; equal codes only give more to verify
+    code = F.xxhash64("gram").bitwiseAND(F.lit(LOW)).alias("code")
+    held = hay.select(F.col("s").alias("hay"), F.explode(F.array_distinct(F.concat(*[grams(F.col("s"), n) for n in sizes]))).alias("gram")).select("hay", code)
     own = F.when(F.length("s") < Q, F.array(F.col("s"))).otherwise(grams(F.col("s"), Q))
-    asked = needles.select(F.col("s").alias("needle"), F.explode(own).alias("gram"))
+    asked = needles.select(F.col("s").alias("needle"), F.explode(own).alias("gram")).select("needle", code)
     # a gram that no other string holds rules its string out; of the others the rarest is asked for
-    often = held.groupBy("gram").agg(F.count("*").alias("n"))
-    rated = asked.join(often, "gram", "left").groupBy("needle").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"), F.min(F.coalesce("n", F.lit(0))).alias("least"))
-    return rated.filter("least > 0").join(held, "gram").filter(F.contains("hay", F.col("needle"))).select("needle", "hay")
+    often = held.groupBy("code").agg(F.least(F.count("*"), F.lit(LOW >> 1)).alias("n"))
+    rarest = F.min(F.coalesce("n", F.lit(0)) * (LOW + 1) + F.col("code")).alias("rarest")
+    rated = asked.join(often, "code", "left").groupBy("needle").agg(rarest).filter(F.col("rarest") > LOW).select("needle", F.col("rarest").bitwiseAND(F.lit(LOW)).alias("code"))
+    return rated.join(held, "code").filter(F.contains("hay", F.col("needle"))).select("needle", "hay")
 
 
 def containing(texts: DataFrame, labels: DataFrame) -> DataFrame:
@@ -96,7 +101,9 @@ def containing(texts: DataFrame, labels: DataFrame) -> DataFrame:
     """
     low = lambda df, c: df.select(F.col(c).alias("own"), F.lower(c).alias("s")).filter("own <> ''").distinct()
     t, b = low(texts, "text"), low(labels, "label")
-    ts, bs = t.select("s").distinct(), b.select("s").distinct()
+    # a string gives tens of grams: as many tasks as shuffles have, for adaptive execution would put the short strings into one
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ts, bs = (x.select("s").repartition(parts, "s").distinct() for x in (t, b))
     pairs = _inside(bs, ts).select(F.col("hay").alias("ts"), F.col("needle").alias("bs")).unionByName(_inside(ts, bs).select(F.col("needle").alias("ts"), F.col("hay").alias("bs"))).distinct()
     return pairs.join(t.select(F.col("own").alias("text"), F.col("s").alias("ts")), "ts").join(b.select(F.col("own").alias("label"), F.col("s").alias("bs")), "bs").select("text", "label")
 

@@ -50,6 +50,21 @@ def test_labels_against_every_pair(spark):
     assert matching.containing(t.limit(0), b).count() == 0 and matching.containing(t, b.limit(0)).count() == 0
 
 
+def test_grams_of_few_bytes_of_text_stay_in_many_tasks_and_are_not_sorted(spark):
+    texts = spark.range(3000).selectExpr("concat('w', id, ' ', md5(cast(id % 1000 as string))) AS text")
+    labels = spark.createDataFrame([("w99 ",), ("W1",), ("ab",), ("nothing of it",)], "label string")
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        made = matching.containing(texts, labels)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert "REPARTITION_BY_NUM" in plan and "min_by" not in plan and "SortAggregate" not in plan
+    own = [r.text for r in texts.collect()]
+    assert {tuple(r) for r in made.collect()} == {(t, w) for t in own for w in ("w99 ", "W1", "ab", "nothing of it") if w.lower() in t.lower()}
+
+
 def plain_reviews(results, events):
     required = [k for k in X.TEMPLATES["C"] if k not in X.OPTIONAL_KEYS]
     out = {}
