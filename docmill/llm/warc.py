@@ -29,7 +29,7 @@ import io
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -74,17 +74,21 @@ class Files(InputPartition):
     paths: list[str]
 
 
-def _lines(stream: io.BufferedIOBase) -> list[tuple[str, str]]:
-    """(name, value) of the header lines up to the empty one; folded lines are joined."""
+def _lines(lines: Iterable[bytes]) -> tuple[list[tuple[str, str]], int]:
+    """(name, value) of the header lines up to the empty one, and the bytes of all of them; folded lines are joined."""
     found: list[tuple[str, str]] = []
-    while line := stream.readline().rstrip(b"\r\n"):
-        text = line.decode("utf-8", "replace")
+    n = 0
+    for line in lines:
+        n += len(line)
+        text = line.rstrip(b"\r\n").decode("utf-8", "replace")
+        if not text:
+            break
         if text[0] in " \t" and found:
             found[-1] = (found[-1][0], f"{found[-1][1]} {text.strip()}")
         else:
             name, _, value = text.partition(":")
             found.append((name.strip(), value.strip()))
-    return found
+    return found, n
 
 
 def _dechunked(body: bytes) -> bytes:
@@ -115,25 +119,27 @@ def _bare(digest: str | None) -> str | None:
 
 
 def _row(file: str, place: int, headers: list[tuple[str, str]], block: bytes, keep: bool, error: str | None) -> dict:
-    of = lambda name: next((v for n, v in headers if n.lower() == name), None)
+    values: dict[str, str] = {}
+    for n, v in headers:
+        values.setdefault(n.lower(), v)
+    of = values.get
     ident = lambda v: v.strip("<>") if v else v
     kind, content = of("warc-type"), (of("content-type") or "").lower()
     status, http, fields, payload = None, None, None, block
     if content.startswith("application/http") and kind in ("request", "response", "revisit"):
         head, _, payload = block.partition(b"\r\n\r\n")
         first, _, rest = head.partition(b"\r\n")
-        http = _lines(io.BytesIO(rest))
+        http, _ = _lines(rest.split(b"\n"))
         code = re.match(rb"HTTP/\S+ +(\d{3})", first)
         status = int(code[1]) if code else None
         if any(n.lower() == "transfer-encoding" and "chunked" in v.lower() for n, v in http):
             payload = _dechunked(payload)
     elif content.startswith("application/warc-fields"):
-        fields = _lines(io.BytesIO(block.strip(b"\r\n") + b"\r\n"))
-    pairs = lambda p: p and [{"name": n, "value": v} for n, v in p]
+        fields, _ = _lines(block.strip(b"\r\n").split(b"\n"))
     return {
         "file": file, "place": place, "type": kind, "record_id": ident(of("warc-record-id")), "concurrent_to": [ident(v) for n, v in headers if n.lower() == "warc-concurrent-to"],
         "refers_uri": of("warc-refers-to-target-uri"), "refers_date": of("warc-refers-to-date"), "target_uri": of("warc-target-uri"), "date": of("warc-date"), "digest": _bare(of("warc-payload-digest")),
-        "headers": pairs(headers), "http_status": status, "http_headers": pairs(http), "fields": pairs(fields),
+        "headers": headers, "http_status": status, "http_headers": http, "fields": fields,
         "payload": payload if keep else None, "payload_bytes": len(payload), "payload_sha1": hashlib.sha1(payload).hexdigest(), "error": error,
     }
 
@@ -152,17 +158,17 @@ def records_of(file: str, stream: io.BufferedIOBase, keep: bool) -> Iterator[dic
                 yield dict.fromkeys(_ARROW.names) | {"file": file, "place": lost, "error": "no record"}
                 lost = None
             began = place
-            headers = _lines(counted := _Counted(stream))
-            size = next((v for n, v in headers if n.lower() == "content-length"), "")
+            headers, n = _lines(iter(stream.readline, b""))
+            size = next((v for name, v in headers if name.lower() == "content-length"), "")
             if not size.isdigit():
                 yield _row(file, began, headers, b"", keep, "no length") | {"type": None}
-                place += len(line) + counted.n
+                place += len(line) + n
                 continue
             block = stream.read(int(size))
             if len(block) < int(size):
                 yield _row(file, began, headers, block, keep, "cut off") | {"type": None}
                 return
-            place += len(line) + counted.n + len(block)
+            place += len(line) + n + len(block)
             yield _row(file, began, headers, block, keep, None)
         if lost is not None:
             yield dict.fromkeys(_ARROW.names) | {"file": file, "place": lost, "error": "no record"}
@@ -170,18 +176,6 @@ def records_of(file: str, stream: io.BufferedIOBase, keep: bool) -> Iterator[dic
         yield dict.fromkeys(_ARROW.names) | {"file": file, "place": place, "error": f"{type(broken).__name__}: {broken}"[:200]}
 
 
-class _Counted:
-    """Counts the bytes of the lines read."""
-
-    def __init__(self, stream: io.BufferedIOBase) -> None:
-        self.stream, self.n = stream, 0
-
-    def readline(self) -> bytes:
-        line = self.stream.readline()
-        self.n += len(line)
-        return line
-
-
 class Inflated(io.RawIOBase):
     """The bytes of gzip members one behind the other."""
 
@@ -194,7 +188,8 @@ class Inflated(io.RawIOBase):
     def readinto(self, into: memoryview) -> int:
         while True:
             if not self.left:
-                self.left = self.raw.read(1 << 18)
+                # little at once: at the end of each member what is left is copied
+                self.left = self.raw.read(1 << 14)
                 if not self.left:
                     if self.member is not None:
                         raise EOFError("the file ends inside a member")
@@ -236,7 +231,7 @@ class WarcReader(DataSourceReader):
         store, _ = opened(self.path)
         rows, held = [], 0
         for path in partition.paths:
-            with store.open_input_stream(path, compression=None) as raw:
+            with store.open_input_stream(path, compression=None, buffer_size=1 << 18) as raw:
                 stream = io.BufferedReader(Inflated(raw) if path.endswith(".gz") else raw, 1 << 18)
                 for row in records_of(path, stream, self.keep):
                     rows.append(row)
@@ -301,15 +296,15 @@ class WarcWriter(DataSourceArrowWriter):
         """One record as a gzip member; headers without a value are left out."""
         lines = ["WARC/1.1", *(f"{n}: {self.written(n, v)}" for n, v in headers if v is not None), f"Content-Length: {len(block)}"]
         record = "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
-        # a small record needs no large window, and making one would cost more than packing it
-        packer = zlib.compressobj(self.level, zlib.DEFLATED, 16 + 11, 4) if len(record) < 2000 else zlib.compressobj(self.level, zlib.DEFLATED, 31)
+        # a small record needs no large window and no codes of its own, and making them would cost more than packing it
+        packer = zlib.compressobj(self.level, zlib.DEFLATED, 16 + 11, 4, zlib.Z_FIXED) if len(record) < 2000 else zlib.compressobj(self.level, zlib.DEFLATED, 31)
         return packer.compress(record) + packer.flush()
 
     @staticmethod
     def written(name: str, value: str) -> str:
         if name == "WARC-Payload-Digest" and re.fullmatch("sha1:[0-9a-f]{40}", value):
             return "sha1:" + base64.b32encode(bytes.fromhex(value[5:])).decode()
-        return re.sub(r"[\r\n]+", " ", value)
+        return re.sub(r"[\r\n]+", " ", value) if "\n" in value or "\r" in value else value
 
     def commit(self, messages: list[Written | None]) -> None:
         store, path, folder = self._folder()

@@ -253,3 +253,16 @@ def test_a_failed_write_leaves_nothing(spark, tmp_path):
         write_warc(bad, f"{tmp_path}/w")
     assert read_warc(spark, f"{tmp_path}/w").filter("type = 'response'").count() == 1
     assert [r["type"] for r in records_of("f", __import__("io").BytesIO(record("request", "q")), True)] == ["request"]
+
+
+def test_little_is_copied_at_the_end_of_each_member():
+    import gzip
+    import io
+
+    from docmill.llm.warc import Inflated
+
+    members = [b"%d " % k * (k % 90) for k in range(2000)]
+    stream, found, most = Inflated(io.BytesIO(b"".join(map(gzip.compress, members)))), b"", 0
+    while part := stream.read(1 << 16):
+        found, most = found + part, max(most, len(stream.left))
+    assert found == b"".join(members) and 0 < most <= 1 << 14
