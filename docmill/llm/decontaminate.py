@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ._store import discard, materialize
+from ._store import discard, map_texts, materialize
 from .quality import texts_of
 
 SHARD_WORDS = 2_000_000
@@ -320,7 +320,7 @@ def find_leaks(
                 at, items, *figures = zip(*found) if found else ([], [], [], [], [])
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(items, item_type), *[pa.array(f, pa.float64()) for f in figures]], names)
 
-        out = out.unionByName(rows.mapInArrow(run, schema))
+        out = out.unionByName(map_texts(rows, run, schema))
     return out.withColumnRenamed("id", id_col).withColumnRenamed("item", item_col)
 
 
@@ -343,5 +343,5 @@ def drop_leaks(
                 gone = {k for k, *_ in shared.value.leaks(texts_of(b, at), overlap)}
                 yield b.filter(pa.array([k not in gone for k in range(b.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_texts(docs, run, docs.schema)
     return docs

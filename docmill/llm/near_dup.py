@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from ._store import matched, materialize, small
+from ._store import map_texts, matched, materialize, small
 from .components import components
 from .linear import LONG
 from .quality import texts_of
@@ -145,9 +145,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             )
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, key binary, n int, sketch binary, bands array<long>"
-    )
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return map_texts(rows, run, f"id {kind}, key binary, n int, sketch binary, bands array<long>")
 
 
 def _labels(lab: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -251,7 +250,7 @@ def shingle_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(map(word_key, words), pa.binary()), pa.array([s.shingles(w).tobytes() for w in words], pa.binary())], ["key", "shingles"])
 
     some = rows_with(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", ids)
-    return some.select("text").mapInArrow(run, "key binary, shingles binary").dropDuplicates(["key"])
+    return map_texts(some.select("text"), run, "key binary, shingles binary").dropDuplicates(["key"])
 
 
 def block_links(sets: list[np.ndarray], block: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -366,7 +365,7 @@ def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc
             keys = pa.array([word_key(t.lower().split()) for t in texts_of(b, at)], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, keys], names)
 
-    touched = rows_with(docs, id_col, ids).mapInArrow(run, StructType([*docs.schema, StructField("__key", BinaryType())]))
+    touched = map_texts(rows_with(docs, id_col, ids), run, StructType([*docs.schema, StructField("__key", BinaryType())]))
     judged = touched.join(several, F.col("__key") == F.col("__of_key"), "left")
     first = F.col("__first.id").eqNullSafe(F.col(id_col)) & (F.col("__first.key") == F.col("__key"))
     single = judged.filter("__first is null").select(*docs.columns)

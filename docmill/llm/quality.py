@@ -3,7 +3,7 @@
 The model is fitted on a bounded sample of labelled ids (documented bounds): the ``sample`` ids that hash
 smallest, as far as their texts have ``chars`` characters in all and ``chars`` / 64 each. One row of each id
 counts, so repeated rows do not weigh more. The fit runs in the order of those hashes, in one task whose
-input the bounds limit. Scores of all texts are sparse dot products in a map over Arrow batches; the
+input the bounds limit; it gets the sample once for each pass and holds one batch of it at a time. Scores of all texts are sparse dot products in a map over Arrow batches; the
 weights (1 MB) are broadcast. Labels, language, source and id are never inputs of a score. Beside word and
 word-shape n-grams there is one more feature, the share of words that equal their neighbour.
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._store import materialize
+from ._store import map_texts, materialize
 from .linear import DIM, Ftrl, QualityFeatures, dot, probability, summed
 
 SAMPLE = 12_000
@@ -36,8 +36,8 @@ def fold(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, chars: int, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
-    """(id, text, *columns) of at most ``sample`` training ids and ``chars`` characters, in one partition, in the order of their ids' hashes."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, chars: int, id_col: str, text_col: str, columns: list[str], passes: int = 1) -> DataFrame:
+    """(id, text, *columns) of at most ``sample`` training ids and ``chars`` characters, in one partition, in the order of their ids' hashes, ``passes`` times over."""
     chosen = (
         labels.filter(fold(id_col) != 1)
         .groupBy(F.col(id_col).alias("l_id"))
@@ -52,7 +52,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, chars: int,
     # at most ``sample`` rows of numbers, hence one task
     upto = F.sum("n").over(Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     kept = found.select("id", upto.alias("upto")).filter(F.col("upto") <= chars).select("id")
-    return found.join(F.broadcast(kept), "id").select("id", "text", *columns).repartition(1).sortWithinPartitions(F.xxhash64("id"), "id")
+    learned = found.join(F.broadcast(kept), "id").select("id", "text", *columns).repartition(1)
+    if passes == 1:
+        return learned.sortWithinPartitions(F.xxhash64("id"), "id")
+    again = learned.withColumn("__pass", F.explode(F.sequence(F.lit(1), F.lit(passes))))
+    return again.sortWithinPartitions("__pass", F.xxhash64("id"), "id").drop("__pass")
 
 
 def fit_quality(
@@ -61,16 +65,15 @@ def fit_quality(
     """Weights, the intercept last."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, rows = QualityFeatures(), []
+        features, model = QualityFeatures(), Ftrl(alpha=0.5, l1=0.1, l2=0.1)
         for b in batches:
-            rows += [(*summed(*features(t or "")), y) for t, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-        model = Ftrl(alpha=0.5, l1=0.1, l2=0.1)
-        for _ in range(PASSES):
-            for idx, x, y in rows:
+            for t, y in zip(texts_of(b, 1), b.column(2).to_pylist()):
+                idx, x = summed(*features(t))
                 model.learn(idx.astype(np.int32), x, y)
         yield pa.RecordBatch.from_arrays([pa.array([model.weights().tobytes()], pa.binary())], ["w"])
 
-    rows = labelled_sample(docs, labels, sample, chars, id_col, text_col, ["quality"]).mapInArrow(train, "w binary").collect()
+    learned = labelled_sample(docs, labels, sample, chars, id_col, text_col, ["quality"], PASSES)
+    rows = map_texts(learned, train, "w binary").collect()
     return np.frombuffer(rows[0]["w"], np.float32) if rows else np.zeros(DIM + 1, np.float32)
 
 
@@ -91,7 +94,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["id", "score"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    scored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double")
+    scored = map_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, score double")
     return scored.select(
         F.col("id").alias(id_col),
         F.coalesce(fold("id") == 1, F.lit(False)).alias("held_out"),
@@ -109,4 +112,4 @@ def keep_good(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> D
         for b in batches:
             yield b.filter(pa.array([dot(w, *features(t)) >= 0 for t in texts_of(b, at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_texts(docs, run, docs.schema)

@@ -8,9 +8,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docmill.llm import _store, exact_dedup, near_dup, warc
-from docmill.llm.linear import DIM, QualityFeatures, TermFeatures
+from docmill.llm import _store, exact_dedup, near_dup, quality, warc
+from docmill.llm.decontaminate import drop_leaks
+from docmill.llm.linear import DIM, Ftrl, QualityFeatures, TermFeatures, summed
 from docmill.llm.near_dup import Shingler, keep_one_of_each, near_duplicates
+from docmill.llm.quality import fit_quality, keep_good, labelled_sample
 from docmill.llm.toxicity import FOLDS, PASSES, best_threshold, fit_chain, toxicity
 from docmill.llm.url_filter import filter_urls
 
@@ -163,3 +165,48 @@ def test_threshold_against_every_cut():
         f1 = lambda t: 2 * ((p >= t) & (y == 1)).sum() / ((p >= t).sum() + y.sum())  # noqa: B023, E731
         t = best_threshold(p, y)
         assert t == 0.5 if y.sum() in (0, len(y)) else abs(f1(t) - max(f1(x) for x in p)) < 1e-12
+
+
+def test_workers_get_texts_in_small_batches(spark, monkeypatch, tmp_path):
+    rows = [(k, f"w{k} " * 30_000, k % 2) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int").coalesce(1)
+    frame, given = type(docs), type(docs).mapInArrow
+
+    def noted(self, run, *rest):
+        def watched(batches):
+            def each():
+                for b in batches:
+                    with open(tmp_path / "sizes", "a") as f:
+                        f.write(f"{b.nbytes}\n")
+                    yield b
+
+            return run(each())
+
+        return given(self, watched, *rest)
+
+    monkeypatch.setattr(frame, "mapInArrow", noted)
+    monkeypatch.setattr(_store, "BATCH_BYTES", 1 << 20)
+    spark.conf.unset(_store._BATCH)
+    try:
+        weights = fit_quality(docs.select("doc_id", "text"), docs.select("doc_id", "quality"))
+        keep_good(docs, weights).count()
+        keep_one_of_each(docs).count()
+        drop_leaks(docs, spark.createDataFrame([(1, "an item")], "item_id long, text string")).count()
+        sizes = [int(x) for x in (tmp_path / "sizes").read_text().split()]
+        assert sum(sizes) > 25_000_000 and max(sizes) < 1_400_000
+        spark.conf.set(_store._BATCH, "300000")
+        keep_good(docs, weights).count()
+        assert spark.conf.get(_store._BATCH) == "300000"
+    finally:
+        spark.conf.unset(_store._BATCH)
+
+
+def test_fit_equals_passes_over_a_held_sample(spark):
+    r = random.Random(5)
+    rows = [(k, " ".join(f"{'Ab'[k % 2]}{r.randrange(60)}" for _ in range(r.randrange(0, 50))), k % 2) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(5)
+    sample = labelled_sample(docs, docs, 100, 10**6, "doc_id", "text", ["quality"]).collect()
+    features, model = QualityFeatures(), Ftrl(alpha=0.5, l1=0.1, l2=0.1)
+    for row in [*sample] * quality.PASSES:
+        model.learn(*summed(*features(row.text)), row.quality)
+    assert len(sample) == 100 and np.array_equal(fit_quality(docs, docs, sample=100), model.weights())
