@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docmill.functions import raster
-from docmill.functions.text import lexical_overlap
+from docmill.functions import fixed, raster
+from docmill.functions.text import first_phrase, lexical_overlap
 from docmill.functions.unicode import nfc, nfd
 from docmill.operators import images, summarize
 from docmill.plans import ORACLE_SQL, QUERIES
@@ -121,3 +121,17 @@ def test_base_words_are_folded_once(spark):
     found = spark.createDataFrame(rows, "v string, b array<string>").select(lexical_overlap(F.col("v"), F.col("b")).alias("o"))
     assert [r.o for r in found.collect()] == [2 / 3, 1.0, 1.0, 0.0]
     assert "transform(array_distinct(filter(" in found._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("name", ["result_gates"])
+def test_phrases_in_other_words_are_no_refusals(spark, tmp_path, name):
+    texts = {7: "a pas an aienè des", 17: "was an ai queen", 18: "als as an aide he", 19: "as an aïeul", 20: "x_as an ai", 27: unicodedata.normalize("NFD", "Łódź as an aï")}
+    rows = [(k, t, "fr", "s", len(t)) for k, t in texts.items()]
+    assert differs(spark, tmp_path, name, "documents", rows, DOCUMENTS) == ""
+
+
+def test_phrases_as_words_are_refusals(spark):
+    texts = ["As an AI, no", "was an ai; as an ai", "(AS AN AI-based)", "as an ai", "Uma imagem mostra", "¿cómo puedo ayudarte", "your questions"]
+    phrase = first_phrase(F.col("t"), tuple(dict.fromkeys((*fixed.REFUSALS, *fixed.CHATTER))))
+    found = [r.p for r in spark.createDataFrame([(t,) for t in texts], "t string").select(phrase.alias("p")).collect()]
+    assert found == ["as an ai"] * 4 + ["a imagem mostra", "¿cómo puedo ayudar", "your question"]
