@@ -123,13 +123,19 @@ def test_base_words_are_folded_once(spark):
     assert "transform(array_distinct(filter(" in found._jdf.queryExecution().analyzed().toString()
 
 
-@pytest.mark.parametrize("name", ["result_gates"])
+@pytest.mark.parametrize("name", ["result_gates", "vlm_verify"])
 def test_phrases_in_other_words_are_no_refusals(spark, tmp_path, name):
     texts = {7: "a pas an aienè des", 17: "was an ai queen", 18: "als as an aide he", 19: "as an aïeul", 20: "x_as an ai", 27: unicodedata.normalize("NFD", "Łódź as an aï")}
     rows = [(k, t, "fr", "s", len(t)) for k, t in texts.items()]
     assert differs(spark, tmp_path, name, "documents", rows, DOCUMENTS) == ""
 
 
+def test_words_hold_numbers_and_no_joiners(spark, tmp_path):
+    texts = {3: "caso³ ceso dado", 13: "km²a km²e abcd", 23: "nar\u200cam ner\u200cam ner", 33: "a‿bcd e‿bcd ebcd", 43: "ⒶBCD ⒺBCD abcd", 53: "casa½ cesa½x tres"}
+    rows = [(k, t, "es", "s", len(t)) for k, t in texts.items()]
+    assert differs(spark, tmp_path, "vlm_verify", "documents", rows, DOCUMENTS) == ""
+
+
 def test_phrases_as_words_are_refusals(spark):
     texts = ["As an AI, no", "was an ai; as an ai", "(AS AN AI-based)", "as an ai", "Uma imagem mostra", "¿cómo puedo ayudarte", "your questions"]
     phrase = first_phrase(F.col("t"), tuple(dict.fromkeys((*fixed.REFUSALS, *fixed.CHATTER))))
